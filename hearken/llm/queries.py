@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, media, packing, quality, token_files
+from . import bpe, exact_dedup, language, media, packing, quality, substring_dedup, token_files
 from .common import read_documents
 
 
@@ -20,6 +20,10 @@ def remainder(n: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.cleaned(read_documents(spark, sf_dir), texts=False)
+
+
 def op2_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.features(media.to_media(read_documents(spark, sf_dir)))
 
@@ -54,9 +58,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.index_tokens(token_files.write_tokens(read_documents(spark, sf_dir), _vocabulary("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op2_media_columns, op3_byte_bpe, op5_language_id, op7_exact_dedup, op8_quality, op9_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_media_columns, op3_byte_bpe, op5_language_id, op7_exact_dedup, op8_quality, op9_packing, op10_token_files)}
 
 ORACLE_SQL = {
+    "op1_substring_dedup": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k
+                         FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+             firsts AS (SELECT k, min(doc_id) AS f FROM windows GROUP BY k),
+             cut AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 50)) AS p
+                     FROM windows JOIN firsts USING (k) WHERE doc_id > f)),
+             gone AS (SELECT doc_id, list(p) AS ps FROM cut GROUP BY doc_id),
+             words AS (SELECT doc_id, p, w[p] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+             kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN cut USING (doc_id, p) GROUP BY doc_id)
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(len(g.ps), 0)::BIGINT AS n_removed,
+               sha256(coalesce(k.t, '')) AS kept_sha256
+        FROM d LEFT JOIN gone g USING (doc_id) LEFT JOIN kept k USING (doc_id)""",
     "op7_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
