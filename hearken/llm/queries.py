@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language, media, packing, quality, substring_dedup, token_files
+from . import bpe, exact_dedup, jaccard_join, language, media, packing, quality, substring_dedup, token_files
 from .common import read_documents
 
 
@@ -34,6 +34,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_documents(spark, sf_dir), _vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.grouped(read_documents(spark, sf_dir))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     model = language.fit(docs, remainder(3) != 1)
@@ -58,7 +62,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.index_tokens(token_files.write_tokens(read_documents(spark, sf_dir), _vocabulary("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_media_columns, op3_byte_bpe, op5_language_id, op7_exact_dedup, op8_quality, op9_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_media_columns, op3_byte_bpe, op4_jaccard_join, op5_language_id, op7_exact_dedup, op8_quality, op9_packing, op10_token_files)}
 
 ORACLE_SQL = {
     "op1_substring_dedup": r"""
