@@ -168,3 +168,20 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFram
         return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "lang_pred": pa.array(names), "score": pa.array(np.where(has, share, 0.0)), "spans": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), spans)})
 
     return map_slices(id_and_bytes(docs), work, "doc_id long, lang_pred string, score double, spans array<struct<lang:string,first_word:long,words:long>>", limit=8 << 20)
+
+
+def keep_known(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFrame:
+    """The rows of `docs`, all columns as they are, that have a language: texts without letters go, nulls too."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names, extra = docs.columns, "body"
+    while extra in names:
+        extra += "_"
+
+    def work(batch):
+        bodies = batch.column(extra).to_pylist()
+        labels, _, first, text, starts, ends = label(bodies, shared.value, penalty)
+        has = _lettered(bodies, text, starts, ends, first)
+        return batch.select(names).filter(pa.array(has))
+
+    with_body = docs.withColumn(extra, F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
+    return map_slices(with_body, work, docs.schema, extra, limit=8 << 20)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard_join, language, media, packing, quality, substring_dedup, token_files
+from . import bpe, exact_dedup, jaccard_join, language, licenses, media, packing, quality, substring_dedup, token_files
 from .common import read_documents
 
 
@@ -44,6 +44,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", (remainder(3) == 1).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_documents(spark, sf_dir), keep="largest")
 
@@ -62,9 +66,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.index_tokens(token_files.write_tokens(read_documents(spark, sf_dir), _vocabulary("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_media_columns, op3_byte_bpe, op4_jaccard_join, op5_language_id, op7_exact_dedup, op8_quality, op9_packing, op10_token_files)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_media_columns, op3_byte_bpe, op4_jaccard_join, op5_language_id, op6_license_scan, op7_exact_dedup, op8_quality, op9_packing, op10_token_files)}
 
 ORACLE_SQL = {
+    "op6_license_scan": licenses.oracle(),
     "op1_substring_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
              windows AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k
