@@ -38,7 +38,7 @@ APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 def lowered(text: Column) -> Column:
     """A-Z in lower case. lower() does the same to ASCII, and maps nothing else to it but these two letters."""
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    rare = text.contains("İ") | text.contains("K")
+    rare = text.contains("\u0130") | text.contains("\u212a")
     return F.when(rare, F.translate(text, upper, upper.lower())).otherwise(F.lower(text))
 
 
