@@ -2,7 +2,7 @@
 
 A block holds the ids of a run of tokens and is coded by itself: its models start afresh and it carries a checksum. An
 order-2 and an order-1 model each predict one id, the last that followed the same two ids or the same id; an order-0
-model spreads the rest over the ids' bit lengths by adaptive counts. The three are mixed by weights that follow their
+model spreads the rest over classes of ids by adaptive counts. The three are mixed by weights that follow each context's
 hits, and the mixture drives a carryless range coder with 64-bit state. All blocks of a slice are coded side by side,
 one position at a time, by array operations.
 
@@ -24,56 +24,65 @@ from .bpe import WordCodec
 from .common import ragged, saved, slices
 
 END_ID, BLOCK = 2, 2048
-CLASSES, SLOTS1, SLOTS2 = 17, 1024, 2048
+LANES = 1024  # blocks coded side by side: their models fit a processor's cache
+SLOTS1, SLOTS2 = 512, 1024
+#: Order 0 has four classes of ids, each from one of these ids to the next, and spreads a class evenly. Fixed values.
+EDGES = np.array([0, 512, 4096, 16384])
+SHIFT = np.array([7, 4, 2, 0], np.uint64)  # 16 less the bits that number the ids of a class
+#: What a slot's prediction is worth, out of 65536, after so many hits; a miss quarters the hits. Fixed values.
+WORTH = np.array([700, 9000, 26000, 40000, 48000, 53000, 56000, 58000])
+MOVE = np.array([0, 0, 0, 0, 1, 1, 1, 1, 1, 2, 3, 4, 5, 6, 7, 7])  # hits after a miss, and after a hit
 U = np.uint64
 TOP = U(32)
 LOW32 = U(0xFFFFFFFF)
+NOTHING = 0xFFFF  # no id
 
 
 class Models:
-    """The adaptive state of all lanes; encoder and decoder take the same steps."""
+    """The adaptive state of all lanes; encoder and decoder take the same steps. A slot of the order-1 and order-2 models
+    holds the id that followed last and, in three bits, its hits."""
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.base1, self.base2, self.base0 = self.lane * SLOTS1, self.lane * SLOTS2, self.lane * CLASSES
-        self.next1, self.next2 = np.full(lanes * SLOTS1, -1, np.int32), np.full(lanes * SLOTS2, -1, np.int32)
-        self.trust1, self.trust2 = np.zeros(lanes * SLOTS1, np.uint8), np.zeros(lanes * SLOTS2, np.uint8)
-        self.hits1, self.hits2 = np.full((lanes, 4), 1 << 14, np.int64), np.full((lanes, 4), 1 << 14, np.int64)
-        self.counts = np.full((lanes, CLASSES), 4, np.int64)
-        self.last1, self.last2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
+        lane = np.arange(lanes)
+        self.lane, self.base1, self.base2 = lane, lane * SLOTS1, lane * SLOTS2
+        self.slots1, self.slots2 = np.full(lanes * SLOTS1, NOTHING << 3, np.int32), np.full(lanes * SLOTS2, NOTHING << 3, np.int32)
+        self.counts = np.full((4, lanes), 16, np.int32)
+        self.last1, self.mixed1 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
 
     def predict(self, live: int) -> None:
-        """Slots and predictions of the first `live` lanes, and the mixed shares of order 2 and order 1, out of 65536."""
-        p1, p2 = self.last1[:live], self.last2[:live]
-        self.slot1 = self.base1[:live] + ((p1 * 40503) >> 4) % SLOTS1
-        self.slot2 = self.base2[:live] + ((p1 * 40503 + p2 * 30011) >> 3) % SLOTS2
-        self.guess1, self.guess2 = self.next1[self.slot1], self.next2[self.slot2]
-        self.level1, self.level2 = self.trust1[self.slot1], self.trust2[self.slot2]
-        lane = self.lane[:live]
-        self.share2 = np.where(self.guess2 >= 0, self.hits2[lane, self.level2], 64)
-        share1 = np.where((self.guess1 >= 0) & (self.guess1 != self.guess2), self.hits1[lane, self.level1], 64)
-        self.share1 = np.maximum(32, share1 * (65536 - self.share2) >> 16)
-        self.escape = 65536 - self.share2 - self.share1
-
-    def learn(self, live: int, ids: np.ndarray) -> None:
-        lane = self.lane[:live]
-        for guess, level, hits, slot, following, trust in ((self.guess2, self.level2, self.hits2, self.slot2, self.next2, self.trust2), (self.guess1, self.level1, self.hits1, self.slot1, self.next1, self.trust1)):
-            hit = guess == ids
-            old = hits[lane, level]
-            hits[lane, level] = np.where(guess < 0, old, np.clip(old + ((np.where(hit, 65536, 0) - old) >> 4), 256, 60000))
-            trust[slot] = np.where(hit, np.minimum(level + 1, 3), 0)
-            following[slot] = ids
-        self.last2[:live], self.last1[:live] = self.last1[:live], ids
-
-    def count(self, lane: np.ndarray, cls: np.ndarray) -> None:
-        self.counts[lane, cls] += 24
-        full = lane[self.counts[lane].sum(axis=1) > 4000]
+        """The first `live` lanes' predictions, and the mixed shares of order 2 and order 1, out of 65536."""
+        p1 = self.last1[:live] * np.uint32(0x9E3779B1)
+        p2 = (p1 ^ self.mixed1[:live]) * np.uint32(0x85EBCA77)
+        self.mixed1[:live] = p1 >> np.uint32(7)
+        self.at1 = self.base1[:live] + (p1 >> np.uint32(23))
+        self.at2 = self.base2[:live] + (p2 >> np.uint32(22))
+        own1, own2 = self.slots1.take(self.at1, mode="wrap").astype(np.intp), self.slots2.take(self.at2, mode="wrap").astype(np.intp)
+        self.guess1, self.guess2 = own1 >> 3, own2 >> 3
+        self.level1, self.level2 = own1 & 7, own2 & 7
+        self.share2 = WORTH.take(self.level2, mode="wrap")
+        self.share1 = WORTH.take(self.level1, mode="wrap") * (65536 - self.share2) >> 16
+        self.both = self.share2 + self.share1
+
+    def learn(self, live: int, ids: np.ndarray, right1: np.ndarray, right2: np.ndarray) -> None:
+        fresh = ids << 3
+        for right, level, at, slots in ((right2, self.level2, self.at2, self.slots2), (right1, self.level1, self.at1, self.slots1)):
+            slots[at] = fresh | MOVE.take(level + (right.view(np.int8) << 3), mode="wrap")
+        self.last1[:live] = ids
+
+    def classes(self, lane: np.ndarray):
+        """Counts of the classes of these lanes, and their sums so far (a row more)."""
+        counts = self.counts.take(lane, axis=1, mode="wrap")
+        sums = np.zeros((5, len(lane)), np.int64)
+        np.cumsum(counts, axis=0, out=sums[1:])
+        return counts, sums
+
+    def count(self, lane: np.ndarray, cls: np.ndarray, total: np.ndarray) -> None:
+        at = cls * self.counts.shape[1] + lane
+        flat = self.counts.reshape(-1)
+        flat[at] = flat.take(at, mode="wrap") + 24
+        full = lane[total > 4000]
         if len(full):
-            self.counts[full] = (self.counts[full] + 1) >> 1
-
-
-def bit_length(ids: np.ndarray) -> np.ndarray:
-    return np.frexp(ids.astype(np.float64))[1].astype(np.int64)
+            self.counts[:, full] = (self.counts[:, full] + 1) >> 1
 
 
 class Writer:
@@ -82,15 +91,15 @@ class Writer:
         self.lanes: list[np.ndarray] = []
         self.words: list[np.ndarray] = []
 
-    def code(self, lane, start, size, total) -> None:
-        step = self.range[lane] // total.astype(np.uint64)
-        low, width = self.low[lane] + step * start.astype(np.uint64), step * size.astype(np.uint64)
-        small = np.flatnonzero(width <= LOW32)
+    def code(self, lane, start, size, step) -> None:
+        """Narrows the lanes' intervals; `step` is range // total."""
+        low, width = self.low[lane] + step * start, step * size
+        small = (width <= LOW32).nonzero()[0]
         if len(small):
             l, w = low[small], width[small]
             crosses = (l >> TOP) != ((l + w - U(1)) >> TOP)
             w = np.where(crosses, (U(1) << TOP) - (l & LOW32), w)
-            self.lanes.append(lane[small])
+            self.lanes.append(small if isinstance(lane, slice) else lane[small])
             self.words.append((l >> TOP).astype(np.uint32))
             low[small], width[small] = l << TOP, w << TOP
         self.low[lane], self.range[lane] = low, width
@@ -101,7 +110,7 @@ class Writer:
         for part in (self.low >> TOP, self.low & LOW32):
             self.lanes.append(np.arange(n))
             self.words.append(part.astype(np.uint32))
-        lanes, words = np.concatenate(self.lanes), np.concatenate(self.words)
+        lanes, words = np.concatenate(self.lanes).astype(np.int16), np.concatenate(self.words)
         return words[np.argsort(lanes, kind="stable")], np.bincount(lanes, minlength=n)
 
 
@@ -114,15 +123,11 @@ class Reader:
         self.value = self.words[self.at] << TOP | self.words[self.at + 1]
         self.at = self.at + 2
 
-    def target(self, lane, total) -> np.ndarray:
-        self.step = self.range[lane] // total.astype(np.uint64)
-        return np.minimum((self.value[lane] - self.low[lane]) // self.step, total.astype(np.uint64) - U(1)).astype(np.int64)
-
-    def take(self, lane, start, size) -> None:
-        low, width = self.low[lane] + self.step * start.astype(np.uint64), self.step * size.astype(np.uint64)
-        small = np.flatnonzero(width <= LOW32)
+    def take(self, lane, start, size, step) -> None:
+        low, width = self.low[lane] + step * start, step * size
+        small = (width <= LOW32).nonzero()[0]
         if len(small):
-            l, w, own = low[small], width[small], lane[small]
+            l, w, own = low[small], width[small], small if isinstance(lane, slice) else lane[small]
             crosses = (l >> TOP) != ((l + w - U(1)) >> TOP)
             w = np.where(crosses, (U(1) << TOP) - (l & LOW32), w)
             self.value[own] = self.value[own] << TOP | self.words[np.minimum(self.at[own], len(self.words) - 1)]
@@ -131,33 +136,43 @@ class Reader:
         self.low[lane], self.range[lane] = low, width
 
 
+def _plan(lengths: np.ndarray):
+    """Lanes by falling length, where each begins, and how many are live at each step."""
+    order = np.argsort(-lengths, kind="stable")
+    sizes = lengths[order]
+    lives = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), side="left").tolist()
+    return order, (np.cumsum(lengths) - lengths)[order], lives
+
+
 def encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     """The payload of each block; blocks follow one another in `ids`."""
-    order = np.argsort(-lengths, kind="stable")
-    starts, sizes = (np.cumsum(lengths) - lengths)[order], lengths[order]
+    if len(lengths) > LANES:
+        cut = int(lengths[:LANES].sum())
+        return encode_blocks(ids[:cut], lengths[:LANES]) + encode_blocks(ids[cut:], lengths[LANES:])
+    order, starts, lives = _plan(lengths)
     models, out = Models(len(lengths)), Writer(len(lengths))
-    lives = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), side="left").tolist()
+    ids = ids.astype(np.intp)
     for t, live in enumerate(lives):
-        own = ids[starts[:live] + t].astype(np.int64)
+        own = ids.take(starts[:live] + t, mode="wrap")
         models.predict(live)
-        lane = models.lane[:live]
-        hit2 = models.guess2 == own
-        hit1 = (models.guess1 == own) & ~hit2
-        start = np.where(hit2, 0, np.where(hit1, models.share2, models.share2 + models.share1))
-        out.code(lane, start, np.where(hit2, models.share2, np.where(hit1, models.share1, models.escape)), np.full(live, 65536))
-        rest = np.flatnonzero(~(hit1 | hit2))
+        right2 = models.guess2 == own
+        right1 = models.guess1 == own
+        start = np.where(right2, 0, np.where(right1, models.share2, models.both)).view(np.uint64)
+        size = np.where(right2, models.share2, np.where(right1, models.share1, 65536 - models.both)).view(np.uint64)
+        head = slice(0, live)
+        out.code(head, start, size, out.range[head] >> U(16))
+        rest = (~(right1 | right2)).nonzero()[0]
         if len(rest):
-            cls = bit_length(own[rest])
-            counts = models.counts[rest]
-            sums = np.cumsum(counts, axis=1)
-            at = np.arange(len(rest))
-            size = counts[at, cls]
-            out.code(rest, sums[at, cls] - size, size, sums[:, -1])
-            models.count(rest, cls)
-            wide = cls > 1
-            bits = np.int64(1) << (cls[wide] - 1)
-            out.code(rest[wide], own[rest[wide]] - bits, np.ones(len(bits), np.int64), bits)
-        models.learn(live, own)
+            literal = own[rest]
+            cls = ((literal >= 512).view(np.int8) + (literal >= 4096).view(np.int8) + (literal >= 16384).view(np.int8)).astype(np.intp)
+            counts, sums = models.classes(rest)
+            at, total = cls * len(rest) + models.lane[: len(rest)], sums[4]
+            unit = counts.reshape(-1).take(at, mode="wrap").astype(np.uint64) << SHIFT.take(cls, mode="wrap")
+            first = sums.reshape(-1).take(at, mode="wrap") << 16
+            below = literal - EDGES.take(cls, mode="wrap")
+            out.code(rest, first.view(np.uint64) + below.view(np.uint64) * unit, unit, out.range.take(rest, mode="wrap") // (total.view(np.uint64) << U(16)))
+            models.count(rest, cls, total)
+        models.learn(live, own, right1, right2)
     words, counts = out.finish()
     payload, begin, blocks = words.astype("<u4").tobytes(), 0, [b""] * len(lengths)
     for which, n in zip(order.tolist(), counts.tolist(), strict=True):
@@ -167,39 +182,40 @@ def encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
 
 
 def decode_blocks(payloads: list[bytes], lengths: np.ndarray) -> np.ndarray:
-    order = np.argsort(-lengths, kind="stable")
-    starts, sizes = (np.cumsum(lengths) - lengths)[order], lengths[order]
+    if len(lengths) > LANES:
+        return np.concatenate((decode_blocks(payloads[:LANES], lengths[:LANES]), decode_blocks(payloads[LANES:], lengths[LANES:])))
+    order, starts, lives = _plan(lengths)
     words = np.frombuffer(b"".join([payloads[i] for i in order]), "<u4")
     models, source = Models(len(lengths)), Reader(words, np.array([len(payloads[i]) // 4 for i in order], np.int64))
     ids = np.empty(int(lengths.sum()), np.int32)
-    lives = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), side="left").tolist()
     for t, live in enumerate(lives):
         models.predict(live)
-        lane = models.lane[:live]
-        target = source.target(lane, np.full(live, 65536))
+        head = slice(0, live)
+        step = source.range[head] >> U(16)
+        target = np.minimum((source.value[head] - source.low[head]) // step, U(65535)).view(np.int64)
         hit2 = target < models.share2
-        hit1 = ~hit2 & (target < models.share2 + models.share1)
-        start = np.where(hit2, 0, np.where(hit1, models.share2, models.share2 + models.share1))
-        source.take(lane, start, np.where(hit2, models.share2, np.where(hit1, models.share1, models.escape)))
-        own = np.where(hit2, models.guess2, models.guess1).astype(np.int64)
-        rest = np.flatnonzero(~(hit1 | hit2))
+        hit1 = ~hit2 & (target < models.both)
+        start = np.where(hit2, 0, np.where(hit1, models.share2, models.both)).view(np.uint64)
+        size = np.where(hit2, models.share2, np.where(hit1, models.share1, 65536 - models.both)).view(np.uint64)
+        source.take(head, start, size, step)
+        own = np.where(hit2, models.guess2, models.guess1)
+        rest = (~(hit1 | hit2)).nonzero()[0]
         if len(rest):
-            counts = models.counts[rest]
-            sums = np.cumsum(counts, axis=1)
-            target = source.target(rest, sums[:, -1])
-            cls = (sums <= target[:, None]).sum(axis=1)
-            at = np.arange(len(rest))
-            size = counts[at, cls]
-            source.take(rest, sums[at, cls] - size, size)
-            models.count(rest, cls)
-            value = cls.copy()
-            wide = cls > 1
-            bits = np.int64(1) << (cls[wide] - 1)
-            mantissa = source.target(rest[wide], bits)
-            source.take(rest[wide], mantissa, np.ones(len(bits), np.int64))
-            value[wide] = bits + mantissa
-            own[rest] = value
-        models.learn(live, own)
+            counts, sums = models.classes(rest)
+            total = sums[4]
+            wide = total.view(np.uint64) << U(16)
+            step = source.range.take(rest, mode="wrap") // wide
+            target = np.minimum((source.value.take(rest, mode="wrap") - source.low.take(rest, mode="wrap")) // step, wide - U(1))
+            place = (target >> U(16)).view(np.int64)
+            cls = ((place >= sums[1]).view(np.int8) + (place >= sums[2]).view(np.int8) + (place >= sums[3]).view(np.int8)).astype(np.intp)
+            at = cls * len(rest) + models.lane[: len(rest)]
+            unit = counts.reshape(-1).take(at, mode="wrap").astype(np.uint64) << SHIFT.take(cls, mode="wrap")
+            first = (sums.reshape(-1).take(at, mode="wrap") << 16).view(np.uint64)
+            below = (target - first) // unit
+            source.take(rest, first + below * unit, unit, step)
+            models.count(rest, cls, total)
+            own[rest] = EDGES.take(cls, mode="wrap") + below.view(np.int64)
+        models.learn(live, own, models.guess1 == own, models.guess2 == own)
         ids[starts[:live] + t] = own
     return ids
 
