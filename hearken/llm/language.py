@@ -101,6 +101,8 @@ def label(bodies: list[bytes], model: Model, penalty: float = PENALTY):
     """Each word's language, its bytes, and each document's first word."""
     text, starts, ends, bucket, _, first, script = _trigrams(bodies)
     n, langs = len(starts), len(model.langs)
+    if not langs:
+        return np.zeros(n, np.int8), ends - starts, first, text, starts, ends
     scores = np.empty((n, langs), np.float32)
     cuts = np.empty(2 * n, np.int64)
     cuts[::2], cuts[1::2] = starts, ends + 1
@@ -108,7 +110,7 @@ def label(bodies: list[bytes], model: Model, penalty: float = PENALTY):
     for k in range(langs):
         if n:
             scores[:, k] = np.add.reduceat(model.scores[k][bucket], cuts)[::2]
-    scores -= scores.max(axis=1, keepdims=True) if n else 0
+    scores -= scores.max(axis=1, keepdims=True)
     scores[~model.allowed[script]] -= 100
     counts = np.diff(first)
     order = np.argsort(-counts, kind="stable")
@@ -126,7 +128,7 @@ def label(bodies: list[bytes], model: Model, penalty: float = PENALTY):
         came[at] = np.where(switch, best[:, None], own)
         value[:live] = np.where(switch, switched[:, None], now) + scores[at]
     labels = np.empty(n, np.int8)
-    state = value.argmax(axis=1) if langs else np.zeros(len(bodies), np.int64)
+    state = value.argmax(axis=1)
     for t in range(len(lives) - 1, -1, -1):
         live = lives[t]
         at = begin[:live] + t

@@ -12,8 +12,6 @@ of fixed size and are broadcast.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +29,7 @@ TEMPLATES = {
     "licensed under the creative commons attribution license": "cc-by",
     "mozilla public license version 2 0": "mpl-2.0",
 }
-VERIFIED, NEAR = 0.6, 2
+VERIFIED, NEAR = 0.75, 2
 APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -47,13 +45,18 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered(F.coalesce(text, F.lit(""))), APART), "")
 
 
-def templates(spark: SparkSession, base: dict[str, str] = BASE, longer: dict[str, str] = TEMPLATES) -> DataFrame:
-    """template, label, base, total, place, gram: a row for each bigram."""
+def _rows(base: dict[str, str], longer: dict[str, str]) -> list[str]:
+    """SQL rows (template, label, base, total, place, gram), one for each bigram."""
     rows = []
     for number, (phrase, label, always) in enumerate([(p, v, True) for p, v in base.items()] + [(p, v, False) for p, v in longer.items()]):
-        own = re.split(r"\s+", phrase)
-        rows += [(number, label, always, len(own) - 1, t, f"{a} {b}") for t, (a, b) in enumerate(zip(own, own[1:], strict=False))]
-    return spark.createDataFrame(rows, "template int, label string, base boolean, total int, place int, gram string")
+        own = phrase.split()
+        rows += [f"({number}, '{label}', {str(always).lower()}, {len(own) - 1}, {t}, '{a} {b}')" for t, (a, b) in enumerate(zip(own, own[1:], strict=False))]
+    return rows
+
+
+def templates(spark: SparkSession, base: dict[str, str] = BASE, longer: dict[str, str] = TEMPLATES) -> DataFrame:
+    """template, label, base, total, place, gram: a row for each bigram, as a table of the plan itself."""
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(_rows(base, longer))} AS t(template, label, base, total, place, gram)")
 
 
 def scan(docs: DataFrame, base: dict[str, str] = BASE, longer: dict[str, str] = TEMPLATES) -> DataFrame:
@@ -85,12 +88,8 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, longer: dict[str, str] =
 
 def oracle() -> str:
     """The same in DuckDB's SQL."""
-    rows = []
-    for number, (phrase, label, always) in enumerate([(p, v, True) for p, v in BASE.items()] + [(p, v, False) for p, v in TEMPLATES.items()]):
-        own = phrase.split()
-        rows += [f"({number}, '{label}', {always}, {len(own) - 1}, {t}, '{a} {b}')" for t, (a, b) in enumerate(zip(own, own[1:], strict=False))]
     return rf"""
-        WITH known(template, label, base, total, place, gram) AS (VALUES {", ".join(rows)}),
+        WITH known(template, label, base, total, place, gram) AS (VALUES {", ".join(_rows(BASE, TEMPLATES))}),
              d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
              g AS (SELECT doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)),
              lines AS (SELECT doc_id, template, label, base, total, pos - place AS diagonal, count(*) AS votes FROM g JOIN known USING (gram) GROUP BY ALL),

@@ -20,7 +20,7 @@ from .common import Words, id_and_bytes, map_slices, saved
 
 FEATURES, RIDGE, WIDTH, SEED, BINS = 256, 1e-3, 1.0, 8, 1024
 SIGNS = b"!#$%&*|.,?"
-STATISTICS = 18 + len(SIGNS)
+STATISTICS = 19 + len(SIGNS)
 
 
 def statistics(bodies: list[bytes]) -> np.ndarray:
