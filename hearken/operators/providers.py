@@ -25,11 +25,10 @@ def _hits(text: Column, words: tuple[str, ...]) -> Column:
 
 
 def lexicon_sentiment(text: Column) -> Column:
-    """struct(sentiment, scores): counts of lexicon words, each side with one added, shared out over four labels."""
+    """struct(sentiment, scores): counts of lexicon words, and one for none, shared out over four labels."""
     good, bad = _hits(text, POSITIVE).cast("double"), _hits(text, NEGATIVE).cast("double")
     total = good + bad + F.lit(1.0)
-    mixed = F.least(good, bad) / total
-    scores = {"Positive": (good - F.least(good, bad) / 2) / total, "Negative": (bad - F.least(good, bad) / 2) / total, "Neutral": F.lit(1.0) / total, "Mixed": mixed - mixed}
+    scores = {"Positive": (good - F.least(good, bad) / 2) / total, "Negative": (bad - F.least(good, bad) / 2) / total, "Neutral": F.lit(1.0) / total, "Mixed": F.least(good, bad) / total}
     label = F.when((good > 0) & (good == bad), "MIXED").when(good > bad, "POSITIVE").when(bad > good, "NEGATIVE").otherwise("NEUTRAL")
     return F.struct(label.alias("sentiment"), F.create_map(*(x for k, v in scores.items() for x in (F.lit(k), v))).alias("scores"))
 

@@ -38,9 +38,9 @@ def read_surveys(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(path_of().alias("source_key"), F.monotonically_increasing_id().alias("position"), *SURVEY_COLUMNS).na.fill("", list(SURVEY_COLUMNS))
 
 
-def read_processed(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """source_key and the records below several prefixes; what lies under _failed/ is no feedback."""
-    raw = spark.read.schema(schema).options(multiLine=True, recursiveFileLookup=True, pathGlobFilter="*.json").json(paths)
+def read_processed(spark: SparkSession, paths: list[str], schema: str, one_per_file: bool = True) -> DataFrame:
+    """source_key and the records below several prefixes, one a file or one a line; what lies under _failed/ is no feedback."""
+    raw = spark.read.schema(schema).options(multiLine=one_per_file, recursiveFileLookup=True, pathGlobFilter="*.json").json(paths)
     return raw.withColumn("source_key", path_of()).where(~F.contains("source_key", F.lit("/_failed/")))
 
 
