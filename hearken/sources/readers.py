@@ -45,9 +45,14 @@ def read_processed(spark: SparkSession, paths: list[str], schema: str, one_per_f
 
 
 def failed_count(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """failed: how many records lie under _failed/, so that a manifest can tell them."""
-    raw = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.json").text(paths, wholetext=True)
-    return raw.select(path_of().alias("k")).where(F.contains("k", F.lit("/_failed/"))).agg(F.count("*").alias("failed"))
+    """failed: how many record files lie under _failed/, which a listing from above passes over as hidden."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    below = [hadoop.Path(f"{p.rstrip('/')}/_failed") for p in paths]
+    there = [str(p) for p in below if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)]
+    if not there:
+        return spark.range(1).select(F.lit(0).cast("long").alias("failed"))
+    raw = spark.read.options(recursiveFileLookup=True, pathGlobFilter="*.json").text(there, wholetext=True)
+    return raw.agg(F.count("*").alias("failed"))
 
 
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
