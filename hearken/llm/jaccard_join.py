@@ -1,12 +1,12 @@
 """N-gram Jaccard join: adaptive multi-match prefixes.
 
-A document is its set of distinct word shingles, a node its set's hash, so exact copies are one node. All shingles
-have one order: those that tasks see often come last (a table of at most HEAVY of them is broadcast), the others by
-hash. Two sets of the wanted similarity share a shingle within their prefixes, so nodes that share one fall into a
-family; families are the components of stars, one for each shingle. A family is joined in a task of its own, in blocks
-of BLOCK nodes if it is large: within it every set lengthens its prefix by the estimated cost of its candidates, a
-pair needs correspondingly more shared prefix shingles, pairs already connected are passed over, and what is left is
-verified by the exact sizes of intersection and union. A task returns a spanning forest, not all pairs.
+A document is its set of distinct word shingles; a node is a set's hash, so exact copies are one node. Prefixes are
+made of cells, groups of shingles by their hashes' high bits: they reach over most of a set, and one shared cell means
+several shared shingles, so that common lines and passages do not make candidates. Nodes that share a cell of their
+prefixes fall into a family; families are the components of stars, one for each cell. A family is joined in a task of
+its own, in blocks of BLOCK nodes if it is large: within it every set lengthens its prefix by the estimated cost of its
+candidates, a pair needs correspondingly more shared prefix shingles, pairs already connected are passed over, and what
+is left is verified by the exact sizes of intersection and union. A task returns a spanning forest, not all pairs.
 
 Nulls, empty texts and texts without words have an empty set and link with nothing; texts under five words are one
 shingle; equal sets always link; ids may repeat; rows without doc_id
@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, id_and_bytes, map_slices, mixed, saved, slices, span_hashes
+from .common import Words, id_and_bytes, map_slices, mixed, saved, span_hashes
 from .graph import components
 
 SHINGLE, NEED, OF = 5, 80, 100
-HEAVY, BLOCK, LENGTHS = 400_000, 4096, 4
+BLOCK, LENGTHS = 4096, 4
 
 
 def shingle_sets(bodies: list[bytes], k: int = SHINGLE) -> list[np.ndarray]:
@@ -57,62 +57,54 @@ def needed(n: int, need: int, of: int) -> int:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Rows (doc_id, n, node, false) of all documents, and (null, count, shingle, true) for shingles that a task sees repeatedly."""
-
-    def run(batches):
-        seen, held, size = set(), [], 0
-
-        def heavy():
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts > 1
-            return pa.RecordBatch.from_pydict({"doc_id": pa.nulls(int(often.sum()), pa.int64()), "n": pa.array(counts[often], pa.int64()), "node": pa.array(tokens[often].view(np.int64)), "heavy": pa.array(np.ones(int(often.sum()), bool))})
-
-        for batch in slices(batches, limit=2 << 20):
-            sets = shingle_sets(batch.column("body").to_pylist())
-            nodes = [node_of(s) for s in sets]
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "node": pa.array(nodes, pa.int64()), "heavy": pa.array(np.zeros(len(sets), bool))})
-            for s, node in zip(sets, nodes, strict=True):
-                if node not in seen:
-                    seen.add(node)
-                    held.append(s)
-                    size += len(s)
-            if size > 6 << 20:
-                yield heavy()
-                seen, held, size = set(), [], 0
-        if held:
-            yield heavy()
-
-    return docs.mapInArrow(run, "doc_id long, n long, node long, heavy boolean")
-
-
-def heavy_table(signed: DataFrame, most: int = HEAVY) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, sorted, and their counts: `most` at the utmost, whatever the input."""
-    rows = signed.where("heavy").groupBy("node").agg(F.sum("n").alias("n")).where("n >= 8").orderBy(F.desc("n"), "node").limit(most).toArrow()
-    tokens = rows.column("node").to_numpy().view(np.uint64)
-    order = np.argsort(tokens)
-    return tokens[order], rows.column("n").to_numpy()[order]
-
-
-def ordered(own: np.ndarray, heavy: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The set in the order of all shingles: rare ones by hash, then heavy ones by count."""
-    if not len(heavy[0]) or not len(own):
-        return own
-    at = np.minimum(np.searchsorted(heavy[0], own), len(heavy[0]) - 1)
-    counts = np.where(heavy[0][at] == own, heavy[1][at], 0)
-    return own[np.argsort(counts, kind="stable")]
-
-
-def prefixes(docs: DataFrame, heavy, need: int = NEED, of: int = OF) -> DataFrame:
-    """token, node for the shingles of every set's prefix."""
-    shared = docs.sparkSession.sparkContext.broadcast(heavy)
+    """doc_id, n, node of every row."""
+
+    def work(batch):
+        sets = shingle_sets(batch.column("body").to_pylist())
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "node": pa.array([node_of(s) for s in sets], pa.int64())})
+
+    return map_slices(docs, work, "doc_id long, n long, node long", limit=2 << 20)
+
+
+def level(n: int) -> int:
+    """Sets of n shingles have 2**level cells, of 1.5 to 3 shingles on average."""
+    return max(0, int(n / 1.5).bit_length() - 1)
+
+
+def cells(own: np.ndarray, k: int, most: int) -> np.ndarray:
+    """Hashes of the `most` first cells of a sorted set, cut by the shingles' k highest bits: the fullest cells come first,
+    of equals those of least hash, and empty ones last. The order depends on a cell's content alone."""
+    which = (own >> np.uint64(64 - k)).astype(np.int64) if k else np.zeros(len(own), np.int64)
+    starts = np.flatnonzero(np.diff(which, prepend=-1))
+    size = np.diff(np.append(starts, len(own)))
+    salt = np.uint64((k + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    hashes = mixed(np.add.reduceat(mixed(own), starts) + which[starts].astype(np.uint64) + salt)
+    if most > len(starts):
+        empty = np.setdiff1d(np.arange(1 << k), which[starts])
+        lacking = np.sort(mixed(empty.astype(np.uint64) + salt))[: most - len(starts)]
+        return np.concatenate((hashes, lacking))
+    if most < len(starts):
+        rank = np.minimum(size, 63).astype(np.uint64) << np.uint64(58) | (~hashes >> np.uint64(6))
+        hashes = hashes[np.argpartition(rank, len(rank) - most)[len(rank) - most :]]
+    return hashes
+
+
+def prefixes(docs: DataFrame, need: int = NEED, of: int = OF) -> DataFrame:
+    """token, node for the cells in every set's prefix. Sets x and y that link differ in d = (|x| + |y|) (of - need) /
+    (of + need) shingles at the utmost, so in at most d cells; the first cell that they share is among the first d + 1 of
+    either. The cells are those of the larger set's level, so a set that a set of the next level can link to has a prefix
+    at that level too."""
 
     def work(batch):
         tokens, nodes = [], []
         for own in shingle_sets(batch.column("body").to_pylist()):
-            if len(own):
-                first = ordered(own, shared.value)[: len(own) - needed(len(own), need, of) + 1]
-                tokens.append(first)
-                nodes.append(np.full(len(first), node_of(own)))
+            n = len(own)
+            if n:
+                largest = n * of // need
+                most = (n + largest) * (of - need) // (of + need) + 1
+                first = [cells(own, k, most) for k in range(level(n), level(largest) + 1)]
+                tokens += first
+                nodes.append(np.full(sum(map(len, first)), node_of(own)))
         if not tokens:
             return None
         return pa.RecordBatch.from_pydict({"token": pa.array(np.concatenate(tokens).view(np.int64)), "node": pa.array(np.concatenate(nodes), pa.int64())})
@@ -184,12 +176,11 @@ def links(docs: DataFrame, signed: DataFrame, need: int = NEED, of: int = OF, bl
     """src, dst: a spanning forest of each family's links between different sets."""
     from pyspark.sql import Window
 
-    heavy = heavy_table(signed)
-    stars = prefixes(docs, heavy, need, of).withColumn("first", F.min("node").over(Window.partitionBy("token"))).where("node != first")
+    stars = prefixes(docs, need, of).withColumn("first", F.min("node").over(Window.partitionBy("token"))).where("node != first")
     members = components(stars.select(F.col("node").alias("src"), F.col("first").alias("dst")))
     families = members.unionByName(members.select(F.col("root").alias("node"), "root").distinct())
     sizes = families.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    one = signed.where("not heavy").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    one = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     homes = families.join(sizes, "root").withColumn("home", F.pmod(F.xxhash64("node", F.lit("home")), F.col("blocks")).cast("int"))
     # Blocks meet in pairs: a node of block h goes to the tasks (h, other) for all others, and alone to (h, h).
     homes = homes.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -233,7 +224,7 @@ def grouped(docs: DataFrame, need: int = NEED, of: int = OF, block: int = BLOCK)
     base = id_and_bytes(docs)
     signed = saved(signatures(base), "signatures")
     roots = components(links(base, signed, need, of, block))
-    own = signed.where("not heavy").drop("heavy").withColumnRenamed("n", "n_shingles")
+    own = signed.withColumnRenamed("n", "n_shingles")
     full = own.where("n_shingles > 0").join(roots, "node", "left").select("doc_id", "n_shingles", F.coalesce("root", "node").alias("root"))
     least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     empty = own.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
