@@ -38,10 +38,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand in earlier documents; untouched texts keep their white space."""
-    cut = substring_dedup.cleaned(docs).where("n_removed > 0").select("doc_id", F.col("kept").cast("string").alias("kept_text"))
-    joined = docs.join(cut.dropDuplicates(["doc_id"]), "doc_id", "left")
-    text = F.coalesce("kept_text", "text")
-    return joined.withColumns({"text": text, "n_chars": F.when(F.col("kept_text").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("long"))}).select(docs.columns)
+    return substring_dedup.without_repeats(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

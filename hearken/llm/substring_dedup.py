@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Words, id_and_bytes, map_slices, mixed, ragged, saved, span_hashes, window_hashes
 from .fm_index import FMIndex
@@ -65,6 +66,27 @@ def stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
     return map_slices(docs, work, "doc_id long, minimizer long, content long, start int, windows short", limit=2 << 20)
 
 
+def _summed(found: DataFrame) -> DataFrame:
+    """minimizer, content, least and most (doc_id): one row for each stretch that a task reads, in bounded batches."""
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size > 1 << 20:
+                yield from total(held)
+                held, size = [], 0
+        if held:
+            yield from total(held)
+
+    def total(held):
+        grouped = pa.Table.from_batches(held).group_by(["minimizer", "content"]).aggregate([("doc_id", "min"), ("doc_id", "max")])
+        return grouped.rename_columns({"doc_id_min": "least", "doc_id_max": "most"}).select(["minimizer", "content", "least", "most"]).to_batches()
+
+    return found.select("minimizer", "content", "doc_id").mapInArrow(run, "minimizer long, content long, least long, most long")
+
+
 def _sequences(wanted: DataFrame, docs: DataFrame, window: int, single: bool) -> DataFrame:
     """The words of the stretches `wanted`; if `single`, each window's hash instead."""
     by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("minimizer", "content", "start", "windows", "ask")).alias("own"))
@@ -142,13 +164,17 @@ def _intervals(docs, starts, stops) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], names=["doc_id", "start", "stop"])
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
+def repeats(scanned: DataFrame, docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
     """doc_id, start, stop: word intervals made of windows that begin in a document with a smaller doc_id as well.
-    `docs` has doc_id and body, dealt by doc_id."""
-    by, same = Window.partitionBy("minimizer"), Window.partitionBy("minimizer", "content")
-    met = stretches(docs, window, gram).select("*", F.min("doc_id").over(same).alias("first_same"), F.min("doc_id").over(by).alias("first"), F.max("doc_id").over(by).alias("last"), (F.min("content").over(by) != F.max("content").over(by)).alias("differ"))
-    met = met.withColumn("heads", F.count(F.when(F.col("doc_id") == F.col("first_same"), 1)).over(by)).where(F.col("first") != F.col("last")).drop("last")
-    met = saved(met.where((F.col("doc_id") > F.col("first_same")) | F.col("differ")), "stretches")
+    `scanned` has doc_id and body as they are read; `docs` has the same rows dealt by doc_id."""
+    found = saved(stretches(scanned, window, gram), "stretches")
+    # Rows of a stretch are summed up within their task, and again for a minimizer, so a common one is a row for each task.
+    each = _summed(found).repartition("minimizer").groupBy("minimizer", "content").agg(F.min("least").alias("first_same"), F.max("most").alias("last_same"))
+    by = Window.partitionBy("minimizer")
+    known = each.select("minimizer", "content", "first_same", F.min("first_same").over(by).alias("first"), F.max("last_same").over(by).alias("last"), F.count("*").over(by).alias("heads"))
+    known = known.where("first <> last").drop("last")
+    met = found.join(known, ["minimizer", "content"]).withColumn("differ", F.col("heads") > 1)
+    met = saved(met.where((F.col("doc_id") > F.col("first_same")) | F.col("differ")), "repeated")
     copied = met.where(F.col("doc_id") > F.col("first_same")).select("doc_id", "start", (F.col("start") + F.col("windows") + (window - 1)).cast("int").alias("stop"))
     heads = met.where(F.col("differ") & (F.col("doc_id") == F.col("first_same"))).withColumn("ask", F.col("doc_id") > F.col("first"))
     searched = _searched(_sequences(heads.where(F.col("heads") <= hot), docs, window, False), window, shard_words)
@@ -157,15 +183,16 @@ def repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int =
     return copied.unionByName(searched).unionByName(counted.select("doc_id", "start", (F.col("start") + window).cast("int").alias("stop")))
 
 
-def dealt(docs: DataFrame) -> DataFrame:
-    """doc_id and body, dealt by doc_id once for all the joins that follow."""
-    return id_and_bytes(docs).repartition("doc_id")
-
-
-def cleaned(docs: DataFrame, texts: bool = True, **options) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and, if `texts`, kept (the kept words' bytes, joined by a space) of every row."""
-    base = dealt(docs)
-    found = repeats(base, **options).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("cut"))
+def cleaned(docs: DataFrame, texts: bool = True, rest: bool = False, **options) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 of every row; if `texts`, kept (the kept words' bytes, joined by a space);
+    if `rest`, a struct of the other columns. Texts are dealt by doc_id once for both joins with them."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    base = id_and_bytes(docs)
+    if rest:
+        packed = F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.struct(F.lit(0).alias("none"))
+        base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body"), packed.alias("rest"))
+    base = base.repartition("doc_id")
+    found = repeats(id_and_bytes(docs), base, **options).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("cut"))
 
     def work(batch):
         totals, removed, kept = [], [], []
@@ -177,7 +204,28 @@ def cleaned(docs: DataFrame, texts: bool = True, **options) -> DataFrame:
             totals.append(len(words))
             removed.append(int(len(words) - keep.sum()))
             kept.append(b" ".join([w for w, k in zip(words, keep.tolist(), strict=True) if k] if cut else words))
-        own = {"kept": pa.array(kept, pa.binary())} if texts else {}
-        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n_words": pa.array(totals, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in kept])} | own)
-
-    return map_slices(base.join(found, "doc_id", "left"), work, "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept binary" * texts)
+        out = {"doc_id": batch.column("doc_id"), "n_words": pa.array(totals, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in kept])}
+        if texts:
+            out["kept"] = pa.array(kept, pa.binary())
+        if rest:
+            out |= {"body": batch.column("body"), "rest": batch.column("rest")}
+        return pa.RecordBatch.from_pydict(out)
+
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
+    if texts:
+        schema = schema.add("kept", T.BinaryType())
+    if rest:
+        schema = schema.add("body", T.BinaryType()).add("rest", base.schema["rest"].dataType)
+    return map_slices(base.join(found, "doc_id", "left"), work, schema)
+
+
+def without_repeats(docs: DataFrame, **options) -> DataFrame:
+    """`docs`, its columns as they are, with shortened texts where a passage went; other texts keep their white space, and
+    null ones stay null. n_chars, if there, follows."""
+    null = "".join(docs.columns) + "_null"
+    own = cleaned(docs.withColumn(null, F.col("text").isNull()), rest=True, **options)
+    text = F.when(F.col(f"rest.`{null}`"), F.lit(None).cast("string")).when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("body").cast("string"))
+    column = {c: F.col(f"rest.`{c}`") for c in docs.columns if c not in ("doc_id", "text")} | {"doc_id": F.col("doc_id"), "text": text}
+    if "n_chars" in column:
+        column["n_chars"] = F.when(F.col("n_removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(column["n_chars"])
+    return own.select(*(column[c].alias(c) for c in docs.columns))
