@@ -13,8 +13,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import is_safe_identifier  # noqa: F401  (part of the same vocabulary)
-
 # A general English lexicon, not made from any data set at hand. Fixed values.
 POSITIVE = ("good", "great", "excellent", "amazing", "happy", "love", "loved", "perfect", "best", "wonderful", "helpful", "pleased", "satisfied", "fantastic", "thank", "thanks", "recommend", "easy", "reliable", "impressed")
 NEGATIVE = ("bad", "poor", "terrible", "awful", "broken", "broke", "disappointed", "disappointing", "worst", "hate", "useless", "refund", "defective", "faulty", "stopped", "failed", "fails", "waste", "angry", "unacceptable", "return", "returned", "cracked")
