@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from .bpe import WordCodec
 from .common import ragged, saved, slices
 
-END_ID, BLOCK = 2, 2048
-LANES = 1024  # blocks coded side by side: their models fit a processor's cache
+END_ID, BLOCK = 2, 1024
+LANES = 4096  # blocks coded side by side
 SLOTS1, SLOTS2 = 512, 1024
+SHIFT1, SHIFT2 = np.uint32(23), np.uint32(22)  # 32 less the bits that number the slots
 #: Order 0 has four classes of ids, each from one of these ids to the next, and spreads a class evenly. Fixed values.
 EDGES = np.array([0, 512, 4096, 16384])
 SHIFT = np.array([7, 4, 2, 0], np.uint64)  # 16 less the bits that number the ids of a class
@@ -54,8 +55,8 @@ class Models:
         p1 = self.last1[:live] * np.uint32(0x9E3779B1)
         p2 = (p1 ^ self.mixed1[:live]) * np.uint32(0x85EBCA77)
         self.mixed1[:live] = p1 >> np.uint32(7)
-        self.at1 = self.base1[:live] + (p1 >> np.uint32(23))
-        self.at2 = self.base2[:live] + (p2 >> np.uint32(22))
+        self.at1 = self.base1[:live] + (p1 >> SHIFT1)
+        self.at2 = self.base2[:live] + (p2 >> SHIFT2)
         own1, own2 = self.slots1.take(self.at1, mode="wrap").astype(np.intp), self.slots2.take(self.at2, mode="wrap").astype(np.intp)
         self.guess1, self.guess2 = own1 >> 3, own2 >> 3
         self.level1, self.level2 = own1 & 7, own2 & 7
