@@ -2,8 +2,8 @@
 
 Documents are encoded where they are read; only (document, piece, length) rows move. Pieces are dealt to shards of
 bounded size by a hash of their document. A shard fills a bin greedily with the largest piece that still fits, then
-looks for two unpacked pieces that fill the gap better than the bin's smallest piece does, and swaps them in. A shard
-keeps counts of pieces by length and a bitmap of the lengths present, so a fit is a bit operation.
+looks for the two unpacked pieces that fill the gap best, over all lengths, and swaps them in if they do better than the
+bin's smallest piece. A shard keeps counts of pieces by length and a bitmap of the lengths present, so a fit is a bit operation.
 
 A null text is an empty document with its end id alone; documents longer than a sequence are cut, and only they; equal
 rows are packed one by one; an empty table gives an empty result; other columns are ignored.
@@ -69,14 +69,13 @@ def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
         if room and content:
             small = content[-1]
             gap, best = room + small, (small, 0, 0)
-            low = present & ((1 << gap) - 1)
-            tried = 0
-            while low and tried < 64:  # the first piece of the pair, from the largest down; two that fill the gap end the search
+            shortest = (present & -present).bit_length() - 1
+            low = present & ((2 << gap - shortest) - 1) if 0 < shortest < gap else 0
+            while low:  # the first piece of the pair, from the largest that leaves room for another; two that fill the gap end the search
                 a = low.bit_length() - 1
                 if 2 * a < best[0]:
                     break
                 low ^= 1 << a
-                tried += 1
                 b = largest(min(a, gap - a))
                 if b == a and left[a] < 2:
                     b = largest(a - 1)

@@ -358,6 +358,30 @@ def test_two_that_fit_better_take_the_smallest_piece_s_place():
     assert np.bincount(bins, weights=lengths).max() <= 100 and n <= lengths.sum() / 100 * 1.04 + 1
 
 
+def test_the_best_pair_is_found_at_every_size():
+    lengths = np.array([3491, *range(100, 601)])  # 3491 and 600 leave 5; 505 and 100 fill 605, far below the largest lengths
+    bins, _, _ = packing.best_two_fit(lengths, 4096)
+    assert np.bincount(bins, weights=lengths)[0] == 4096
+    r = np.random.default_rng(1)
+    for low, high, n in ((100, 1000, 300), (1, 1000, 200), (5, 300, 400), (300, 500, 50)):
+        lengths = r.integers(low, high, n)
+        bins, _, _ = packing.best_two_fit(lengths, 1000)
+        left, k = sorted(lengths.tolist()), 0
+        while left:
+            content = []
+            while fit := [x for x in left if x <= 1000 - sum(content)]:
+                content.append(fit[-1])
+                left.remove(fit[-1])
+            total, gap = sum(content), 1000 - sum(content) + content[-1]
+            best = max((a + left[i] for i in range(len(left)) for a in left[:i] if a + left[i] <= gap), default=0)
+            own = lengths[bins == k]
+            assert own.sum() == total - content[-1] + max(content[-1], best)
+            left = sorted(left + content)
+            for x in own.tolist():
+                left.remove(x)
+            k += 1
+
+
 # --- 10
 
 def test_range_coder_round_trip():
