@@ -21,19 +21,31 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_known(docs, language.fit(docs, learn))
 
 
+def _bytes():
+    return F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+
+
+def _own(docs: DataFrame, chosen: DataFrame, key: str, of_text) -> DataFrame:
+    """The rows of `docs` whose doc_id, null or not, and text's key are in `chosen` (doc_id, key); of rows that agree in both, one."""
+    own = "".join(docs.columns) + "_key"
+    chosen = chosen.select("doc_id", key).toDF(own + "_id", own + "_chosen")
+    kept = docs.withColumn(own, of_text).join(chosen, F.col("doc_id").eqNullSafe(F.col(own + "_id")) & (F.col(own) == F.col(own + "_chosen")), "left_semi")
+    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        kept = kept.dropDuplicates(["doc_id", own])
+    return kept.select(docs.columns)
+
+
 def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id; of rows that repeat it, one."""
+    """Of equal texts the one with the largest doc_id, one without doc_id if none has any; of rows that repeat it, one. A row
+    is decided by its own text, even if another has the same doc_id."""
     groups = exact_dedup.exact_groups(docs, keep="largest")
-    kept = docs.join(groups.where("kept").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count():
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept
+    return _own(docs, groups.where("kept").select("doc_id", "text_sha256"), "text_sha256", F.sha2(_bytes(), 256))
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that of the smallest doc_id."""
-    groups = jaccard_join.grouped(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(groups, "doc_id", "left_semi").select(docs.columns)
+    """One document of each group of near duplicates, that of the smallest doc_id, one without doc_id if none has any; if the
+    group has several texts of that doc_id, one of them. Texts without words stay."""
+    return _own(docs, jaccard_join.representatives(docs), "text_key", jaccard_join.text_key(_bytes()))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

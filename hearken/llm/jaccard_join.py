@@ -56,14 +56,19 @@ def needed(n: int, need: int, of: int) -> int:
     return -(-n * need // of)
 
 
+def text_key(body):
+    """A 64-bit hash of a text's bytes: with its doc_id, which may be null or stand on other texts too, it tells a row."""
+    return F.xxhash64(body)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node of every row."""
+    """doc_id, text_key, n, node of every row."""
 
     def work(batch):
         sets = shingle_sets(batch.column("body").to_pylist())
-        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "n": pa.array([len(s) for s in sets], pa.int64()), "node": pa.array([node_of(s) for s in sets], pa.int64())})
+        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "n": pa.array([len(s) for s in sets], pa.int64()), "node": pa.array([node_of(s) for s in sets], pa.int64())})
 
-    return map_slices(docs, work, "doc_id long, n long, node long", limit=2 << 20)
+    return map_slices(docs.withColumn("text_key", text_key("body")), work, "doc_id long, text_key long, n long, node long", limit=2 << 20)
 
 
 def level(n: int) -> int:
@@ -219,13 +224,30 @@ def links(docs: DataFrame, signed: DataFrame, need: int = NEED, of: int = OF, bl
     return placed.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "node").mapInArrow(joined, "src long, dst long")
 
 
-def grouped(docs: DataFrame, need: int = NEED, of: int = OF, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row: the least doc_id that links lead to, its own included."""
+def _rooted(docs: DataFrame, need: int, of: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """doc_id, text_key, n_shingles of every row: those with shingles, and the root of their group; and those without."""
     base = id_and_bytes(docs)
     signed = saved(signatures(base), "signatures")
     roots = components(links(base, signed, need, of, block))
     own = signed.withColumnRenamed("n", "n_shingles")
-    full = own.where("n_shingles > 0").join(roots, "node", "left").select("doc_id", "n_shingles", F.coalesce("root", "node").alias("root"))
+    full = own.where("n_shingles > 0").join(roots, "node", "left").select("doc_id", "text_key", "n_shingles", F.coalesce("root", "node").alias("root"))
+    return full, own.where("n_shingles = 0").select("doc_id", "text_key", "n_shingles")
+
+
+def grouped(docs: DataFrame, need: int = NEED, of: int = OF, block: int = BLOCK) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row: the least doc_id that links lead to, its own included."""
+    full, empty = _rooted(docs, need, of, block)
     least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    empty = own.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.join(least, "root").select("doc_id", "n_shingles", "component_id").unionByName(empty)
+    alone = empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return full.join(least, "root").select("doc_id", "n_shingles", "component_id").unionByName(alone)
+
+
+def _first_row():
+    """The row of least doc_id, one without doc_id only if there is no other."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key"))
+
+
+def representatives(docs: DataFrame, need: int = NEED, of: int = OF, block: int = BLOCK) -> DataFrame:
+    """doc_id, text_key of one row of each group, that of the least doc_id, and of all rows without shingles."""
+    full, empty = _rooted(docs, need, of, block)
+    return full.groupBy("root").agg(_first_row().alias("row")).select("row.doc_id", "row.text_key").unionByName(empty.select("doc_id", "text_key"))

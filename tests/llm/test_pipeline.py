@@ -44,5 +44,20 @@ def test_repeated_rows_and_nothing(spark):
     assert nothing.count() == 0
 
 
+def test_rows_without_or_with_another_s_id_are_decided_by_their_own_text(spark):
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [(None, "clean text without an id"), (None, "another text without an id"), (None, "another text without an id"), (None, "said with an id too"), (3, "said with an id too"), (3, "said twice"), (9, "said twice"), (3, long), (2, long + " near"), (None, "...")]
+    docs = saved(spark.createDataFrame(rows, "doc_id long, text string"), "test")
+    rows = lambda df: sorted((r.doc_id or 0, r.text) for r in df.collect())
+    left = [(0, "..."), (0, "another text without an id"), (0, "clean text without an id"), (2, long + " near"), (3, "said with an id too"), (3, long), (9, "said twice")]
+    kept = saved(corpus_pipeline.unique(spark, docs, ""), "kept")
+    assert rows(kept) == sorted(left)
+    left.remove((3, long))
+    one = saved(corpus_pipeline.distinct(spark, kept, ""), "one")
+    assert rows(one) == sorted(left)
+    assert rows(corpus_pipeline.passages(spark, one, "")) == sorted(left)
+    assert corpus_pipeline.pack(spark, one, "").count() == len(left)
+
+
 def test_words_agree():
     assert WORD.findall("a\x0bB c") == ["a", "B", "c"] and "ÀZ".translate(UPPER) == "Àz" and re.escape("x")
