@@ -428,8 +428,8 @@ def report_validation(spark, sf):
 
 @query("SELECT 'P' || k AS product_id, 'issue' AS issue, k < 2 AS found FROM (SELECT unnest([0, 1, 2]) AS k)")
 def theme_keyword_recall(spark, sf):
-    d = A.table(spark, sf, "documents").where("doc_id < 1000")
-    themes = d.groupBy((F.col("doc_id") % 2).alias("k")).agg(F.array_sort(F.collect_list(F.col("doc_id").cast("string"))).alias("doc_ids")).select(F.concat(F.lit("Keyword"), F.col("k").cast("string")).alias("theme"), F.lit("q").alias("quote"), F.array(F.lit("review")).alias("channels"), "doc_ids")
+    d = A.table(spark, sf, "documents")
+    themes = d.select(F.concat(F.lit("Keyword"), (F.col("doc_id") % 2).cast("string")).alias("theme"), F.lit("q").alias("quote"), F.array(F.lit("review")).alias("channels"), F.array(F.col("doc_id").cast("string")).alias("doc_ids"))
     expected = spark.createDataFrame([(f"P{k}", "issue") for k in range(3)], "product_id string, issue string")
     words = spark.createDataFrame([(f"P{k}", f"keyword{k}") for k in range(3)], "product_id string, keyword string")
     return insight.theme_recall(expected, themes, words).select("product_id", "issue", "found")

@@ -33,6 +33,12 @@ def test_query(spark, duck, name):
         assert sorted(repr(tuple(r[c] for c in names)) for r in rows) == sorted(repr(tuple(r[i] for i in at)) for r in out.fetchall())
 
 
+def test_themes_come_from_all_documents(spark, tmp_path):
+    spark.createDataFrame([(1000, "a"), (70001, "b")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = catalogue.theme_keyword_recall(spark, str(tmp_path)).collect()
+    assert sorted((r.product_id, r.found) for r in rows) == [("P0", True), ("P1", True), ("P2", False)]
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
