@@ -44,10 +44,12 @@ ENTITIES = (("QUANTITY", r"\b\d+(?:\.\d+)? ?(?:days?|weeks?|months?|years?|hours
 
 def pattern_spans(text: Column, kinds=PII) -> Column:
     """Spans (Type, BeginOffset, EndOffset) of the patterns' matches; spans of different kinds may not overlap, the kind
-    named first wins. Offsets are found by splitting at the matches, which are put in by marks that no text has."""
-    found = text
+    named first wins. Offsets are found by splitting at the matches, which are put in by marks; such characters of the text
+    itself count as another control character. A span that is marked already is passed over as one match."""
+    found = F.translate(text, "\x02\x03\x04\x05\x06", "\x01\x01\x01\x01\x01")
     for name, pattern in kinds:
-        found = F.regexp_replace(found, f"(?<!\x02[A-Z_]{{0,40}}\x03[^\x04]{{0,400}})(?:{pattern})", f"\x02{name}\x03$0\x04")
+        found = F.regexp_replace(found, f"(\x02[^\x04]*\x04)|((?:{pattern}))", "$1\x05$2\x06")
+        found = F.replace(F.replace(F.replace(found, F.lit("\x05\x06"), F.lit("")), F.lit("\x05"), F.lit(f"\x02{name}\x03")), F.lit("\x06"), F.lit("\x04"))
     parts = F.split(found, "\x02")
     step = F.aggregate(
         F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),

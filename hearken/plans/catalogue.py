@@ -353,6 +353,31 @@ def safe_identifier_split(spark, sf):
     return p.select("p_partkey", T.is_safe_identifier(span).alias("safe"))
 
 
+# The same operators over the texts of documents, whole. No SQL tells these results; tests/test_catalogue.py has a plain version.
+WHOLE = (1 << 31) - 1
+
+
+def _real(spark, sf):
+    d = A.table(spark, sf, "documents")
+    base = documents.document(d, F.col("doc_id").cast("string"), "review", F.lit("k"), F.col("text"))
+    return redaction.redact_documents(base, providers.pattern_spans, WHOLE)
+
+
+@query()
+def pii_redact_documents(spark, sf):
+    return _real(spark, sf).select("doc_id", "text", joined("pii_redacted").alias("types"), joined("pii_allowlisted").alias("kept"))
+
+
+@query()
+def pii_tally_documents(spark, sf):
+    return redaction.tally(_real(spark, sf))
+
+
+@query()
+def order_ref_documents(spark, sf):
+    return A.table(spark, sf, "documents").select("doc_id", T.order_ref(F.col("text")).alias("order_ref"))
+
+
 # --- review
 
 @query(f"""WITH {A.DOCS} SELECT doc_id, CASE WHEN sentiment = 'POSITIVE' AND rating <= 2 THEN 4 - rating WHEN sentiment = 'NEGATIVE' AND rating >= 4 THEN rating - 2 ELSE 0 END::INT AS divergence FROM review_docs""")
