@@ -1,14 +1,17 @@
 """Token ids in binary blocks, by an adaptive context-mixing range coder.
 
-A block holds the ids of a run of tokens and is coded by itself: its models start afresh and it carries a checksum. An
-order-2 and an order-1 model each predict one id, the last that followed the same two ids or the same id; an order-0
-model spreads the rest over classes of ids by adaptive counts. The three are mixed by weights that follow each context's
-hits, and the mixture drives a carryless range coder with 64-bit state. All blocks of a slice are coded side by side,
-one position at a time, by array operations.
-
-The files are tables of blocks in the shared folder, ordered by document id: (block, first token, tokens, crc32,
-payload), beside the documents' lengths. Null texts are documents of their end id alone; documents of any length run
-over as many blocks as they need; repeated ids stay in an arbitrary order of their own; an empty table makes no block.
+A block holds the ids of a run of tokens and is coded by itself: its models start afresh and it carries a checksum. Order
+2 and order 1 each predict the id that followed the same two ids, or the same id, last; order 0 predicts by the counts of
+the ids seen in the block, and ids not seen yet have a share that is spread by adaptive counts of their size. The shares
+are mixed by weights that each block learns from what came of its predictions, by their confidence; predictions that agree
+add up. Counts and weights are brought up to date at EPOCHS. The mixture drives a carryless range coder with 64-bit state,
+one step an id. All blocks of a slice are coded side by side, one position at a time, by array operations. A block that
+does not shrink is kept as 16-bit ids, so that none is longer than that by more than its first byte.
+
+The files are tables of blocks in the shared folder, ordered by document id: (block, tokens, crc32, payload), beside the
+documents' lengths. Null texts are documents of their end id alone; documents of any length run over as many blocks as
+they need; rows that repeat a doc_id, or have none, are documents of their own, in the order of their texts' hashes, and
+rows without doc_id come first; other columns are ignored; an empty table makes no block.
 """
 
 from __future__ import annotations
@@ -23,67 +26,170 @@ from pyspark.sql import functions as F
 from .bpe import WordCodec
 from .common import ragged, saved, slices
 
-END_ID, BLOCK = 2, 1024
+END_ID, BLOCK = 2, 2048
 LANES = 4096  # blocks coded side by side
-SLOTS1, SLOTS2 = 512, 1024
-SHIFT1, SHIFT2 = np.uint32(23), np.uint32(22)  # 32 less the bits that number the slots
-#: Order 0 has four classes of ids, each from one of these ids to the next, and spreads a class evenly. Fixed values.
-EDGES = np.array([0, 512, 4096, 16384])
-SHIFT = np.array([7, 4, 2, 0], np.uint64)  # 16 less the bits that number the ids of a class
-#: What a slot's prediction is worth, out of 65536, after so many hits; a miss quarters the hits. Fixed values.
-WORTH = np.array([700, 9000, 26000, 40000, 48000, 53000, 56000, 58000])
-MOVE = np.array([0, 0, 0, 0, 1, 1, 1, 1, 1, 2, 3, 4, 5, 6, 7, 7])  # hits after a miss, and after a hit
-U = np.uint64
-TOP = U(32)
-LOW32 = U(0xFFFFFFFF)
+LONGEST = 4095  # ids of a block, as a place and its confidence share 16 bits
+BITS = 10  # of the slot numbers
+#: Places at which the order-0 counts and the mixing weights are brought up to date.
+EPOCHS = (16, 48, 128, 320, 768, 1408, 2048, 3072)
+#: What a prediction is worth at first, out of 4096, by its confidence: of order 1, of order 2.
+FIRST = np.array([[0, 300, 900, 1500, 2000, 2400, 2700, 2900], [0, 1400, 2400, 3000, 3300, 3500, 3600, 3700]], np.int32)
+TRUST = 6  # ids that the first worth counts for
+MOST, LEAST, REST, RARE = 3840, 64, 64, 32  # bounds of shares: a prediction's, what predictions leave, and new ids'
+#: Confidence after a miss, and after a hit.
+MOVE = np.array([1, 1, 1, 1, 1, 1, 1, 2, 1, 2, 3, 4, 5, 6, 7, 7], np.uint16)
+#: New ids are spread over classes, each from one of these ids to the next, of so many bits.
+EDGES = np.array([0, 512, 1024, 2048, 4096, 8192, 16384, 32768], np.int32)
+WIDTHS = np.array([9, 9, 10, 11, 12, 13, 14, 15], np.int32)
+CLASS = np.repeat(np.arange(8), 1 << WIDTHS)
 NOTHING = 0xFFFF  # no id
+U = np.uint64
+TOP, LOW32, UNIT = U(32), U(0xFFFFFFFF), U(28)  # shares of 12 bits are coded in 2**28 parts
+RAW16, CODED, RAW32 = 0, 1, 2  # a payload's first byte
 
 
 class Models:
-    """The adaptive state of all lanes; encoder and decoder take the same steps. A slot of the order-1 and order-2 models
-    holds the id that followed last and, in three bits, its hits."""
+    """The adaptive state of all lanes; encoder and decoder take the same steps. Arrays of two rows are the order-1 and
+    the order-2 model's.
 
-    def __init__(self, lanes: int):
+    A slot holds the place of the id that followed its context last, and a confidence. Order 0 has the ids counted so far
+    in ascending order; an id's order is the number of those that are smaller, and its count (12 bits each)."""
+
+    def __init__(self, lanes: int, longest: int):
         lane = np.arange(lanes)
-        self.lane, self.base1, self.base2 = lane, lane * SLOTS1, lane * SLOTS2
-        self.slots1, self.slots2 = np.full(lanes * SLOTS1, NOTHING << 3, np.int32), np.full(lanes * SLOTS2, NOTHING << 3, np.int32)
-        self.counts = np.full((4, lanes), 16, np.int32)
-        self.last1, self.mixed1 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        self.base = np.stack((lane, lane + lanes)) << BITS
+        self.slots = np.zeros(2 * lanes << BITS, np.uint16)
+        self.code = np.stack((lane, lane + lanes)) << 4
+        self.lane8 = lane << 3
+        self.stride = longest + 1
+        self.row = lane * self.stride
+        self.ids = np.zeros(lanes * self.stride, np.uint16)
+        self.ids[self.row] = NOTHING  # place 0 is none
+        self.context = np.zeros((2, lanes), np.uint32)
+        self.last, self.mixed = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+        self.worth = np.repeat(np.concatenate((FIRST, FIRST), axis=1)[:, None], lanes, axis=1)
+        self.tally = np.zeros((2, lanes, 16), np.int32)
+        self.new, self.fresh = np.zeros((lanes, 8), np.int32), np.full(lanes, 4096, np.int32)
+        self.spread = np.arange(0, 256, 32, dtype=np.int32) * 512 + np.full((lanes, 1), 32, np.int32)
+        ends = [0, *(e for e in EPOCHS if e < longest), longest]
+        self.seen = np.zeros((max(b - a for a, b in zip(ends, ends[1:], strict=False)), 2, lanes), np.uint8)
+        self.counted = 0
 
     def predict(self, live: int) -> None:
-        """The first `live` lanes' predictions, and the mixed shares of order 2 and order 1, out of 65536."""
-        p1 = self.last1[:live] * np.uint32(0x9E3779B1)
-        p2 = (p1 ^ self.mixed1[:live]) * np.uint32(0x85EBCA77)
-        self.mixed1[:live] = p1 >> np.uint32(7)
-        self.at1 = self.base1[:live] + (p1 >> SHIFT1)
-        self.at2 = self.base2[:live] + (p2 >> SHIFT2)
-        own1, own2 = self.slots1.take(self.at1, mode="wrap").astype(np.intp), self.slots2.take(self.at2, mode="wrap").astype(np.intp)
-        self.guess1, self.guess2 = own1 >> 3, own2 >> 3
-        self.level1, self.level2 = own1 & 7, own2 & 7
-        self.share2 = WORTH.take(self.level2, mode="wrap")
-        self.share1 = WORTH.take(self.level1, mode="wrap") * (65536 - self.share2) >> 16
-        self.both = self.share2 + self.share1
-
-    def learn(self, live: int, ids: np.ndarray, right1: np.ndarray, right2: np.ndarray) -> None:
-        fresh = ids << 3
-        for right, level, at, slots in ((right2, self.level2, self.at2, self.slots2), (right1, self.level1, self.at1, self.slots1)):
-            slots[at] = fresh | MOVE.take(level + (right.view(np.int8) << 3), mode="wrap")
-        self.last1[:live] = ids
-
-    def classes(self, lane: np.ndarray):
-        """Counts of the classes of these lanes, and their sums so far (a row more)."""
-        counts = self.counts.take(lane, axis=1, mode="wrap")
-        sums = np.zeros((5, len(lane)), np.int64)
-        np.cumsum(counts, axis=0, out=sums[1:])
-        return counts, sums
-
-    def count(self, lane: np.ndarray, cls: np.ndarray, total: np.ndarray) -> None:
-        at = cls * self.counts.shape[1] + lane
-        flat = self.counts.reshape(-1)
-        flat[at] = flat.take(at, mode="wrap") + 24
-        full = lane[total > 4000]
-        if len(full):
-            self.counts[:, full] = (self.counts[:, full] + 1) >> 1
+        """The predictions of the first `live` lanes, and how 2**28 is shared among order 2, order 1, the ids counted and new ones."""
+        p = self.context[:, :live]
+        np.multiply(self.last[:live], np.uint32(0x9E3779B1), out=p[0])
+        np.multiply(p[0] ^ self.mixed[:live], np.uint32(0x85EBCA77), out=p[1])
+        np.right_shift(p[0], np.uint32(7), out=self.mixed[:live])
+        self.at = self.base[:, :live] + (p >> np.uint32(32 - BITS))
+        slot = self.slots.take(self.at, mode="wrap").astype(np.int64)
+        self.level = slot & 15
+        slot >>= 4
+        slot += self.row[:live]
+        self.guess = self.ids.take(slot, mode="wrap")
+        w1, w2 = self.worth.take(self.level + self.code[:, :live], mode="wrap")
+        w1 *= 4096 - REST - w2
+        w1 >>= 12
+        both = w1 + w2
+        left = 4096 - both
+        self.rare = left * self.fresh[:live]
+        self.rare >>= 12
+        np.maximum(self.rare, RARE, out=self.rare)
+        left -= self.rare
+        left <<= 16
+        left //= max(1, self.counted)
+        self.part = left  # an id counted c times has c of these parts
+        self.agree = self.guess[0] == self.guess[1]
+        np.copyto(w2, both, where=self.agree)  # equal predictions add up
+        w2 <<= 16
+        both <<= 16
+        self.end2, self.end1 = w2, both
+
+    def interval(self, own: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of the given ids. What order 0 gives to a predicted id besides is left out of its size."""
+        self.right = right = self.guess == own
+        start = (order >> 12) * self.part
+        start += self.end1
+        size = (order & 4095) * self.part
+        np.copyto(start, self.end2, where=right[0])
+        np.copyto(size, self.end1 - self.end2, where=right[0])
+        np.copyto(start, 0, where=right[1])
+        np.copyto(size, self.end2, where=right[1])
+        new = np.flatnonzero(size == 0)
+        if len(new):
+            ids = own.take(new, mode="wrap")
+            cls = CLASS.take(ids, mode="wrap")
+            at = self.lane8.take(new, mode="wrap") + cls
+            self.new.reshape(-1)[at] += 1
+            rare, spread = self.rare.take(new, mode="wrap") << 8, self.spread.take(at, mode="wrap")
+            more = rare * (spread & 511) >> WIDTHS.take(cls, mode="wrap")
+            size[new] = more
+            more *= ids - EDGES.take(cls, mode="wrap")
+            more += rare * (spread >> 9)
+            start[new] += more
+        return start, size
+
+    def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids whose intervals hold these targets, and their order."""
+        part, counted, live = self.part, self.counted, len(target)
+        hit1, hit2 = target < self.end1, target < self.end2
+        among = target - self.end1
+        if counted:
+            place = np.minimum((among / part).astype(np.int64), counted)
+            new = np.flatnonzero(place == counted)
+            place += self.first[:live]
+            found = self.ranked.take(place, mode="clip").view(np.int32)
+            own, order = found[1::2].astype(np.uint16), found[::2].copy()
+        else:
+            new = np.flatnonzero(~hit1)
+            own, order = np.zeros(live, np.uint16), np.zeros(live, np.int32)
+        if len(new):
+            rare = self.rare.take(new, mode="wrap") << 8
+            rest = among.take(new, mode="wrap") - counted * part.take(new, mode="wrap")
+            spread = self.spread[new]
+            cls = (rest // rare)[:, None] >= spread[:, 1:] >> 9
+            cls = cls.sum(axis=1)
+            spread = spread.reshape(-1).take(np.arange(0, 8 * len(new), 8) + cls, mode="wrap")
+            size = rare * (spread & 511) >> WIDTHS.take(cls, mode="wrap")
+            rest -= rare * (spread >> 9)
+            own[new] = EDGES.take(cls, mode="wrap") + np.clip(rest // size, 0, (1 << WIDTHS.take(cls, mode="wrap")) - 1)
+            order[new] = counted << 12
+        np.copyto(own, self.guess[0], where=hit1)
+        np.copyto(own, self.guess[1], where=hit2)
+        return own, order
+
+    def learn(self, t: int, own: np.ndarray) -> None:
+        live, right = len(own), self.right
+        after = self.level + (right.view(np.int8) << 3)
+        self.slots[self.at] = MOVE.take(after, mode="wrap") | np.uint16(t + 1 << 4)
+        after[0] *= ~(right[1] | self.agree)
+        self.seen[t - self.counted, :, :live] = after
+        self.ids[self.row[:live] + (t + 1)] = own
+        self.last[:live] = own
+
+    def update(self, t: int, live: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Counts all ids so far and weighs predictions by what came of them. Returns the ids in ascending order in each
+        lane, with their places (12 bits); and which are the first of their kind, and how many these are."""
+        codes = self.seen[: t - self.counted, :, :live] + self.code[:, :live].astype(np.int32)
+        self.tally += np.bincount(codes.reshape(-1), minlength=self.tally.size).astype(np.int32).reshape(self.tally.shape)
+        missed, hit = self.tally[:, :, :8], self.tally[:, :, 8:]
+        share = np.clip((hit * 4096 + FIRST[:, None] * TRUST) // (missed + hit + TRUST), LEAST, MOST)
+        share[:, :, 0] = 0
+        self.worth[:, :, :8] = share
+        total = self.new[:live].sum(axis=1)
+        others = np.maximum(t - hit[:, :live].sum(axis=(0, 2)), total)
+        self.fresh[:live] = np.minimum((total * 4096 + 8192) // (others + 4), 3072)
+        share = 4 + (self.new[:live] * 8 + 8) * 224 // (total * 8 + 64)[:, None]
+        self.spread[:live] = (np.cumsum(share, axis=1) - share << 9) + share
+        ids = self.ids.reshape(-1, self.stride)[:live, 1 : t + 1]
+        keys = np.left_shift(ids, 12, dtype=np.int32, casting="unsafe")
+        keys |= np.arange(t, dtype=np.int32)
+        keys.sort(axis=1)
+        edge = np.ones((live, t), bool)
+        np.greater((keys[:, 1:] ^ keys[:, :-1]), 4095, out=edge[:, 1:])
+        starts = np.flatnonzero(edge)
+        self.counted, self.first = t, self.row[:live] // self.stride * t
+        return keys, starts, np.diff(starts, append=live * t)
 
 
 class Writer:
@@ -92,18 +198,15 @@ class Writer:
         self.lanes: list[np.ndarray] = []
         self.words: list[np.ndarray] = []
 
-    def code(self, lane, start, size, step) -> None:
-        """Narrows the lanes' intervals; `step` is range // total."""
-        low, width = self.low[lane] + step * start, step * size
-        small = (width <= LOW32).nonzero()[0]
+    def code(self, start: np.ndarray, size: np.ndarray) -> None:
+        """Narrows the first lanes' intervals to `size` parts of 2**28 from `start` on."""
+        head = slice(0, len(start))
+        low, width, small = _narrowed(self.low[head], self.range[head], start, size)
         if len(small):
-            l, w = low[small], width[small]
-            crosses = (l >> TOP) != ((l + w - U(1)) >> TOP)
-            w = np.where(crosses, (U(1) << TOP) - (l & LOW32), w)
-            self.lanes.append(small if isinstance(lane, slice) else lane[small])
-            self.words.append((l >> TOP).astype(np.uint32))
-            low[small], width[small] = l << TOP, w << TOP
-        self.low[lane], self.range[lane] = low, width
+            self.lanes.append(small)
+            self.words.append((low[small] >> TOP).astype(np.uint32))
+            low[small] <<= TOP
+        self.low[head], self.range[head] = low, width
 
     def finish(self) -> tuple[np.ndarray, np.ndarray]:
         """All words in lane order, and how many each lane has."""
@@ -124,17 +227,30 @@ class Reader:
         self.value = self.words[self.at] << TOP | self.words[self.at + 1]
         self.at = self.at + 2
 
-    def take(self, lane, start, size, step) -> None:
-        low, width = self.low[lane] + step * start, step * size
-        small = (width <= LOW32).nonzero()[0]
+    def targets(self, live: int) -> np.ndarray:
+        """Where the first lanes' values lie, in parts of 2**28."""
+        return np.minimum((self.value[:live] - self.low[:live]) // (self.range[:live] >> UNIT), U((1 << 28) - 1)).astype(np.int32)
+
+    def take(self, start: np.ndarray, size: np.ndarray) -> None:
+        head = slice(0, len(start))
+        low, width, small = _narrowed(self.low[head], self.range[head], start, size)
         if len(small):
-            l, w, own = low[small], width[small], small if isinstance(lane, slice) else lane[small]
-            crosses = (l >> TOP) != ((l + w - U(1)) >> TOP)
-            w = np.where(crosses, (U(1) << TOP) - (l & LOW32), w)
-            self.value[own] = self.value[own] << TOP | self.words[np.minimum(self.at[own], len(self.words) - 1)]
-            self.at[own] += 1
-            low[small], width[small] = l << TOP, w << TOP
-        self.low[lane], self.range[lane] = low, width
+            self.value[small] = self.value[small] << TOP | self.words[np.minimum(self.at[small], len(self.words) - 1)]
+            self.at[small] += 1
+            low[small] <<= TOP
+        self.low[head], self.range[head] = low, width
+
+
+def _narrowed(low, width, start, size):
+    """New bounds, and the lanes whose upper 32 bits are settled; those have got their new width already, and their old low."""
+    step = width >> UNIT
+    low, width = low + step * start.astype(np.uint64), step * size.astype(np.uint64)
+    small = np.flatnonzero(width <= LOW32)
+    if len(small):
+        l, w = low[small], width[small]
+        crosses = (l >> TOP) != ((l + w - U(1)) >> TOP)
+        width[small] = np.where(crosses, (U(1) << TOP) - (l & LOW32), w) << TOP
+    return low, width, small
 
 
 def _plan(lengths: np.ndarray):
@@ -145,35 +261,71 @@ def _plan(lengths: np.ndarray):
     return order, (np.cumsum(lengths) - lengths)[order], lives
 
 
+def _groups(lengths: np.ndarray) -> list[slice]:
+    """Blocks that are coded side by side, LANES at the most."""
+    n = -(-len(lengths) // LANES)
+    cuts = [len(lengths) * k // n for k in range(n + 1)] if n else []
+    return [slice(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _previous(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each place and lane, the place (from 1) where its id stood last, 0 for none."""
+    longest = int(sizes.max())
+    out = np.zeros((longest, len(sizes)), np.int16)
+    place = np.arange(longest, dtype=np.int32)
+    for k in range(0, len(sizes), 128):
+        at = starts[k : k + 128, None] + place
+        key = np.where(place < sizes[k : k + 128, None], ids.take(at, mode="clip").astype(np.int32), 1 << 17) << 12 | place
+        key.sort(axis=1)
+        lane, same = np.nonzero(key[:, 1:] >> 12 == key[:, :-1] >> 12)
+        own = np.zeros((len(at), longest), np.int16)
+        own[lane, key[lane, same + 1] & 4095] = (key[lane, same] & 4095) + 1
+        out[:, k : k + 128] = own.T
+    return out
+
+
 def encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
-    """The payload of each block; blocks follow one another in `ids`."""
-    if len(lengths) > LANES:
-        cut = int(lengths[:LANES].sum())
-        return encode_blocks(ids[:cut], lengths[:LANES]) + encode_blocks(ids[cut:], lengths[LANES:])
+    """The payload of each block; blocks follow one another in `ids`. A block whose ids do not shrink is kept as it is, and
+    one with ids of 65535 or more, which the models do not know, in 32 bits each."""
+    if len(lengths) and int(lengths.max()) > LONGEST:
+        raise ValueError(f"a block has {LONGEST} ids at the most")
+    out, begin = [], 0
+    for group in _groups(lengths):
+        sizes = lengths[group]
+        own = ids[begin : begin + int(sizes.sum())]
+        begin += len(own)
+        starts = np.cumsum(sizes) - sizes
+        for coded, at, n in zip(_encoded(np.minimum(own, NOTHING - 1), sizes), starts.tolist(), sizes.tolist(), strict=True):
+            block = own[at : at + n]
+            if n and int(block.max()) >= NOTHING:
+                out.append(bytes([RAW32]) + block.astype("<u4").tobytes())
+            elif len(coded) >= 2 * n:
+                out.append(bytes([RAW16]) + block.astype("<u2").tobytes())
+            else:
+                out.append(bytes([CODED]) + coded)
+    return out
+
+
+def _encoded(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     order, starts, lives = _plan(lengths)
-    models, out = Models(len(lengths)), Writer(len(lengths))
-    ids = ids.astype(np.intp)
+    models, out = Models(len(lengths), len(lives)), Writer(len(lengths))
+    ids = ids.astype(np.uint16)
+    former = _previous(ids, starts, lengths[order]) if lives else None
+    orders = np.zeros(len(lengths) * models.stride, np.int32)  # of the id at each place
     for t, live in enumerate(lives):
+        if t in EPOCHS:
+            keys, begins, counts = models.update(t, live)
+            keys &= 4095
+            keys += models.row[:live, None].astype(np.int32) + 1
+            orders[keys] = np.repeat(((begins % t << 12) + counts).astype(np.int32), counts).reshape(live, t)
         own = ids.take(starts[:live] + t, mode="wrap")
+        places = models.row[:live] + former[t, :live]
+        known = orders.take(places, mode="wrap")
+        known[known == 0] = models.counted << 12
         models.predict(live)
-        right2 = models.guess2 == own
-        right1 = models.guess1 == own
-        start = np.where(right2, 0, np.where(right1, models.share2, models.both)).view(np.uint64)
-        size = np.where(right2, models.share2, np.where(right1, models.share1, 65536 - models.both)).view(np.uint64)
-        head = slice(0, live)
-        out.code(head, start, size, out.range[head] >> U(16))
-        rest = (~(right1 | right2)).nonzero()[0]
-        if len(rest):
-            literal = own[rest]
-            cls = ((literal >= 512).view(np.int8) + (literal >= 4096).view(np.int8) + (literal >= 16384).view(np.int8)).astype(np.intp)
-            counts, sums = models.classes(rest)
-            at, total = cls * len(rest) + models.lane[: len(rest)], sums[4]
-            unit = counts.reshape(-1).take(at, mode="wrap").astype(np.uint64) << SHIFT.take(cls, mode="wrap")
-            first = sums.reshape(-1).take(at, mode="wrap") << 16
-            below = literal - EDGES.take(cls, mode="wrap")
-            out.code(rest, first.view(np.uint64) + below.view(np.uint64) * unit, unit, out.range.take(rest, mode="wrap") // (total.view(np.uint64) << U(16)))
-            models.count(rest, cls, total)
-        models.learn(live, own, right1, right2)
+        out.code(*models.interval(own, known))
+        models.learn(t, own)
+        orders[models.row[:live] + (t + 1)] = known
     words, counts = out.finish()
     payload, begin, blocks = words.astype("<u4").tobytes(), 0, [b""] * len(lengths)
     for which, n in zip(order.tolist(), counts.tolist(), strict=True):
@@ -183,53 +335,47 @@ def encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
 
 
 def decode_blocks(payloads: list[bytes], lengths: np.ndarray) -> np.ndarray:
-    if len(lengths) > LANES:
-        return np.concatenate((decode_blocks(payloads[:LANES], lengths[:LANES]), decode_blocks(payloads[LANES:], lengths[LANES:])))
-    order, starts, lives = _plan(lengths)
-    words = np.frombuffer(b"".join([payloads[i] for i in order]), "<u4")
-    models, source = Models(len(lengths)), Reader(words, np.array([len(payloads[i]) // 4 for i in order], np.int64))
+    """The ids of all blocks, one after the other."""
     ids = np.empty(int(lengths.sum()), np.int32)
+    starts = np.cumsum(lengths) - lengths
+    kinds = np.fromiter((p[0] if p else -1 for p in payloads), np.int64, len(payloads))
+    for kind, width in ((RAW16, "<u2"), (RAW32, "<u4")):
+        for i in np.flatnonzero(kinds == kind).tolist():
+            own = np.frombuffer(payloads[i], width, offset=1)
+            ids[starts[i] : starts[i] + len(own)] = own
+    coded = np.flatnonzero(kinds == CODED)
+    for group in _groups(coded):
+        _decode([payloads[i] for i in coded[group]], lengths[coded[group]], starts[coded[group]], ids)
+    return ids
+
+
+def _decode(payloads: list[bytes], lengths: np.ndarray, begins: np.ndarray, ids: np.ndarray) -> None:
+    order, _, lives = _plan(lengths)
+    starts = begins[order]
+    words = np.frombuffer(b"".join([payloads[i][1:] for i in order]), "<u4")
+    models, source = Models(len(lengths), len(lives)), Reader(words, np.array([len(payloads[i]) // 4 for i in order], np.int64))
     for t, live in enumerate(lives):
+        if t in EPOCHS:
+            keys, firsts, counts = models.update(t, live)
+            values = (keys.reshape(-1)[firsts] >> 12).astype(np.int64) << 32 | (firsts % t << 12) + counts
+            models.ranked = np.repeat(values, counts)
         models.predict(live)
-        head = slice(0, live)
-        step = source.range[head] >> U(16)
-        target = np.minimum((source.value[head] - source.low[head]) // step, U(65535)).view(np.int64)
-        hit2 = target < models.share2
-        hit1 = ~hit2 & (target < models.both)
-        start = np.where(hit2, 0, np.where(hit1, models.share2, models.both)).view(np.uint64)
-        size = np.where(hit2, models.share2, np.where(hit1, models.share1, 65536 - models.both)).view(np.uint64)
-        source.take(head, start, size, step)
-        own = np.where(hit2, models.guess2, models.guess1)
-        rest = (~(hit1 | hit2)).nonzero()[0]
-        if len(rest):
-            counts, sums = models.classes(rest)
-            total = sums[4]
-            wide = total.view(np.uint64) << U(16)
-            step = source.range.take(rest, mode="wrap") // wide
-            target = np.minimum((source.value.take(rest, mode="wrap") - source.low.take(rest, mode="wrap")) // step, wide - U(1))
-            place = (target >> U(16)).view(np.int64)
-            cls = ((place >= sums[1]).view(np.int8) + (place >= sums[2]).view(np.int8) + (place >= sums[3]).view(np.int8)).astype(np.intp)
-            at = cls * len(rest) + models.lane[: len(rest)]
-            unit = counts.reshape(-1).take(at, mode="wrap").astype(np.uint64) << SHIFT.take(cls, mode="wrap")
-            first = (sums.reshape(-1).take(at, mode="wrap") << 16).view(np.uint64)
-            below = (target - first) // unit
-            source.take(rest, first + below * unit, unit, step)
-            models.count(rest, cls, total)
-            own[rest] = EDGES.take(cls, mode="wrap") + below.view(np.int64)
-        models.learn(live, own, models.guess1 == own, models.guess2 == own)
+        own, order = models.find(source.targets(live))
+        source.take(*models.interval(own, order))
+        models.learn(t, own)
         ids[starts[:live] + t] = own
-    return ids
 
 
 def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, block: int = BLOCK) -> DataFrame:
     """Writes the ids of all documents in ascending doc_id order; the table of blocks written.
 
     Each row is one block: part and block number it in file order, doc_ids and doc_counts are the documents that begin
-    or go on in it and their ids there, tokens their sum, crc32 the checksum of the ids, payload the coded ids."""
+    or go on in it and their ids there, first_doc the number in its part of the first of them, tokens the sum of their
+    ids, crc32 the checksum of the ids, payload the coded ids."""
 
     def run(batches):
         part = -1
-        number = 0
+        number = documents = 0
         for batch in slices(batches, "body", 32 << 20):
             if part < 0:
                 from pyspark import TaskContext
@@ -251,20 +397,21 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, block: int =
             crcs = [zlib.crc32(raw[i * block : (i + 1) * block]) for i in range(len(lengths))]
             offsets = pa.array(cuts, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(lengths), part), pa.int32()), pa.array(number + np.arange(len(lengths)), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(list(owners), pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(share, pa.int64())), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()), pa.array(payloads, pa.binary())],
-                names=["part", "block", "doc_ids", "doc_counts", "tokens", "crc32", "payload"],
+                [pa.array(np.full(len(lengths), part), pa.int32()), pa.array(number + np.arange(len(lengths)), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(list(owners), pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(share, pa.int64())), pa.array(documents + doc[cuts[:-1]], pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()), pa.array(payloads, pa.binary())],
+                names=["part", "block", "doc_ids", "doc_counts", "first_doc", "tokens", "crc32", "payload"],
             )
             number += len(lengths)
+            documents += batch.num_rows
 
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body")).orderBy("doc_id")
-    return saved(ordered.mapInArrow(run, "part int, block long, doc_ids array<bigint>, doc_counts array<bigint>, tokens long, crc32 long, payload binary"), "token-blocks")
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body")).orderBy("doc_id", F.xxhash64("body"))
+    return saved(ordered.mapInArrow(run, "part int, block long, doc_ids array<bigint>, doc_counts array<bigint>, first_doc long, tokens long, crc32 long, payload binary"), "token-blocks")
 
 
 def read_tokens(blocks: DataFrame) -> DataFrame:
     """doc_id, part, block, place, ids of each stretch of ids of a document, in the order of the file; a wrong checksum raises."""
 
     def run(batches):
-        for batch in slices(batches, "payload", 12 << 20):
+        for batch in slices(batches, "payload", 16 << 20):
             lengths = batch.column("tokens").to_numpy()
             ids = checked(batch, lengths)
             shares = batch.column("doc_counts").combine_chunks() if isinstance(batch.column("doc_counts"), pa.ChunkedArray) else batch.column("doc_counts")
@@ -288,25 +435,25 @@ def checked(batch: pa.RecordBatch, lengths: np.ndarray) -> np.ndarray:
 
 
 def index_tokens(blocks: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of each document, read back from its blocks.
+    """doc_id, start, n_tokens, ids_crc32 of each document, read back from its blocks; a document is a row that was written.
 
     Stretches are summed up by their lengths and checksums alone; starts come from the totals of parts, which are
     as few as the sort's partitions, and of blocks within a part."""
 
     def run(batches):
-        for batch in slices(batches, "payload", 12 << 20):
+        for batch in slices(batches, "payload", 16 << 20):
             lengths = batch.column("tokens").to_numpy()
             raw, begin = checked(batch, lengths).astype("<u4"), 0
             rows = []
-            for part, block, owners, shares in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "doc_ids", "doc_counts")), strict=True):
+            for part, block, first, owners, shares in zip(*(batch.column(c).to_pylist() for c in ("part", "block", "first_doc", "doc_ids", "doc_counts")), strict=True):
                 at = 0
                 for place, (owner, n) in enumerate(zip(owners, shares, strict=True)):
-                    rows.append((part, block, place, at, owner, n, raw[begin : begin + n].tobytes() if n < 0 else zlib.crc32(raw[begin : begin + n])))
+                    rows.append((part, block, first + place, at, owner, n, zlib.crc32(raw[begin : begin + n])))
                     begin += n
                     at += n
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()), strict=True)], names=["part", "block", "place", "at", "doc_id", "n", "crc"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.int64()] * 6), strict=True)], names=["part", "block", "doc", "at", "doc_id", "n", "crc"])
 
-    stretches = blocks.mapInArrow(run, "part int, block long, place int, at long, doc_id long, n long, crc long")
+    stretches = blocks.mapInArrow(run, "part int, block long, doc long, at long, doc_id long, n long, crc long")
     totals = blocks.groupBy("part").agg(F.sum("tokens").alias("tokens")).collect()  # one row for each partition of the sort
     before, run_total = {}, 0
     for row in sorted(totals, key=lambda r: r.part):
@@ -317,7 +464,7 @@ def index_tokens(blocks: DataFrame) -> DataFrame:
 
     begins = blocks.select("part", "block", "tokens").withColumn("begin", F.coalesce(F.sum("tokens").over(Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     placed = stretches.join(begins.drop("tokens"), ["part", "block"]).join(F.broadcast(parts), "part")
-    placed = placed.select("doc_id", (F.col("before") + F.col("begin") + F.col("at")).alias("start"), "n", "crc")
+    placed = placed.select("part", "doc", "doc_id", (F.col("before") + F.col("begin") + F.col("at")).alias("start"), "n", "crc")
 
     def joined(batches):
         for batch in batches:
@@ -332,7 +479,7 @@ def index_tokens(blocks: DataFrame) -> DataFrame:
                 crcs.append(crc)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return placed.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", "crc")).alias("stretches")).mapInArrow(joined, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return placed.groupBy("part", "doc").agg(F.first("doc_id").alias("doc_id"), F.collect_list(F.struct("start", "n", "crc")).alias("stretches")).select("doc_id", "stretches").mapInArrow(joined, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _times(matrix: list[int], vector: int) -> int:
