@@ -19,6 +19,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -28,9 +29,10 @@ from .common import id_and_bytes, map_slices, ragged
 SPACE = r"\t-\r \x85\xa0  -     　"
 SEGMENT = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 CHUNK = re.compile(rf"[^{SPACE}]+")
-ODD_SPACE = re.compile("[\x1c-\x1f]")
+ODD_SPACE = r"[\x1c-\x1f]"
 #: What the library itself encodes: chunks over 64 characters, special tokens, and letters that normalisation may alter.
-ODD_CHUNK = re.compile(r"[^\x00-\u012f\u0131-\u024f]|<\||^.{65}", re.M)
+ODD_CHUNK = r"[^\x00-\x{12f}\x{131}-\x{24f}]|<\||^.{65}"
+MARKS = pa.array(list(".,;:!?"))
 NONE = np.int32(1 << 30)
 
 
@@ -239,13 +241,38 @@ class ByteCodec:
 
 def gathered(values: np.ndarray, counts: np.ndarray, parts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lists made of lists: list i consists of the next sizes[i] of `parts`, numbers of lists in (values, counts)."""
-    starts = np.cumsum(counts) - counts
-    own = counts[parts]
-    group, offset = ragged(own)
-    out = values[starts[parts][group] + offset]
-    total = np.concatenate(([0], np.cumsum(own)))
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(values, pa.int32()))
+    total = np.concatenate(([0], np.cumsum(counts[parts])))
     ends = np.cumsum(sizes)
-    return out, total[ends] - total[ends - sizes]
+    return lists.take(pa.array(parts, pa.int64())).flatten().to_numpy(), total[ends] - total[ends - sizes]
+
+
+def decoded(bodies: list[bytes] | pa.Array) -> pa.Array:
+    """Texts; bytes that are not UTF-8 count as U+FFFD."""
+    bodies = bodies if isinstance(bodies, pa.Array) else pa.array(bodies, pa.binary())
+    try:
+        return bodies.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([b.decode("utf-8", "replace") for b in bodies.to_pylist()], pa.string())
+
+
+def split_spaces(texts: pa.Array) -> pa.ListArray:
+    """The chunks between white space of each text."""
+    if pc.any(pc.match_substring_regex(texts, ODD_SPACE)).as_py():
+        return pa.array([CHUNK.findall(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+    found = pc.utf8_split_whitespace(texts)
+    flat = found.flatten()
+    full = pc.not_equal(flat, "")
+    kept = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False))))
+    return pa.ListArray.from_arrays(pa.array(kept[found.offsets.to_numpy() - found.offsets[0].as_py()], pa.int32()), flat.filter(full))
+
+
+def laid_out(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all strings, one after the other, and how many each has."""
+    _, offsets, data = strings.buffers()
+    cuts = np.frombuffer(offsets, np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64) if len(strings) else np.zeros(1, np.int64)
+    raw = np.frombuffer(data, np.uint8)[cuts[0] : cuts[-1]] if cuts[-1] > cuts[0] else np.empty(0, np.uint8)
+    return raw, np.diff(cuts)
 
 
 class WordCodec:
@@ -276,10 +303,9 @@ class WordCodec:
         self.last = np.array([vocab[c + end] for c in chars], np.int32)
         self.special = [t["content"] for t in spec["added_tokens"]]
 
-    def rounds(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def rounds(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, one after the other, and how many each has."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        raw = np.frombuffer(b"".join(words), np.uint8)
+        raw, lengths = laid_out(words)
         starts = np.cumsum(lengths) - lengths
         symbol = self.inner[raw]
         ends = starts + lengths - 1
@@ -317,49 +343,42 @@ class WordCodec:
             ids[starts[which][:, None] + np.arange(rows.shape[1])] = rows
         return ids, counts
 
-    def encode(self, bodies: list[bytes], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, bodies: list[bytes] | pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, each followed by `end`, and how many each has."""
-        chunks, texts = Numbering(), []
-        number = chunks.__getitem__
-        for body in bodies:
-            text = body.decode("utf-8", "replace")
-            found = CHUNK.findall(text) if ODD_SPACE.search(text) else text.split()
-            if end is not None:
-                found.append("")  # stands for the end
-            texts.append(np.fromiter(map(number, found), np.int64, len(found)))
-        words, parts, sizes = Numbering(), [], []
-        joined = "\n".join(chunks)
-        lowered = joined.lower().split("\n") if chunks else []
-        add, size = parts.append, sizes.append
-        for small in lowered:
-            if small.isalpha():
-                add(words[small])
-                size(1)
-            elif (head := small[:-1]).isalpha() and small[-1] in ".,;:!?":
-                add(words[head])
-                add(words[small[-1]])
-                size(2)
-            else:
-                own = self.pattern.findall(small)
-                parts += [words[w] for w in own]
-                size(len(own))
-        ready = {chunks[""]: [end]} if "" in chunks else {}
-        odd = {m.start() for m in ODD_CHUNK.finditer(joined)}
-        if odd:
-            begins = np.cumsum(np.fromiter((len(c) + 1 for c in chunks), np.int64, len(chunks)))
-            names = list(chunks)
-            for i in np.unique(np.searchsorted(begins, sorted(odd), side="right")).tolist():
-                ready[i] = self.library.encode(names[i], add_special_tokens=False).ids
-        ids, counts = self.rounds([w.encode() for w in words]) if words else (np.empty(0, np.int32), np.empty(0, np.int64))
-        ids, counts = gathered(ids, counts, np.array(parts, np.int64), np.array(sizes, np.int64)) if sizes else (ids, counts)
-        if ready:
-            extra = [np.array(v, np.int32) for v in ready.values()]
-            group = np.arange(len(counts))
-            parts = group.copy()
-            parts[list(ready)] = len(counts) + np.arange(len(extra))
-            ids, counts = gathered(np.concatenate([ids, *extra]), np.concatenate((counts, [len(x) for x in extra])), parts, np.ones(len(group), np.int64))
-        every = np.concatenate(texts) if texts else np.empty(0, np.int64)
-        return gathered(ids, counts, every, np.fromiter(map(len, texts), np.int64, len(texts)))
+        found = split_spaces(decoded(bodies))
+        own = np.diff(found.offsets.to_numpy())
+        chunks = found.flatten().dictionary_encode()
+        names = chunks.dictionary
+        odd = pc.match_substring_regex(names, ODD_CHUNK)
+        small = pc.utf8_lower(names)
+        # Most chunks are a word, or a word and a mark; the pattern cuts the others.
+        single = pc.and_not(pc.utf8_is_alpha(small), odd)
+        head, mark = pc.utf8_slice_codeunits(small, 0, -1), pc.utf8_slice_codeunits(small, -1)
+        double = pc.and_not(pc.and_not(pc.and_(pc.utf8_is_alpha(head), pc.is_in(mark, MARKS)), single), odd)
+        others = pc.invert(pc.or_(pc.or_(single, double), odd))
+        cut = [self.pattern.findall(c) for c in small.filter(others).to_pylist()]
+        apart = pa.array([w for c in cut for w in c], pa.string())
+        words = pa.concat_arrays([small.filter(single), head.filter(double), mark.filter(double), apart]).dictionary_encode()
+        single, double, others, odd = (np.flatnonzero(m.to_numpy(zero_copy_only=False)) for m in (single, double, others, odd))
+        sizes = np.ones(len(names), np.int64)
+        sizes[double] = 2
+        sizes[others] = np.fromiter(map(len, cut), np.int64, len(cut))
+        sizes[odd] = 0
+        starts = np.cumsum(sizes) - sizes
+        parts = np.empty(int(sizes.sum()), np.int64)
+        group, place = ragged(sizes[others])
+        parts[np.concatenate((starts[single], starts[double], starts[double] + 1, starts[others][group] + place))] = words.indices.to_numpy()
+        ids, counts = gathered(*self.rounds(words.dictionary), parts, sizes)
+        if len(odd):
+            extra = [self.library.encode(c, add_special_tokens=False).ids for c in names.take(pa.array(odd)).to_pylist()]
+            parts = np.arange(len(counts))
+            parts[odd] = len(counts) + np.arange(len(extra))
+            counts = np.concatenate((counts, np.fromiter(map(len, extra), np.int64, len(extra))))
+            ids, counts = gathered(np.concatenate((ids, *(np.array(v, np.int32) for v in extra))), counts, parts, np.ones(len(parts), np.int64))
+        ids, counts = gathered(ids, counts, chunks.indices.to_numpy(), own)
+        if end is None:
+            return ids, counts
+        return np.insert(ids, np.cumsum(counts), end), counts + 1
 
 
 def byte_characters() -> list[str]:

@@ -28,7 +28,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
     """doc_id, piece, start, length, ids_crc32 of every document's ids cut at `capacity`."""
 
     def work(batch):
-        ids, counts = WordCodec.of(path).encode(batch.column("body").to_pylist(), end_id)
+        ids, counts = WordCodec.of(path).encode(batch.column("body"), end_id)
         ids = ids.astype("<u4")
         doc, piece, start, length, crc = [], [], [], [], []
         begin = 0

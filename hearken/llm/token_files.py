@@ -381,7 +381,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, block: int =
                 from pyspark import TaskContext
 
                 part = TaskContext.get().partitionId()
-            ids, counts = WordCodec.of(path).encode(batch.column("body").to_pylist(), end_id)
+            ids, counts = WordCodec.of(path).encode(batch.column("body"), end_id)
             total = len(ids)
             lengths = np.full(-(-total // block), block, np.int64)
             lengths[-1] = total - block * (len(lengths) - 1)
