@@ -6,6 +6,7 @@ batch never grows with the table, only with the longest single text.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -17,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES, LONG_WORD = 4 << 20, 32
 _M = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BASE_INV = pow(_BASE, -1, 1 << 64)
@@ -62,9 +63,13 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
 
 
 def shared_folder(spark: SparkSession, what: str) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; set here only where it is unset, as in tests."""
+    """A new folder below spark.checkpoint.dir, which all executors share. Where it is unset, a session of this machine alone
+    gets a temporary one, and a cluster's is refused. What is written there stays until the session's owner removes it: a
+    result that is read again later may need it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "hearken-checkpoints")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
@@ -132,6 +137,10 @@ class Words:
         self.begin = np.concatenate(([0], np.cumsum(np.fromiter((len(b) + 1 for b in bodies), np.int64, len(bodies)))))
         self.first = np.searchsorted(self.starts, self.begin)
         self.hashes = span_hashes(_TABLE[joined], self.starts, self.ends)
+        # Sums modulo 2**64 can be made to agree for long words, whatever the base (Thue-Morse), so these get another hash.
+        for i in np.flatnonzero(self.ends - self.starts > LONG_WORD).tolist():
+            word = joined[self.starts[i] : self.ends[i]].tobytes()
+            self.hashes[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
 def window_hashes(hashes: np.ndarray, k: int) -> np.ndarray:

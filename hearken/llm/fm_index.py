@@ -8,20 +8,63 @@ ONE = np.uint64(1)
 
 
 class Bits:
-    """A bit vector of packed words with counts before each word."""
+    """A bit vector of packed words, with counts before each 512 bits, and from there before each word: 1.31 bits a bit."""
 
     def __init__(self, bits: np.ndarray):
-        padded = np.zeros((len(bits) // 64 + 1) * 64, np.uint8)
+        padded = np.zeros((len(bits) // 512 + 1) * 512, np.uint8)
         padded[: len(bits)] = bits
         self.words = np.packbits(padded, bitorder="little").view("<u8")
         counts = np.bitwise_count(self.words).astype(np.int64)
-        self.before = np.cumsum(counts) - counts
+        before = np.cumsum(counts) - counts
+        self.far = before[::8].astype(np.uint32)
+        self.near = (before - np.repeat(before[::8], 8)).astype(np.uint16)
         self.zeros = len(bits) - int(counts.sum())
 
     def rank(self, at: np.ndarray) -> np.ndarray:
         """Ones before each place."""
         word = at >> 6
-        return self.before[word] + np.bitwise_count(self.words[word] & ((ONE << (at & 63).astype(np.uint64)) - ONE))
+        within = np.bitwise_count(self.words[word] & ((ONE << (at & 63).astype(np.uint64)) - ONE))
+        return self.far[word >> 3].astype(np.int64) + self.near[word] + within
+
+
+class Least:
+    """Least values of ranges: whole blocks by a table of doubling steps over blocks, the ends by running minima."""
+
+    def __init__(self, values: np.ndarray, bits: int = 5):
+        self.bits, size = bits, 1 << bits
+        blocks = len(values) // size + 1
+        padded = np.full(blocks * size, np.iinfo(values.dtype).max, values.dtype)
+        padded[: len(values)] = values
+        grid = padded.reshape(blocks, size)
+        self.values = padded
+        self.before = np.minimum.accumulate(grid, axis=1).reshape(-1)
+        self.after = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+        self.steps, step = [grid.min(axis=1)], 1
+        while step * 2 <= blocks:
+            last = self.steps[-1]
+            self.steps.append(np.minimum(last[:-step], last[step:]))
+            step *= 2
+
+    def of(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Of the values from low to high - 1 (of non-empty ranges)."""
+        first, last = low >> self.bits, high - 1 >> self.bits
+        out = np.minimum(self.after[low], self.before[high - 1])
+        inner = np.flatnonzero(last - first > 1)
+        if len(inner):
+            a, n = first[inner] + 1, (last - first)[inner] - 1
+            k = np.frexp(n.astype(float))[1] - 1
+            for level in np.unique(k).tolist():
+                at = np.flatnonzero(k == level)
+                table = self.steps[level]
+                own = inner[at]
+                out[own] = np.minimum(out[own], np.minimum(table[a[at]], table[a[at] + n[at] - (1 << level)]))
+        same = np.flatnonzero(first == last)
+        if len(same):
+            place = low[same, None] + np.arange(1 << self.bits)
+            inside = place < high[same, None]
+            found = self.values.take(place, mode="clip")
+            out[same] = np.where(inside, found, np.iinfo(found.dtype).max).min(axis=1)
+        return out
 
 
 class FMIndex:
@@ -54,6 +97,7 @@ class FMIndex:
             a, b = np.minimum(left + shared, n - 1), np.minimum(right + shared, n - 1)
             shared += np.where((ranks[k][a] == ranks[k][b]) & (left + shared < n) & (right + shared < n), 1 << k, 0)
         lcp[1:n] = shared
+        lcp = np.minimum(lcp, depth).astype(np.uint8 if depth < 256 else np.int64)  # patterns never grow past `depth`
         bwt = text[order - 1]
         self.levels = max(1, int(len(self.alphabet)).bit_length())
         self.wavelet, row = [], bwt
@@ -64,11 +108,10 @@ class FMIndex:
         symbols = np.arange(len(self.alphabet) + 1)
         self.shift = np.searchsorted(np.sort(text), symbols) - self._descend(np.zeros(len(symbols), np.int64), symbols)
         owner = np.repeat(owners, sizes)[order].astype(np.int32)
-        self.least = [owner]
-        self.low = [lcp.astype(np.uint8)]
+        self.least = Least(owner)
+        self.low = [lcp]
         step = 1
         while step * 2 <= n:
-            self.least.append(np.minimum(self.least[-1][:-step], self.least[-1][step:]))
             self.low.append(np.minimum(self.low[-1][:-step], self.low[-1][step:]))
             step *= 2
         self.lcp = lcp
@@ -88,16 +131,6 @@ class FMIndex:
         shift = self.shift[symbol]
         return both[: len(low)] + shift, both[len(low) :] + shift
 
-    def earliest(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """The smallest owner among the rows low to high - 1 (of non-empty ranges)."""
-        k = np.frexp((high - low).astype(float))[1] - 1
-        out = np.empty(len(low), np.int64)
-        for level in np.unique(k).tolist():
-            at = np.flatnonzero(k == level)
-            table = self.least[level]
-            out[at] = np.minimum(table[low[at]], table[high[at] - (1 << level)])
-        return out
-
     def widen(self, low: np.ndarray, high: np.ndarray, depth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows that share the first `depth` words with the rows given."""
         low, high = low.copy(), high.copy()
@@ -134,7 +167,7 @@ class FMIndex:
             while len(todo):
                 a, b = self.extend(low[todo], high[todo], symbol[todo])
                 good = b > a
-                good[good] = self.earliest(a[good], b[good]) < owners[todo[good]]
+                good[good] = self.least.of(a[good], b[good]) < owners[todo[good]]
                 on = todo[good]
                 low[on], high[on] = a[good], b[good]
                 length[on] += 1
@@ -142,7 +175,7 @@ class FMIndex:
                 lost = todo[length[todo] == 0]
                 low[lost], high[lost] = 0, self.n
                 todo = todo[length[todo] > 0]
-                parent = np.maximum(self.lcp[low[todo]], self.lcp[high[todo]])
+                parent = np.maximum(self.lcp[low[todo]], self.lcp[high[todo]]).astype(np.int64)
                 low[todo], high[todo] = self.widen(low[todo], high[todo], parent)
                 root = todo[parent == 0]
                 low[root], high[root] = 0, self.n

@@ -1,16 +1,18 @@
 """Substring dedup: passages of `window` words that begin in an earlier document are removed.
 
 Windows of a document are grouped into stretches that share their minimizer (the least hash of GRAM consecutive words
-within a window), so equal windows always meet under one minimizer. Minimizers of one document alone end there. Equal
-stretches of several documents are collapsed to the first; stretches of a minimizer that differ go, once each, to the
-shard of that minimizer. A shard is a compressed FM-index over their words: every stretch is streamed against it,
-backward search over wavelet matrices gives its matching statistics against smaller documents, and intervals of `window`
-words or more are reported. Minimizers with over HOT different stretches take an exact count by window instead, with
-sums made before the shuffle, so that no shard grows with a common passage.
-
-Nulls and empty texts have no words; texts under `window` words keep all; repeated rows with one doc_id are one document;
-windows repeated within one document alone stay; texts are taken whole; other columns are ignored. Words are compared by
-64-bit hashes: a false match needs two of a corpus' different words to collide inside otherwise equal windows.
+within a window), so equal windows always meet under one minimizer, and documents need not be streamed against all
+shards. Minimizers of one document alone end there. Equal stretches of several documents are one sequence with the
+smallest of their documents for its owner. Sequences go to the shard of their minimizer: a compressed FM-index over
+their words, against which they are streamed; backward search over wavelet matrices gives their matching statistics
+against smaller documents, and intervals of `window` words or more are reported. A minimizer with over HOT sequences is
+dealt to several sub-shards, which meet in pairs, so that no index grows with a common passage.
+
+Nulls and empty texts have no words; texts under `window` words keep all; rows are told apart by doc_id and text, so rows
+that repeat both get one answer, and texts that share a doc_id are cut each by itself and never for one another; rows
+without doc_id have no place in the order: they keep all words and cut nothing. Windows repeated within one document alone
+stay; texts are taken whole; other columns are ignored; an empty table gives an empty result. Words are compared by 64-bit
+hashes: a false match needs two of a corpus' different words to collide inside otherwise equal windows.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from pyspark.sql import types as T
 from .common import Words, id_and_bytes, map_slices, mixed, ragged, saved, span_hashes, window_hashes
 from .fm_index import FMIndex
 
-WINDOW, GRAM, HOT, SHARD_WORDS = 50, 16, 20_000, 400_000
+WINDOW, GRAM, HOT, SHARD_WORDS = 50, 16, 8192, 400_000
+ROW = ["doc_id", "text_key"]  # tell a row
 
 
 def least_places(values: np.ndarray, width: int) -> np.ndarray:
@@ -41,7 +44,7 @@ def least_places(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, minimizer, content, start, windows: each run of windows that share a minimizer."""
+    """doc_id, text_key, minimizer, content, start, windows: each run of windows that share a minimizer."""
 
     def work(batch):
         bodies = batch.column("body").to_pylist()
@@ -61,13 +64,14 @@ def stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
         content = span_hashes(words.hashes, starts, ends - 1 + window)
         content = mixed(content + (place[starts] - starts).astype(np.uint64))
         own = doc[starts]
-        return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").take(pa.array(own)), "minimizer": pa.array(grams[place[starts]].view(np.int64)), "content": pa.array(content.view(np.int64)), "start": pa.array((starts - words.first[own]).astype(np.int32)), "windows": pa.array((ends - starts).astype(np.int16))})
+        return pa.RecordBatch.from_pydict({**{c: batch.column(c).take(pa.array(own)) for c in ROW}, "minimizer": pa.array(grams[place[starts]].view(np.int64)), "content": pa.array(content.view(np.int64)), "start": pa.array((starts - words.first[own]).astype(np.int32)), "windows": pa.array((ends - starts).astype(np.int16))})
 
-    return map_slices(docs, work, "doc_id long, minimizer long, content long, start int, windows short", limit=2 << 20)
+    return map_slices(docs, work, "doc_id long, text_key long, minimizer long, content long, start int, windows short", limit=2 << 20)
 
 
-def _summed(found: DataFrame) -> DataFrame:
-    """minimizer, content, least and most (doc_id): one row for each stretch that a task reads, in bounded batches."""
+def _spread(found: DataFrame) -> DataFrame:
+    """minimizer, least and most (doc_id): a row for each minimizer that a task reads, in bounded batches, so that a common
+    one leaves a task once."""
 
     def run(batches):
         held, size = [], 0
@@ -81,15 +85,15 @@ def _summed(found: DataFrame) -> DataFrame:
             yield from total(held)
 
     def total(held):
-        grouped = pa.Table.from_batches(held).group_by(["minimizer", "content"]).aggregate([("doc_id", "min"), ("doc_id", "max")])
-        return grouped.rename_columns({"doc_id_min": "least", "doc_id_max": "most"}).select(["minimizer", "content", "least", "most"]).to_batches()
+        grouped = pa.Table.from_batches(held).group_by(["minimizer"]).aggregate([("doc_id", "min"), ("doc_id", "max")])
+        return grouped.rename_columns({"doc_id_min": "least", "doc_id_max": "most"}).select(["minimizer", "least", "most"]).to_batches()
 
-    return found.select("minimizer", "content", "doc_id").mapInArrow(run, "minimizer long, content long, least long, most long")
+    return found.select("minimizer", "doc_id").mapInArrow(run, "minimizer long, least long, most long")
 
 
-def _sequences(wanted: DataFrame, docs: DataFrame, window: int, single: bool) -> DataFrame:
-    """The words of the stretches `wanted`; if `single`, each window's hash instead."""
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("minimizer", "content", "start", "windows", "ask")).alias("own"))
+def _sequences(wanted: DataFrame, docs: DataFrame, window: int) -> DataFrame:
+    """The words of the stretches `wanted`."""
+    by_row = wanted.groupBy(*ROW).agg(F.collect_list(F.struct("minimizer", "content", "start", "windows", "ask", "blocks")).alias("own"))
 
     def work(batch):
         words = Words(batch.column("body").to_pylist())
@@ -98,89 +102,84 @@ def _sequences(wanted: DataFrame, docs: DataFrame, window: int, single: bool) ->
         rows = lists.flatten()
         start = words.first[group] + rows.field("start").to_numpy()
         windows = rows.field("windows").to_numpy().astype(np.int64)
-        ids = batch.column("doc_id").take(pa.array(group))
-        if single:
-            which, k = ragged(windows)
-            at = start[which] + k
-            order = np.argsort(at, kind="stable")
-            hashes = np.empty(len(at), np.uint64)
-            hashes[order] = span_hashes(words.hashes, at[order], at[order] + window)
-            return pa.RecordBatch.from_pydict({"doc_id": ids.take(pa.array(which)), "hash": pa.array(hashes.view(np.int64)), "start": pa.array((at - words.first[group[which]]).astype(np.int32))})
         parts, offset = ragged(windows - 1 + window)
         raw = words.hashes[start[parts] + offset].astype("<u8").tobytes()
         cuts = np.concatenate(([0], np.cumsum((windows - 1 + window) * 8)))
         body = [raw[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-        return pa.RecordBatch.from_pydict({"doc_id": ids, **{k: rows.field(k) for k in ("minimizer", "content", "start", "ask")}, "words": pa.array(body, pa.binary())})
+        return pa.RecordBatch.from_pydict({**{c: batch.column(c).take(pa.array(group)) for c in ROW}, **{k: rows.field(k) for k in ("minimizer", "content", "start", "ask", "blocks")}, "words": pa.array(body, pa.binary())})
 
-    schema = "doc_id long, hash long, start int" if single else "doc_id long, minimizer long, content long, start int, ask boolean, words binary"
-    return map_slices(docs.join(by_doc, "doc_id"), work, schema, limit=2 << 20)
+    schema = "doc_id long, text_key long, minimizer long, content long, start int, ask boolean, blocks int, words binary"
+    return map_slices(docs.join(by_row, ROW), work, schema, limit=2 << 20)
 
 
 def _searched(sequences: DataFrame, window: int, shard_words: int) -> DataFrame:
-    """doc_id, start, stop: the intervals of asked stretches that are found in smaller documents of their shard."""
+    """doc_id, text_key, start, stop: the intervals of asked sequences that are found in smaller documents of their shard."""
 
     def shard(rows: list):
         docs = np.array([r[0] for r in rows])
-        words = [np.frombuffer(r[4], "<u8") for r in rows]
+        words = [np.frombuffer(r[2], "<u8") for r in rows]
         names, owners = np.unique(docs, return_inverse=True)
         index = FMIndex(words, owners, window)
-        ask = [i for i, r in enumerate(rows) if r[3]]
+        ask = [i for i, r in enumerate(rows) if r[1]]
         if not ask:
-            return [], [], []
+            return _intervals([])
         sizes = np.array([len(words[i]) for i in ask])
         found = index.matches(index.codes(np.concatenate([words[i] for i in ask])), sizes, owners[ask], window)
         edge = np.diff(np.concatenate(([False], found, [False])).view(np.int8))
-        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # a stretch's last place is never found, so runs end in it
+        first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # a sequence's last place is never found, so runs end in it
         begin = np.cumsum(sizes) - sizes
         own = np.searchsorted(begin, first, side="right") - 1
-        start = np.array([rows[i][2] for i in ask])[own]
-        return docs[np.array(ask)[own]].tolist(), (start + first - begin[own]).tolist(), (start + last - 1 - begin[own] + window).tolist()
+        out = []
+        for i, low, high in zip(own.tolist(), (first - begin[own]).tolist(), (last - 1 - begin[own] + window).tolist(), strict=True):
+            doc, places = rows[ask[i]][0], rows[ask[i]][3]
+            out += [(doc, key, start + low, start + high) for key, start in places]
+        return _intervals(out)
 
     def run(batches):
-        held, size, last, seen = [], 0, None, set()
+        held, size, last, seen = [], 0, None, {}
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("doc_id", "minimizer", "start", "ask", "words", "content")]
-            for doc, minimizer, start, ask, words, content in zip(*columns, strict=True):
-                if minimizer != last:
+            columns = [batch.column(c).to_pylist() for c in (*ROW, "minimizer", "low", "high", "ask", "words", "content", "start")]
+            for doc, key, minimizer, low, high, ask, words, content, start in zip(*columns, strict=True):
+                if (minimizer, low, high) != last:
                     if size > shard_words:
-                        yield _intervals(*shard(held))
+                        yield shard(held)
                         held, size = [], 0
-                    last, seen = minimizer, set()
-                if content in seen:  # one document's own repeats
-                    content = None
-                else:
-                    seen.add(content)
-                if content is not None or ask:
-                    held.append((doc, minimizer, start, ask, words))
+                    last, seen = (minimizer, low, high), {}
+                if content not in seen:
+                    seen[content] = []
+                    held.append((doc, ask, words, seen[content]))
                     size += len(words) // 8
+                seen[content].append((key, start))  # its owner may repeat it
         if held:
-            yield _intervals(*shard(held))
+            yield shard(held)
 
-    dealt = sequences.repartition("minimizer").sortWithinPartitions("minimizer")
-    return dealt.mapInArrow(run, "doc_id long, start int, stop int")
+    home = F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")
+    others = F.when(F.col("blocks") > 1, F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), F.col("home"))).otherwise(F.array(F.lit(0)))
+    paired = sequences.withColumn("home", home).withColumn("other", F.explode(others))
+    paired = paired.select(*ROW, "minimizer", F.least("home", "other").alias("low"), F.greatest("home", "other").alias("high"), "ask", "words", "content", "start")
+    dealt = paired.repartition("minimizer", "low", "high").sortWithinPartitions("minimizer", "low", "high")
+    return dealt.mapInArrow(run, "doc_id long, text_key long, start int, stop int")
 
 
-def _intervals(docs, starts, stops) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(starts, pa.int32()), pa.array(stops, pa.int32())], names=["doc_id", "start", "stop"])
+def _intervals(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else ([], [], [], [])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], names=[*ROW, "start", "stop"])
 
 
 def repeats(scanned: DataFrame, docs: DataFrame, window: int = WINDOW, gram: int = GRAM, hot: int = HOT, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """doc_id, start, stop: word intervals made of windows that begin in a document with a smaller doc_id as well.
-    `scanned` has doc_id and body as they are read; `docs` has the same rows dealt by doc_id."""
-    found = saved(stretches(scanned, window, gram), "stretches")
-    # Rows of a stretch are summed up within their task, and again for a minimizer, so a common one is a row for each task.
-    each = _summed(found).repartition("minimizer").groupBy("minimizer", "content").agg(F.min("least").alias("first_same"), F.max("most").alias("last_same"))
-    by = Window.partitionBy("minimizer")
-    known = each.select("minimizer", "content", "first_same", F.min("first_same").over(by).alias("first"), F.max("last_same").over(by).alias("last"), F.count("*").over(by).alias("heads"))
-    known = known.where("first <> last").drop("last")
-    met = found.join(known, ["minimizer", "content"]).withColumn("differ", F.col("heads") > 1)
-    met = saved(met.where((F.col("doc_id") > F.col("first_same")) | F.col("differ")), "repeated")
-    copied = met.where(F.col("doc_id") > F.col("first_same")).select("doc_id", "start", (F.col("start") + F.col("windows") + (window - 1)).cast("int").alias("stop"))
-    heads = met.where(F.col("differ") & (F.col("doc_id") == F.col("first_same"))).withColumn("ask", F.col("doc_id") > F.col("first"))
-    searched = _searched(_sequences(heads.where(F.col("heads") <= hot), docs, window, False), window, shard_words)
-    common = _sequences(heads.where(F.col("heads") > hot), docs, window, True)
-    counted = common.join(common.groupBy("hash").agg(F.min("doc_id").alias("first")), "hash").where(F.col("doc_id") > F.col("first"))
-    return copied.unionByName(searched).unionByName(counted.select("doc_id", "start", (F.col("start") + window).cast("int").alias("stop")))
+    """doc_id, text_key, start, stop: word intervals made of windows that begin in a document with a smaller doc_id as well.
+    `scanned` has doc_id, text_key and body as they are read; `docs` has the same rows dealt by doc_id and text_key."""
+    found = saved(stretches(scanned.where("doc_id IS NOT NULL"), window, gram), "stretches")
+    several = _spread(found).groupBy("minimizer").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least <> most").select("minimizer")
+    met = saved(found.join(saved(several, "minimizers"), "minimizer", "left_semi"), "repeated")
+    heads = met.groupBy("minimizer", "content").agg(F.min("doc_id").alias("owner"))
+    shards = saved(heads.groupBy("minimizer").agg(F.min("owner").alias("first"), F.ceil(F.count("*") / hot).cast("int").alias("blocks"), F.count("*").alias("heads")), "shards")
+    known = saved(heads.join(shards, "minimizer"), "heads")
+    owned = met.join(known, ["minimizer", "content"])
+    # Copies of a sequence begin in its owner. What a sequence shares with others is searched for once, for its owner.
+    copied = owned.where("doc_id > owner").select(*ROW, "start", (F.col("start") + F.col("windows") + (window - 1)).cast("int").alias("stop"))
+    asked = owned.where("heads > 1 AND doc_id = owner").withColumn("ask", F.col("owner") > F.col("first"))
+    return copied.unionByName(_searched(_sequences(asked, docs, window), window, shard_words))
 
 
 def cleaned(docs: DataFrame, texts: bool = True, rest: bool = False, **options) -> DataFrame:
@@ -191,8 +190,9 @@ def cleaned(docs: DataFrame, texts: bool = True, rest: bool = False, **options)
     if rest:
         packed = F.struct(*(F.col(f"`{c}`") for c in others)) if others else F.struct(F.lit(0).alias("none"))
         base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body"), packed.alias("rest"))
-    base = base.repartition("doc_id")
-    found = repeats(id_and_bytes(docs), base, **options).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("cut"))
+    scanned, base = (df.withColumn("text_key", F.xxhash64("body")) for df in (id_and_bytes(docs), base))
+    base = base.repartition(*ROW)
+    found = repeats(scanned, base, **options).groupBy(*ROW).agg(F.collect_list(F.struct("start", "stop")).alias("cut"))
 
     def work(batch):
         totals, removed, kept = [], [], []
@@ -216,7 +216,7 @@ def cleaned(docs: DataFrame, texts: bool = True, rest: bool = False, **options)
         schema = schema.add("kept", T.BinaryType())
     if rest:
         schema = schema.add("body", T.BinaryType()).add("rest", base.schema["rest"].dataType)
-    return map_slices(base.join(found, "doc_id", "left"), work, schema)
+    return map_slices(base.join(found, ROW, "left"), work, schema)
 
 
 def without_repeats(docs: DataFrame, **options) -> DataFrame:
