@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from .common import saved
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, root (the least node of its component) of every node of `edges` (src, dst) but the roots. Loops and repeats
-    do no harm; an edge with a null end is left out; no edges, no rows."""
+def components(edges: DataFrame) -> DataFrame:
+    """node, root (the least node of its component) of every node of `edges` (src, dst) but the roots. Rounds go on until
+    nothing changes, which takes about the logarithm of the longest path. Loops and repeats do no harm; an edge with a
+    null end is left out; no edges, no rows."""
     now = saved(edges.where("src != dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct(), "edges")
     before = None
-    for _ in range(rounds):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -22,6 +23,5 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         now = saved(hung.unionByName(least.withColumnRenamed("m", "v")).distinct(), "edges")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
-            break
+            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = state
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -3,29 +3,32 @@
 A document is its set of distinct word shingles; a node is a set's hash, so exact copies are one node. Prefixes are
 made of cells, groups of shingles by their hashes' high bits: they reach over most of a set, and one shared cell means
 several shared shingles, so that common lines and passages do not make candidates. Nodes that share a cell of their
-prefixes fall into a family; families are the components of stars, one for each cell. A family is joined in a task of
-its own, in blocks of BLOCK nodes if it is large: within it every set lengthens its prefix by the estimated cost of its
-candidates, a pair needs correspondingly more shared prefix shingles, pairs already connected are passed over, and what
-is left is verified by the exact sizes of intersection and union. A task returns a spanning forest, not all pairs.
+prefixes fall into a family; families are the components of stars, one for each cell, and a cell's star is begun where
+its sets are read, so that a common cell leaves a task once. A family is joined in a task of its own, or in pairs of
+blocks of BLOCK nodes or BLOCK_SHINGLES shingles if it is large: within it every set lengthens its prefix by the estimated
+cost of its candidates, a pair needs correspondingly more shared prefix shingles, pairs already connected are passed over,
+and what is left is verified by the exact sizes of intersection and union. A task returns a spanning forest, not all pairs.
 
 Nulls, empty texts and texts without words have an empty set and link with nothing; texts under five words are one
-shingle; equal sets always link; ids may repeat; rows without doc_id
-belong to their set's group but never name it; whole texts count; other columns are ignored. Shingles and sets are
-told apart by 64-bit hashes.
+shingle; equal sets always link. Rows are told apart by doc_id and text: rows that repeat both get one answer, texts that
+share a doc_id are grouped each by itself, and rows without doc_id link as others do but never name a group that has
+another. Whole texts count; other columns are ignored; an empty table gives an empty result. Shingles and sets are told
+apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, id_and_bytes, map_slices, mixed, saved, span_hashes
+from .common import Words, id_and_bytes, map_slices, mixed, saved, slices, span_hashes
 from .graph import components
 
 SHINGLE, NEED, OF = 5, 80, 100
-BLOCK, LENGTHS = 4096, 4
+BLOCK, BLOCK_SHINGLES, LENGTHS = 4096, 2_000_000, 4
+HELD_TOKENS = 2_000_000  # of prefixes, looked through together where they are read
 
 
 def shingle_sets(bodies: list[bytes], k: int = SHINGLE) -> list[np.ndarray]:
@@ -94,27 +97,47 @@ def cells(own: np.ndarray, k: int, most: int) -> np.ndarray:
     return hashes
 
 
-def prefixes(docs: DataFrame, need: int = NEED, of: int = OF) -> DataFrame:
-    """token, node for the cells in every set's prefix. Sets x and y that link differ in d = (|x| + |y|) (of - need) /
-    (of + need) shingles at the utmost, so in at most d cells; the first cell that they share is among the first d + 1 of
-    either. The cells are those of the larger set's level, so a set that a set of the next level can link to has a prefix
-    at that level too."""
-
-    def work(batch):
-        tokens, nodes = [], []
-        for own in shingle_sets(batch.column("body").to_pylist()):
-            n = len(own)
-            if n:
-                largest = n * of // need
-                most = (n + largest) * (of - need) // (of + need) + 1
-                first = [cells(own, k, most) for k in range(level(n), level(largest) + 1)]
-                tokens += first
-                nodes.append(np.full(sum(map(len, first)), node_of(own)))
-        if not tokens:
-            return None
-        return pa.RecordBatch.from_pydict({"token": pa.array(np.concatenate(tokens).view(np.int64)), "node": pa.array(np.concatenate(nodes), pa.int64())})
-
-    return map_slices(docs, work, "token long, node long", limit=2 << 20)
+def stars(docs: DataFrame, need: int = NEED, of: int = OF) -> DataFrame:
+    """node, first: a star for each cell, from the nodes that have it in their prefix to the least of them. Sets x and y
+    that link differ in d = (|x| + |y|) (of - need) / (of + need) shingles at the utmost, so in at most d cells; the first
+    cell that they share is among the first d + 1 of either. The cells are those of the larger set's level, so a set that
+    a set of the next level can link to has a prefix at that level too."""
+
+    def prefix(own):
+        n = len(own)
+        largest = n * of // need
+        most = (n + largest) * (of - need) // (of + need) + 1
+        return np.concatenate([cells(own, k, most) for k in range(level(n), level(largest) + 1)])
+
+    def begun(tokens, nodes):
+        """A task's part of the stars: edges to the least node here, and that node's cells, to be joined with other tasks'."""
+        token, node = np.concatenate(tokens).view(np.int64), np.repeat(np.array(nodes, np.int64), [len(t) for t in tokens])
+        order = np.lexsort((node, token))
+        token, node = token[order], node[order]
+        new = np.append(True, token[1:] != token[:-1])
+        first = node[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        edges = np.unique(np.stack((node, first), axis=1)[node != first], axis=0)
+        edge = np.repeat([False, True], [int(new.sum()), len(edges)])
+        key = np.concatenate((token[new], edges[:, 0]))
+        return pa.RecordBatch.from_pydict({"edge": pa.array(edge), "key": pa.array(key), "node": pa.array(np.concatenate((node[new], edges[:, 0]))), "first": pa.array(np.concatenate((node[new], edges[:, 1])))})
+
+    def run(batches):
+        tokens, nodes, size = [], [], 0
+        for batch in slices(batches, limit=2 << 20):
+            for own in shingle_sets(batch.column("body").to_pylist()):
+                if len(own):
+                    tokens.append(prefix(own))
+                    nodes.append(node_of(own))
+                    size += len(tokens[-1])
+            if size > HELD_TOKENS:
+                yield begun(tokens, nodes)
+                tokens, nodes, size = [], [], 0
+        if tokens:
+            yield begun(tokens, nodes)
+
+    rows = docs.mapInArrow(run, "edge boolean, key long, node long, first long")
+    least = F.when(F.col("edge"), F.col("first")).otherwise(F.min("node").over(Window.partitionBy("edge", "key")))
+    return rows.withColumn("first", least).where("node != first").select("node", "first")
 
 
 def family_links(nodes: list[int], sets: list[np.ndarray], sides: list[int], need: int = NEED, of: int = OF) -> list[tuple[int, int]]:
@@ -134,70 +157,83 @@ def family_links(nodes: list[int], sets: list[np.ndarray], sides: list[int], nee
         own = own[np.argsort(frequency[own], kind="stable")]
         rows.append(own)
         base = len(own) - needed(len(own), need, of) + 1
-        cost = np.cumsum(frequency[own])
+        cost = np.cumsum(frequency[own[: base + LENGTHS]])
         # A match more costs a longer scan and saves verifications: pairs with l matches are taken to be fewer by l squared.
-        options = [(cost[min(len(own), base + l - 1) - 1] * (1 + 8 / l**2), l) for l in range(1, LENGTHS + 1) if base + l - 1 <= len(own)]
+        options = [(cost[base + l - 2] * (1 + 8 / l**2), l) for l in range(1, LENGTHS + 1) if base + l - 1 <= len(own)]
         lengths[i] = min(options)[1]
         first.append(own[: base + lengths[i] - 1])
     index = _lists(first, len(frequency))
     whole = None
-    label, out = np.arange(g), []
+    group, out = list(range(g)), []
+
+    def root(i):
+        while group[i] != i:
+            group[i] = group[group[i]]
+            i = group[i]
+        return i
+
     for i in range(g):
-        found = _count(index, first[i], g)
-        able = np.arange(g) < i
-        able &= (found >= np.minimum(lengths, lengths[i])) & (label != label[i]) & (size * of >= size[i] * need)
+        at, found = _matches(index, first[i])
+        able = (at < i) & (found >= np.minimum(lengths[at], lengths[i])) & (size[at] * of >= size[i] * need)
         if split:
-            able &= side != side[i]
-        candidates = np.flatnonzero(able)
+            able &= side[at] != side[i]
+        here = root(i)
+        candidates = np.array([j for j in at[able].tolist() if root(j) != here], np.int64)
         if not len(candidates):
             continue
         if len(candidates) > 24:
             if whole is None:
                 whole = _lists(rows, len(frequency))
-            common = _count(whole, rows[i], g)[candidates]
-            linked = candidates[of * common >= need * (size[candidates] + size[i] - common)]
+            at, found = _matches(whole, rows[i])
+            common = found[np.searchsorted(at, candidates)]
         else:
             common = np.array([len(np.intersect1d(rows[i], rows[j], assume_unique=True)) for j in candidates])
-            linked = candidates[of * common >= need * (size[candidates] + size[i] - common)]
-        for j in linked.tolist():
-            if label[j] != label[i]:
+        for j in candidates[of * common >= need * (size[candidates] + size[i] - common)].tolist():
+            a, b = root(j), root(i)
+            if a != b:
                 out.append((nodes[i], nodes[j]))
-                label[label == label[j]] = label[i]
+                group[a] = b
     return out
 
 
+def _first_row():
+    """The row of least doc_id, one without doc_id only if there is no other."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key"))
+
+
 def _lists(rows: list[np.ndarray], tokens: int):
     flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     order = np.argsort(flat, kind="stable")
     return owner[order], np.concatenate(([0], np.cumsum(np.bincount(flat, minlength=tokens))))
 
 
-def _count(index, tokens: np.ndarray, g: int) -> np.ndarray:
+def _matches(index, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that share some of `tokens`, in ascending order, and how many."""
     owner, cuts = index
-    return np.bincount(np.concatenate([owner[cuts[t] : cuts[t + 1]] for t in tokens.tolist()]), minlength=g)
+    return np.unique(np.concatenate([owner[cuts[t] : cuts[t + 1]] for t in tokens.tolist()]), return_counts=True)
 
 
-def links(docs: DataFrame, signed: DataFrame, need: int = NEED, of: int = OF, block: int = BLOCK) -> DataFrame:
+def links(docs: DataFrame, signed: DataFrame, need: int = NEED, of: int = OF, block: int = BLOCK, shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """src, dst: a spanning forest of each family's links between different sets."""
-    from pyspark.sql import Window
-
-    stars = prefixes(docs, need, of).withColumn("first", F.min("node").over(Window.partitionBy("token"))).where("node != first")
-    members = components(stars.select(F.col("node").alias("src"), F.col("first").alias("dst")))
+    members = components(stars(docs, need, of).select(F.col("node").alias("src"), F.col("first").alias("dst")))
     families = members.unionByName(members.select(F.col("root").alias("node"), "root").distinct())
-    sizes = families.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    one = signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    homes = families.join(sizes, "root").withColumn("home", F.pmod(F.xxhash64("node", F.lit("home")), F.col("blocks")).cast("int"))
+    one = signed.groupBy("node").agg(_first_row().alias("row"), F.first("n").alias("n"))
+    homes = families.join(one, "node")
+    parts = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / shingles)).cast("int")
+    sizes = homes.groupBy("root").agg(parts.alias("blocks"))
+    homes = homes.join(sizes, "root").withColumn("home", F.pmod(F.xxhash64("node", F.lit("home")), F.col("blocks")).cast("int"))
     # Blocks meet in pairs: a node of block h goes to the tasks (h, other) for all others, and alone to (h, h).
     homes = homes.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    homes = homes.select("node", "root", "home", F.least("home", "other").alias("low"), F.greatest("home", "other").alias("high"))
-    wanted = homes.join(one, "node").groupBy("doc_id").agg(F.first("node").alias("node"), F.collect_list(F.struct("root", "home", "low", "high")).alias("tasks"))
+    homes = homes.select("row", "node", "root", "home", F.least("home", "other").alias("low"), F.greatest("home", "other").alias("high"))
+    wanted = homes.groupBy(F.col("row.doc_id").alias("own_id"), F.col("row.text_key").alias("own_key")).agg(F.collect_list(F.struct("node", "root", "home", "low", "high")).alias("tasks"))
 
     def expand(batch):
         sets = shingle_sets(batch.column("body").to_pylist())
-        rows = []
-        for node, own, tasks in zip(batch.column("node").to_pylist(), sets, batch.column("tasks").to_pylist(), strict=True):
-            raw = own.astype("<u8").tobytes()
-            rows += [(t["root"], t["low"], t["high"], t["home"], node, raw) for t in tasks]
+        rows = {}
+        for own, tasks in zip(sets, batch.column("tasks").to_pylist(), strict=True):
+            raw, node = own.astype("<u8").tobytes(), node_of(own)
+            rows |= {(t["root"], t["low"], t["high"], t["home"], node): raw for t in tasks if t["node"] == node}
+        rows = [(*k, raw) for k, raw in rows.items()]
         if not rows:
             return None
         types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
@@ -216,11 +252,14 @@ def links(docs: DataFrame, signed: DataFrame, need: int = NEED, of: int = OF, bl
                     if len(held) > 1:
                         yield family()
                     held, last = [], row[:3]
-                held.append(row)
+                if not held or held[-1][4] != row[4]:  # rows may repeat doc_id and text
+                    held.append(row)
         if len(held) > 1:
             yield family()
 
-    placed = map_slices(docs.join(wanted, "doc_id"), expand, "root long, low int, high int, home int, node long, own binary", limit=2 << 20)
+    keyed = docs.withColumn("own_text", text_key("body"))
+    found = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_text") == F.col("own_key"))).select("body", "tasks")
+    placed = map_slices(found, expand, "root long, low int, high int, home int, node long, own binary", limit=2 << 20)
     return placed.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "node").mapInArrow(joined, "src long, dst long")
 
 
@@ -242,11 +281,6 @@ def grouped(docs: DataFrame, need: int = NEED, of: int = OF, block: int = BLOCK)
     return full.join(least, "root").select("doc_id", "n_shingles", "component_id").unionByName(alone)
 
 
-def _first_row():
-    """The row of least doc_id, one without doc_id only if there is no other."""
-    return F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key"))
-
-
 def representatives(docs: DataFrame, need: int = NEED, of: int = OF, block: int = BLOCK) -> DataFrame:
     """doc_id, text_key of one row of each group, that of the least doc_id, and of all rows without shingles."""
     full, empty = _rooted(docs, need, of, block)
