@@ -1,13 +1,15 @@
 """License scans by diagonal voting, in DataFrame functions alone.
 
-Every text's word bigrams are joined with the bigrams of phrase templates; a match at word p of a template's bigram t
-votes for the diagonal p - t. A base phrase stands where all its bigrams vote on one diagonal. For templates,
-neighbouring diagonals are merged, so words put in or left out cost only their own votes, and a span is verified if it
-has at least VERIFIED of the template's votes. Bigrams are joined by hash and compared as strings, so no hash decides.
+Every text's rolling word grams are joined with the grams of phrase templates: pairs of words for the base phrases, GRAM
+words for the longer notices. A match at word p of a template's gram t votes for the diagonal p - t. A base phrase stands
+where all its grams vote on one diagonal. For notices, a diagonal is merged with its neighbours up to BAND beyond it, so
+words put in or left out cost only their own votes; the span of such a band is verified by the template's words that it
+has, each counted once however often they are voted for: VERIFIED of the template's words, and of the span's, at least. Grams are joined by hash and compared
+as strings, so no hash decides.
 
 Nulls and empty texts have no words and score 0; texts are scanned whole; each row is answered by itself, even where
 doc_ids repeat or are null; an empty table gives an empty result; other columns are ignored. The templates are a table
-of fixed size and are broadcast.
+of the caller's size, a gram a row, which is part of the plan and broadcast.
 """
 
 from __future__ import annotations
@@ -17,19 +19,27 @@ from pyspark.sql import functions as F
 
 #: Phrases and labels that are always reported. Fixed values.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-#: Longer notices, found with gaps. Fixed values.
+#: Notices, whole and in their usual one-line forms. Fixed values.
 TEMPLATES = {
     "licensed under the apache license version 2 0": "apache-2.0",
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at": "apache-2.0",
+    "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "apache-2.0",
     "released under the mit license": "mit",
-    "permission is hereby granted free of charge to any person obtaining a copy": "mit",
-    "redistribution and use in source and binary forms with or without modification are permitted": "bsd",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction": "mit",
+    "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc",
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd",
+    "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd",
     "licensed under the gnu general public license version 3": "gpl-3.0",
-    "this program is free software you can redistribute it and or modify it": "gpl-notice",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-notice",
+    "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "gpl-notice",
     "licensed under cc by nc 4 0": "cc-by-nc",
     "licensed under the creative commons attribution license": "cc-by",
+    "this work is licensed under a creative commons attribution 4 0 international license": "cc-by",
+    "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2.0",
     "mozilla public license version 2 0": "mpl-2.0",
 }
-VERIFIED, NEAR = 0.75, 2
+GRAM, VERIFIED, BAND = 3, 0.75, 4
 APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -46,33 +56,43 @@ def words_of(text: Column) -> Column:
 
 
 def _rows(base: dict[str, str], longer: dict[str, str]) -> list[str]:
-    """SQL rows (template, label, base, total, place, gram), one for each bigram."""
+    """SQL rows (template, label, base, total, place, gram, third), one for each gram; a base phrase's have no third word,
+    and their total is that of its grams; a notice's is that of its words."""
     rows = []
-    for number, (phrase, label, always) in enumerate([(p, v, True) for p, v in base.items()] + [(p, v, False) for p, v in longer.items()]):
-        own = phrase.split()
-        rows += [f"({number}, '{label}', {str(always).lower()}, {len(own) - 1}, {t}, '{a} {b}')" for t, (a, b) in enumerate(zip(own, own[1:], strict=False))]
+    for number, (phrase, label) in enumerate([*base.items(), *longer.items()]):
+        own, always = phrase.split(), number < len(base)
+        if len(own) < (2 if always else GRAM):
+            raise ValueError(f"a template is too short: {phrase}")
+        for t in range(len(own) - (1 if always else GRAM - 1)):
+            third = "CAST(NULL AS STRING)" if always else f"'{own[t + 2]}'"
+            rows.append(f"({number}, '{label}', {str(always).lower()}, {len(own) - always}, {t}, '{own[t]} {own[t + 1]}', {third})")
     return rows
 
 
 def templates(spark: SparkSession, base: dict[str, str] = BASE, longer: dict[str, str] = TEMPLATES) -> DataFrame:
-    """template, label, base, total, place, gram: a row for each bigram, as a table of the plan itself."""
-    return spark.sql(f"SELECT * FROM VALUES {', '.join(_rows(base, longer))} AS t(template, label, base, total, place, gram)")
+    """template, label, base, total, place, gram, third: a row for each gram, as a table of the plan itself."""
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(_rows(base, longer))} AS t(template, label, base, total, place, gram, third)")
 
 
 def scan(docs: DataFrame, base: dict[str, str] = BASE, longer: dict[str, str] = TEMPLATES) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row."""
-    known = templates(docs.sparkSession, base, longer).withColumn("key", F.xxhash64("gram")).withColumnRenamed("gram", "phrase")
+    known = templates(docs.sparkSession, base, longer).withColumn("key", F.xxhash64("gram")).withColumnsRenamed({"gram": "phrase", "third": "after"})
     cut = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words_of(F.col("text").cast("string")).alias("words"))
-    paired = cut.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), F.zip_with("words", F.expr("slice(words, 2, greatest(size(words), 1))"), lambda a, b: F.concat(a, F.lit(" "), b)).alias("grams"))
-    grams = paired.select("doc_id", "row", "n_words", F.posexplode_outer("grams").alias("pos", "gram"))
-    voted = grams.join(F.broadcast(known), (F.xxhash64("gram") == F.col("key")) & (F.col("gram") == F.col("phrase")), "left")
-    voted = voted.where(F.col("template").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0)).select("row", "doc_id", "n_words", "template", "label", "base", "total", (F.col("pos") - F.col("place")).alias("diagonal"), F.col("place"))
-    lines = voted.repartition("row").groupBy("row", "template", "diagonal").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.first("label").alias("label"), F.first("base").alias("base"), F.first("total").alias("total"), F.count("place").alias("votes"))
-    along = Window.partitionBy("row", "template").orderBy("diagonal")
-    new = F.when(F.col("diagonal") - F.lag("diagonal").over(along) <= NEAR, 0).otherwise(1)
-    merged = lines.withColumn("new", new).withColumn("band", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-    share = F.least(F.lit(1.0), F.sum("votes").over(Window.partitionBy("row", "template", "band")) / F.col("total"))
-    told = merged.withColumn("share", share).withColumn("whole", F.col("base") & (F.col("votes") == F.col("total"))).withColumn("seen", F.col("whole") | (~F.col("base") & (F.col("share") >= VERIFIED)))
+    from_word = lambda k: F.expr(f"slice(words, {k}, greatest(size(words), 1))")
+    pairs = F.zip_with("words", from_word(2), lambda a, b: F.concat(a, F.lit(" "), b))
+    grams = F.zip_with(pairs, from_word(3), lambda a, b: F.struct(a.alias("gram"), b.alias("third")))
+    rows = cut.select("doc_id", "row", F.size("words").cast("long").alias("n_words"), F.posexplode_outer(grams).alias("pos", "own"))
+    rows = rows.select("doc_id", "row", "n_words", "pos", "own.gram", "own.third")
+    match = (F.xxhash64("gram") == F.col("key")) & (F.col("gram") == F.col("phrase")) & (F.col("after").isNull() | (F.col("after") == F.col("third")))
+    voted = rows.join(F.broadcast(known), match, "left").where(F.col("template").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0))
+    voted = voted.select("row", "doc_id", "n_words", "template", "label", "base", "total", (F.col("pos") - F.col("place")).alias("diagonal"), "place")
+    firsts = [F.first(c).alias(c) for c in ("doc_id", "n_words", "label", "base", "total")]
+    lines = voted.repartition("row").groupBy("row", "template", "diagonal").agg(*firsts, F.collect_list("place").alias("places"))
+    band = Window.partitionBy("row", "template").orderBy("diagonal").rangeBetween(0, BAND)
+    covered = F.array_distinct(F.flatten(F.transform(F.flatten(F.collect_list("places").over(band)), lambda p: F.sequence(p, p + (GRAM - 1)))))
+    span = F.max(F.col("diagonal") + F.array_max("places") + GRAM).over(band) - F.min(F.col("diagonal") + F.array_min("places")).over(band)
+    told = lines.withColumn("share", F.when(~F.col("base"), F.size(covered) / F.greatest("total", span)))
+    told = told.withColumn("whole", F.col("base") & (F.size("places") == F.col("total"))).withColumn("seen", F.col("whole") | (F.col("share") >= VERIFIED))
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     return told.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
@@ -87,20 +107,24 @@ def scan(docs: DataFrame, base: dict[str, str] = BASE, longer: dict[str, str] =
 
 
 def oracle() -> str:
-    """The same in DuckDB's SQL."""
+    """The same in DuckDB's SQL, told from words and their positions: base phrases are compared with slices of the text, and
+    a notice is seen where, from some run of its words on, enough of its words stand in runs shifted by 0 to BAND words."""
+    values = lambda names: ", ".join(f"({i}, '{phrase}', '{label}')" for i, (phrase, label) in enumerate(names.items()))
     return rf"""
-        WITH known(template, label, base, total, place, gram) AS (VALUES {", ".join(_rows(BASE, TEMPLATES))}),
-             d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
-             g AS (SELECT doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS gram FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)),
-             lines AS (SELECT doc_id, template, label, base, total, pos - place AS diagonal, count(*) AS votes FROM g JOIN known USING (gram) GROUP BY ALL),
-             marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {NEAR} THEN 0 ELSE 1 END AS new FROM lines),
-             banded AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS band FROM marked),
-             told AS (SELECT *, least(1.0::DOUBLE, sum(votes) OVER (PARTITION BY doc_id, template, band)::DOUBLE / total) AS share, base AND votes = total AS whole FROM banded),
-             hits AS (SELECT *, whole OR (NOT base AND share >= {VERIFIED}) AS seen FROM told),
-             per AS (SELECT doc_id, count(*) FILTER (whole) AS n_base, min(diagonal) FILTER (whole) AS first_word, max(diagonal) FILTER (whole) AS last_word,
-                            array_to_string(list_sort(list_distinct(coalesce(list(label) FILTER (whole), []))), ',') AS base_labels,
-                            array_to_string(list_sort(list_distinct(coalesce(list(label) FILTER (seen), []))), ',') AS labels,
-                            max(CASE WHEN whole THEN 1.0::DOUBLE WHEN seen THEN share END) AS score FROM hits GROUP BY doc_id)
-        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
-               coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0)::DOUBLE AS score
-        FROM d LEFT JOIN per USING (doc_id)"""
+        WITH base(b, phrase, label) AS (VALUES {values(BASE)}),
+             notices(n, phrase, label) AS (VALUES {values(TEMPLATES)}),
+             d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+             spots AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+             found AS (SELECT r, i - 1 AS p, label FROM spots JOIN base ON w[i] = string_split(phrase, ' ')[1] AND w[i:i + len(string_split(phrase, ' ')) - 1] = string_split(phrase, ' ')),
+             f AS (SELECT r, count(*) AS n_base, min(p) AS first_word, max(p) AS last_word, list_sort(list(DISTINCT label)) AS ls FROM found GROUP BY r),
+             runs AS (SELECT n, phrase, label, t, x FROM (SELECT n, phrase, label, string_split(phrase, ' ') AS x, unnest(range(1, len(string_split(phrase, ' ')) - {GRAM - 2})) AS t FROM notices)),
+             same AS (SELECT r, n, label, len(x) AS words, i, t FROM spots JOIN runs ON w[i] = x[t] AND w[i + 1] = x[t + 1] AND w[i:i + {GRAM - 1}] = x[t:t + {GRAM - 1}]),
+             near AS (SELECT a.r, a.n, a.label, a.words, a.i, a.t, b.i AS other, unnest(range(b.t, b.t + {GRAM})) AS word
+                      FROM same a JOIN same b ON a.r = b.r AND a.n = b.n AND (b.i - b.t) - (a.i - a.t) BETWEEN 0 AND {BAND}),
+             shares AS (SELECT r, label, count(DISTINCT word)::DOUBLE / greatest(words, max(other) + {GRAM} - min(other)) AS share FROM near GROUP BY r, n, label, words, i, t),
+             s AS (SELECT r, max(share) AS share, list(DISTINCT label) AS ls FROM shares WHERE share >= {VERIFIED} GROUP BY r)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+               array_to_string(coalesce(f.ls, []), ',') AS base_labels,
+               array_to_string(list_sort(list_distinct(list_concat(coalesce(f.ls, []), coalesce(s.ls, [])))), ',') AS labels,
+               CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END::DOUBLE AS score
+        FROM d LEFT JOIN f USING (r) LEFT JOIN s USING (r)"""
