@@ -3,8 +3,10 @@
 Texts are dealt out by length and content hash. Each task inserts whole byte strings into a compressed radix
 trie; the terminal node of a text holds the id to keep and the number of its rows. Tasks first do this for
 the rows they scan, so a text that a third of all rows repeat leaves each task once, and again for what meets
-after the shuffle. A trie over its memory bound writes its largest subtree to a scratch file of the task and
-takes it up again at the end, when the other subtrees are done; a lost task starts afresh from its input.
+after the shuffle. A trie over its memory bound writes its largest subtree, found below the prefix that all its texts
+share, to a scratch file and takes it up again at the end, when the other subtrees are done; what it holds there is less
+that prefix, so it can spill in turn. Scratch files are the task's own, on its machine's disk, and vanish with it: a lost
+task starts afresh from its input, and nothing else reads them.
 
 Nulls count as empty; empty texts are equal to each other; an empty table gives an empty result; other columns
 are ignored whatever their names; texts are compared byte by byte, whole.
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import id_and_bytes
 
-TRIE_BYTES = 96 << 20
+TRIE_BYTES, NODE = 96 << 20, 300
 
 
 class Node:
@@ -51,22 +53,26 @@ def shared_length(a: bytes, b: bytes) -> int:
 
 
 class Trie:
-    def __init__(self, keep=min, limit: int = TRIE_BYTES):
-        self.root, self.keep, self.limit = Node(b""), keep, limit
-        self.held: dict[int, int] = {}
-        self.spilled: dict[int, object] = {}
+    """A radix trie below `prefix`, which all its texts begin with. The spilled subtrees are known by the bytes that lead
+    to them from the root; a subtree is the child of the first node that has several, or holds a text."""
+
+    def __init__(self, keep=min, limit: int = TRIE_BYTES, prefix: bytes = b""):
+        self.root, self.keep, self.limit, self.prefix = Node(b""), keep, limit, prefix
+        self.size = 0
+        self.spilled: dict[bytes, object] = {}
+        self.heads: list[int] = []  # the lengths of their keys
 
     def insert(self, text: bytes, owner: int, rows: int = 1) -> None:
-        first = text[0] if text else -1
-        if first in self.spilled:
-            pickle.dump((text, owner, rows), self.spilled[first], -1)
-            return
+        for n in self.heads:
+            if (file := self.spilled.get(text[:n])) is not None:
+                pickle.dump((text[n:], owner, rows), file, -1)
+                return
         node, rest = self.root, text
         while rest:
             child = node.children.get(rest[0])
             if child is None:
                 node.children[rest[0]] = Node(rest, [owner, rows])
-                self._grown(first, len(rest))
+                self._grown(len(rest))
                 return
             n = shared_length(child.edge, rest)
             if n < len(child.edge):
@@ -75,39 +81,59 @@ class Trie:
                 middle.children[child.edge[0]] = child
                 node.children[rest[0]] = middle
                 child = middle
+                self.size += NODE
             node, rest = child, rest[n:]
         if node.terminal is None:
             node.terminal = [owner, rows]
         else:
             node.terminal = [self.keep(node.terminal[0], owner), node.terminal[1] + rows]
 
-    def _grown(self, first: int, n: int) -> None:
-        self.held[first] = self.held.get(first, 0) + n + 300
-        if sum(self.held.values()) > self.limit and len(self.held) > 1:
-            most = max(self.held, key=self.held.get)
-            file = self.spilled[most] = tempfile.TemporaryFile()
-            for text, (owner, rows) in _terminals(self.root.children.pop(most)):
-                pickle.dump((text, owner, rows), file, -1)
-            del self.held[most]
+    def _grown(self, n: int) -> None:
+        self.size += n + NODE
+        while self.size > self.limit:
+            node, path = self.root, b""
+            while len(node.children) == 1 and node.terminal is None:  # the prefix of all texts held
+                (node,) = node.children.values()
+                path += node.edge
+            if not node.children:  # one text alone
+                return
+            for held, first in sorted(((_held(child), first) for first, child in node.children.items()), reverse=True):
+                self._spill(path + bytes([first]), node.children.pop(first))
+                self.size -= held
+                if self.size <= self.limit // 2:
+                    break
+
+    def _spill(self, head: bytes, child: Node) -> None:
+        file = self.spilled[head] = tempfile.TemporaryFile()
+        self.heads = sorted({*map(len, self.spilled)}, reverse=True)
+        for text, (owner, rows) in _terminals(child):
+            pickle.dump((text[1:], owner, rows), file, -1)
 
     def owners(self) -> Iterator[tuple[bytes, int, int]]:
         """(text, id to keep, rows) of each distinct text."""
         for text, (owner, rows) in _terminals(self.root):
-            yield text, owner, rows
+            yield self.prefix + text, owner, rows
         self.root = Node(b"")
-        for first in list(self.spilled):
-            with self.spilled.pop(first) as file:
+        for head in list(self.spilled):
+            with self.spilled.pop(head) as file:
                 file.seek(0)
-                below = Trie(self.keep, self.limit)  # keyed by the next byte, so that it can spill in turn
+                below = Trie(self.keep, self.limit, self.prefix + head)
                 try:
                     while True:
-                        text, owner, rows = pickle.load(file)
-                        below.insert(text[1:], owner, rows)
+                        below.insert(*pickle.load(file))
                 except EOFError:
                     pass
-            head = bytes([first])
-            for text, owner, rows in below.owners():
-                yield head + text, owner, rows
+            yield from below.owners()
+
+
+def _held(node: Node) -> int:
+    """The bytes that a subtree is taken to need."""
+    total, stack = 0, [node]
+    while stack:
+        node = stack.pop()
+        total += len(node.edge) + NODE
+        stack += node.children.values()
+    return total
 
 
 def _terminals(node: Node) -> Iterator[tuple[bytes, list]]:
@@ -155,7 +181,8 @@ def _batch(out: list, final: bool) -> pa.RecordBatch:
 def exact_groups(docs: DataFrame, keep: str = "smallest", trie_bytes: int = TRIE_BYTES) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of `docs`; of equal texts the row with the
     "smallest" or "largest" doc_id stays. Equal rows with one doc_id all get the same answer. Rows whose doc_id
-    is null take part in their group's size but never own it unless all its ids are null."""
+    is null take part in their group's size but never own it unless all its ids are null. Rows without doc_id in a group without ids are all kept by the flag; a caller that wants one of them
+    picks it by doc_id and text_sha256."""
     base = id_and_bytes(docs)
     floor = F.lit((1 << 63) - 1 if keep == "smallest" else -(1 << 63))
     scanned = base.select(F.coalesce("doc_id", floor).alias("keep_id"), "body").mapInArrow(_owners(keep, False, trie_bytes), "keep_id long, rows long, body binary")
