@@ -98,7 +98,7 @@ def cleaned(pairs, window=50):
     return out
 
 
-@pytest.mark.parametrize("hot", [20_000, 1])
+@pytest.mark.parametrize("hot", [8192, 1, 3])
 def test_substring_dedup(docs, pairs, hot):
     got = {d: (r.n_words, r.n_removed, bytes(r.kept).decode()) for d, r in by_id(substring_dedup.cleaned(docs, hot=hot, shard_words=300)).items()}
     assert got == cleaned(pairs)
@@ -111,6 +111,38 @@ def test_substring_dedup_edges(docs, none, pairs):
     assert {d: (r.n_words, r.n_removed) for d, r in short.items()} == {d: x[:2] for d, x in cleaned(pairs, 6).items()}
 
 
+def test_substring_dedup_tells_rows_with_one_id_apart(spark):
+    rng = random.Random(12)
+    passage = prose(rng, 60)
+    long, other = prose(rng, 900) + " " + passage, passage + " x"
+    for rows in ([(5, long), (5, "short text"), (0, other), (5, long)], [(5, "short text"), (5, long), (5, long), (0, other)], [(5, passage + " a"), (5, "b " + passage), (None, passage), (None, "c " + passage)]):
+        got = [(r.doc_id, r.n_words, r.n_removed, bytes(r.kept).decode()) for r in substring_dedup.cleaned(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()]
+        expected = []
+        for d, t in rows:
+            alone = cleaned({5: t, 0: other} if (0, other) in rows and d == 5 else {5: t})[5]
+            expected.append((d, *alone))
+        assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_long_words_that_agree_modulo_two_to_the_64th_differ():
+    word = [0]
+    for _ in range(11):
+        word += [1 - b for b in word]
+    pair = [bytes(97 + (b ^ k) for b in word) for k in (0, 1)]
+    plain = common.span_hashes(common._TABLE[np.frombuffer(b"".join(pair), np.uint8)], np.array([0, 2048]), np.array([2048, 4096]))
+    assert plain[0] == plain[1]
+    assert len(set(common.Words([b" ".join(pair)]).hashes.tolist())) == 2
+
+
+def test_least_of_ranges():
+    r = np.random.default_rng(3)
+    for n in (1, 5, 32, 33, 1000):
+        values = r.integers(0, 999, n).astype(np.int32)
+        low = r.integers(0, n, 300)
+        high = np.array([int(r.integers(a + 1, n + 1)) for a in low])
+        assert fm_index.Least(values).of(low, high).tolist() == [int(values[a:b].min()) for a, b in zip(low, high, strict=True)]
+
+
 # --- 2
 
 def test_media_round_trip():
@@ -142,6 +174,28 @@ def test_clips_cover_all_frames():
     assert np.flatnonzero(media.shots(frames, np.array([7, 5]))).tolist() == [0, 5, 7, 9]
 
 
+def plain_shots(frames):
+    """Frames that begin a shot, one after the other."""
+    hists = [[sum(v >> 4 == b for v in f) for b in range(16)] for f in frames]
+    diffs = [0] + [sum(abs(x - y) for x, y in zip(a, b)) for a, b in zip(hists, hists[1:])]
+    return [i for i, d in enumerate(diffs) if i == 0 or (d > 24 and d > 1.5 * sum(diffs[max(0, i - 8) : i]) / min(i, 8))]
+
+
+def test_shots_and_clips_against_a_plain_version(spark):
+    rng = random.Random(6)
+    texts = [b"a" * 192 * 5 + bytes(range(128)) * 9 + b"a" * 192 * 3, b"", b"%" * 400, "".join(rng.choice("ab \n\u00e9XYZ09.,") for _ in range(9000)).encode(), prose(rng, 900).encode() + bytes(range(32, 127)) * 40]
+    docs = spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts)] + [(9, None)], "doc_id long, text string")
+    rows = defaultdict(list)
+    for r in sorted(media.clips(media.to_media(docs)).collect(), key=lambda r: (r.doc_id, r.clip)):
+        rows[r.doc_id].append((r.clip, r.first_frame, r.frames, r.start_s, r.end_s))
+    for i, body in [*enumerate(texts), (9, b"")]:
+        body = body.ljust(max(192, -(-len(body) // 192) * 192))
+        frames = [body[k : k + 192] for k in range(0, len(body), 192)]
+        firsts = plain_shots(frames)
+        assert rows[i] == [(k, a, b - a, a / 10, b / 10) for k, (a, b) in enumerate(zip(firsts, [*firsts[1:], len(frames)]))]
+    assert max(map(len, rows.values())) > 2
+
+
 # --- 3
 
 def test_byte_bpe(spark, docs, pairs, none):
@@ -208,6 +262,31 @@ def test_jaccard_join(docs, pairs, block):
     assert len({c for _, c in got.values()}) < len(got) - 8
 
 
+def test_jaccard_join_tells_rows_with_one_id_apart(spark):
+    rng = random.Random(11)
+    a, b = prose(rng, 60), prose(rng, 60)
+    near = lambda t, k: " ".join(f"n{k}" if i == 59 else w for i, w in enumerate(t.split()))
+    for rows in ([(5, a), (5, b), (1, near(a, 1)), (3, near(b, 2))], [(5, b), (5, a), (3, near(b, 2)), (1, near(a, 1))]):
+        got = sorted(((r.doc_id, r.component_id) for r in jaccard_join.grouped(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()))
+        assert got == [(1, 1), (3, 3), (5, 1), (5, 3)]
+    rows = [(None, a), (1, near(a, 1)), (None, b), (None, near(b, 2)), (7, near(b, 3)), (None, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.component_id) for r in jaccard_join.grouped(docs).collect()) == [(0, 1)] * 3 + [(0, 7)] * 2 + [(1, 1), (7, 7)]
+    assert sorted(r.doc_id for r in jaccard_join.representatives(docs).collect()) == [1, 7]
+
+
+def test_jaccard_join_in_blocks_of_few_shingles(docs, pairs):
+    signed = jaccard_join.signatures(common.id_and_bytes(docs))
+    edges = jaccard_join.links(common.id_and_bytes(docs), signed, shingles=900)
+    node = {r.doc_id: r.node for r in signed.collect()}
+    root = {r.node: r.root for r in graph.components(edges).collect()}
+    joined = defaultdict(set)
+    for d, (n, c) in components(pairs).items():
+        if n:
+            joined[c].add(root.get(node[d], node[d]))
+    assert all(len(x) == 1 for x in joined.values()) and len(set().union(*joined.values())) == len(joined)
+
+
 def test_jaccard_join_of_nothing(none):
     assert jaccard_join.grouped(none).count() == 0
 
@@ -230,6 +309,12 @@ def test_linked_sets_share_a_cell():
     assert linked > 1000
 
 
+def test_components_of_a_long_chain(spark):
+    edges = spark.range(5000).selectExpr("id * 7919 % 5003 AS src", "(id + 1) * 7919 % 5003 AS dst")
+    got = {r.node: r.root for r in graph.components(edges).collect()}
+    assert len(got) == 5000 and set(got.values()) == {0}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "src long, dst long")).collect()}
@@ -256,6 +341,35 @@ def test_language_id(spark):
     assert {r.lang_pred for r in language.predict(docs, untaught).collect()} == {"und"}
 
 
+def test_viterbi_against_a_plain_version():
+    r = np.random.default_rng(8)
+    langs, grams = ["aa", "bb", "cc"], r.normal(size=(3, language.BUCKETS)).astype(np.float32) - 8
+    allowed = np.ones((language.SCRIPTS, 3), bool)
+    allowed[3] = [False, False, True]
+    model = language.Model(langs, grams, allowed)
+    rng = random.Random(9)
+    bodies = [" ".join(rng.choice(["one", "deux", "tres", "мир", "x", "longerword"]) for _ in range(rng.randrange(0, 25))).encode() for _ in range(30)] + [b"", b" \n "]
+    labels, sizes, first, *_ = language.label(bodies, model, 3.0)
+    for i, body in enumerate(bodies):
+        words, scores = body.split(), []
+        for w in words:
+            around = b"  " + w + b" "
+            own = [sum(float(grams[k][(around[j - 2] * 7919 + around[j - 1] * 263 + around[j] * 40009) % language.BUCKETS]) for j in range(2, len(around))) for k in range(3)]
+            top = max(own)
+            cyrillic = any(c in "мир" for c in w.decode())
+            scores.append([x - top - (100 if cyrillic and k < 2 else 0) for k, x in enumerate(own)])
+        value, back = [0.0] * 3, []
+        for row in scores:
+            step = [max(range(3), key=lambda a: value[a] - (3.0 if a != k else 0)) for k in range(3)]
+            value = [value[a] - (3.0 if a != k else 0) + row[k] for k, a in enumerate(step)]
+            back.append(step)
+        total = max(value)
+        got = labels[first[i] : first[i + 1]].tolist()
+        assert len(got) == len(words) and sizes[first[i] : first[i + 1]].tolist() == [len(w) for w in words]
+        told = sum(row[k] for row, k in zip(scores, got)) - 3.0 * sum(a != b for a, b in zip(got, got[1:]))
+        assert abs(told - total) < 1e-3 * max(1, abs(total))
+
+
 # --- 6
 
 def places(text):
@@ -278,6 +392,23 @@ def test_license_scan(docs, pairs, none):
     assert licenses.scan(none).count() == 0
 
 
+def test_repeated_words_do_not_vote_twice(spark):
+    rows = ["MIT license, MIT license, MIT license", "cc by cc by cc by cc by cc by", "Released under the (new) MIT license.", "released under the released under the released under the", "under the mit license"]
+    notice = next(t for t, label in licenses.TEMPLATES.items() if label == "isc").split()
+    rows += [" ".join(notice[:10] + ["so"] + notice[10:20] + notice[22:]), " ".join(notice[: len(notice) // 2]), " ".join(notice[:12] + ["gap"] * 9 + notice[12:])]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = by_id(licenses.scan(docs))
+    assert [got[i].labels for i in range(8)] == ["", "cc-by", "", "", "mit", "isc", "", ""] and got[4].score == 0.8
+    import duckdb
+
+    documents = docs.toPandas()  # noqa: F841
+    told = duckdb.sql(licenses.oracle()).fetchall()
+    assert sorted(told, key=lambda r: r[0]) == [tuple(got[i].asDict()[c] for c in docs_columns) for i in range(8)]
+
+
+docs_columns = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def test_license_scan_is_native(docs):
     docs = common.saved(docs, "native")
     plan = docs.sparkSession._jvm.PythonSQLUtils.explainString(licenses.scan(docs)._jdf.queryExecution(), "formatted")
@@ -309,6 +440,24 @@ def test_trie_spills_by_subtree():
     assert sorted(small.owners()) == sorted(large.owners()) == sorted((t, many.index(t), many.count(t)) for t in set(many))
 
 
+def test_trie_spills_below_a_long_common_prefix():
+    rng = random.Random(4)
+    for heads in ([b"<"], [b"<html><body>" * 30], [b"x" * 400, b"x" * 400 + b"y" * 400, b"z"], [b""]):
+        many = [rng.choice(heads) + bytes(rng.choice(b"abc") for _ in range(rng.randrange(0, 60))) for _ in range(1500)] + [b"<", b"", b"x" * 9000]
+        limit, trie = 20_000, exact_dedup.Trie(max, 20_000)
+        most = 0
+        for i, t in enumerate(many):
+            trie.insert(t, i)
+            most = max(most, sum(exact_dedup._held(c) for c in trie.root.children.values()))
+        assert trie.spilled and most <= limit + 9300 + 2 * exact_dedup.NODE
+        last = {t: i for i, t in enumerate(many)}
+        assert sorted(trie.owners()) == sorted((t, i, many.count(t)) for t, i in last.items())
+
+
+def test_exact_groups_of_nothing(none):
+    assert exact_dedup.exact_groups(none).count() == 0
+
+
 # --- 8
 
 def test_quality(spark):
@@ -324,6 +473,25 @@ def test_quality(spark):
     assert quality.classify(docs.where("doc_id < 0"), labels, F.lit(True)).count() == 0
 
 
+def test_quality_fit_against_a_plain_ridge_and_isotonic_fit(spark):
+    r = np.random.default_rng(10)
+    x = r.normal(size=(500, quality.STATISTICS))
+    y = (x[:, 0] + 0.5 * x[:, 3] ** 2 + r.normal(size=500) * 0.3 > 0.3).astype(float)
+    train = spark.createDataFrame([(row.tolist(), float(v)) for row, v in zip(x, y)], "x array<double>, y double").repartition(3)
+    model = quality.fit(train)
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0))
+    z = model.lift(x)
+    system = z.T @ z + quality.RIDGE * len(x) / quality.FEATURES * np.eye(quality.FEATURES + 1)
+    assert np.allclose(z @ model.beta, z @ np.linalg.solve(system, z.T @ y), atol=1e-6)
+    bins = np.rint(model.raw(x) * quality.BINS).astype(int)
+    # The isotonic fit at a bin is the greatest, over the bins up to it, of the least means of runs that begin there.
+    values = np.unique(bins)
+    total, count = np.array([y[bins == b].sum() for b in values]), np.array([(bins == b).sum() for b in values])
+    for k in range(len(values)):
+        best = max(min(total[i : j + 1].sum() / count[i : j + 1].sum() for j in range(k, len(values))) for i in range(k + 1))
+        assert abs(np.interp(values[k] / quality.BINS, model.at, model.level) - best) < 1e-9
+
+
 # --- 9
 
 def test_packing(docs, pairs, none):
@@ -409,6 +577,38 @@ def test_token_files(docs, pairs, none):
     assert token_files.index_tokens(token_files.write_tokens(none, WORDS)).count() == 0
 
 
+def test_token_files_keep_rows_apart(spark):
+    rows = [(1, "first text of one id"), (1, "second text, longer than the first one"), (1, "first text of one id"), (None, "no id"), (None, None), (0, "zero " * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in token_files.index_tokens(token_files.write_tokens(docs, WORDS, block=64)).collect()]
+    library = bpe.WordCodec.of(WORDS).library
+    expected = []
+    for d, t in rows:
+        ids = np.array(library.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+        expected.append((d, len(ids), zlib.crc32(ids)))
+    assert sorted(((d, n, c) for d, _, n, c in got), key=str) == sorted(expected, key=str)
+    at = 0
+    for d, start, n, _ in sorted(got, key=lambda r: r[1]):
+        assert start == at
+        at += n
+    assert [d for d, *_ in sorted(got, key=lambda r: r[1])] == [None, None, 0, 1, 1, 1]
+
+
+def test_the_mixture_shortens_what_can_be_foretold_and_nothing_grows():
+    r = np.random.default_rng(5)
+    bits = lambda ids, n: 8 * sum(map(len, token_files.encode_blocks(ids, np.full(len(ids) // n, n)))) / len(ids)
+    assert bits(r.integers(0, 49408, 16384), 2048) <= 16 + 8 / 2048
+    assert bits(r.integers(0, 1 << 31, 4096), 2048) <= 32 + 8 / 2048
+    order0 = np.minimum(r.zipf(1.5, 1 << 16), 40000) + 5
+    share = np.bincount(order0) / len(order0)
+    entropy = -sum(p * np.log2(p) for p in share if p)
+    assert entropy < bits(order0, 2048) < entropy + 1.6
+    again = np.tile(r.integers(0, 49408, 97), 400)[: 1 << 15]
+    assert bits(again, 2048) < 97 * 16 / 2048 + 0.4
+    with pytest.raises(ValueError, match="at the most"):
+        token_files.encode_blocks(np.zeros(5000, int), np.array([5000]))
+
+
 def test_a_damaged_block_is_noticed(docs):
     blocks = token_files.write_tokens(docs.where("doc_id < 8"), WORDS)
     with pytest.raises(Exception, match="checksum"):
@@ -426,3 +626,18 @@ def test_null_ids_do_no_harm(spark):
     assert media.features(media.to_media(docs)).count() == 3
     assert packing.pack(packing.pieces(docs, WORDS)).count() == 3
     assert token_files.write_tokens(docs, WORDS).selectExpr("sum(tokens) n").first().n > 3
+    assert bpe.round_trip(docs, BYTES, P.PATTERN).count() == 3
+    model = language.fit(docs, F.lit(True))
+    assert language.predict(docs, model).count() == 3 and language.keep_known(docs, model).count() == 2
+    assert quality.classify(docs, spark.createDataFrame([(1, 1), (None, 0)], "doc_id long, quality int"), F.lit(True)).count() == 3
+
+
+def test_clashing_columns_and_repeated_rows_in_op5_and_op8(docs):
+    twice = docs.unionByName(docs).withColumns({"lang_pred": F.lit(1), "score": F.lit("x"), "spans": F.lit(2), "x": F.lit(3), "y": F.lit(4), "quality": F.lit(5)})
+    model = language.fit(twice, F.lit(True))
+    rows = [(r.doc_id, r.lang_pred, r.score) for r in language.predict(twice, model).collect()]
+    assert len(rows) == 2 * docs.count() and all(rows.count(r) == 2 for r in rows)
+    assert language.keep_known(twice, model).columns == twice.columns
+    labels = twice.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), F.lit(1).alias("x"), F.lit(1).alias("text"))
+    scores = [(r.doc_id, r.score) for r in quality.classify(twice, labels, F.lit(True)).collect()]
+    assert len(scores) == 2 * docs.count() and all(scores.count(r) == 2 for r in scores)

@@ -1,11 +1,12 @@
 """The pipeline stage by stage against a plain version."""
 
+import random
 import re
 
 import corpus_pipeline
 from hearken.llm.common import saved
 
-from .test_operators import UPPER, WORD, cleaned, components, texts
+from .test_operators import UPPER, WORD, cleaned, components, prose, texts
 
 
 def test_stages(spark):
@@ -59,5 +60,20 @@ def test_rows_without_or_with_another_s_id_are_decided_by_their_own_text(spark):
     assert corpus_pipeline.pack(spark, one, "").count() == len(left)
 
 
+def test_clashing_columns_and_two_texts_of_one_id(spark):
+    rng = random.Random(13)
+    passage, a, b, tail, head = prose(rng, 60), prose(rng, 80), prose(rng, 80), prose(rng, 70), prose(rng, 70)
+    for order in (1, -1):
+        rows = [(5, passage + " " + tail), (5, "short other text"), (0, head + " " + passage), (7, a), (7, b), (2, a + " near"), (9, None), (8, "")][::order]
+        docs = spark.createDataFrame([(d, t, 1, "body", 2, 3.0, "k") for d, t in rows], "doc_id long, text string, node int, body string, root int, cut double, text_key string").coalesce(1)
+        docs = saved(docs, "test")
+        names = docs.columns
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = saved(stage(spark, docs, ""), "stage") if name != "language ID" else docs
+            assert docs.columns == names
+        got = sorted((r.doc_id, r.text) for r in docs.collect() if r.text)
+        assert got == sorted([(5, tail), (5, "short other text"), (0, head + " " + passage), (7, b), (2, a + " near")])
+
+
 def test_words_agree():
     assert WORD.findall("a\x0bB c") == ["a", "B", "c"] and "ÀZ".translate(UPPER) == "Àz" and re.escape("x")
