@@ -14,12 +14,13 @@ IMAGE_NAME = r"^([A-Z]+-\d+)_(CUST-\d+)$"
 AUDIO_FORMATS = ("mp3", "mp4", "wav", "flac", "ogg", "amr", "webm", "m4a")
 IMAGE_FORMATS = ("png", "jpg", "jpeg")
 MAX_BYTES = 5000
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 JOB_NAME_MAX, JOB_PREFIX = 200, "feedback-"
 
 
-def strip(c: Column) -> Column:
-    """Without white space at either end, of any kind."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+def strip(c: Column | str) -> Column:
+    """Without white space at either end, of any kind; cut off from the ends, however long it is."""
+    return F.btrim(c, F.lit(WHITE))
 
 
 def blank_to_null(c: Column) -> Column:

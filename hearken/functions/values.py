@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ SATISFACTION_SCALE = ("Very Dissatisfied", "Dissatisfied", "Neutral", "Satisfied
 
 def rating(value: Column) -> Column:
     """An integer from 1 to 5, or null; 4.7 is not one."""
-    n = F.when(strip(value).rlike(r"^[+-]?\d{1,9}$"), strip(value)).try_cast("int")
+    own = strip(value)
+    n = F.when(own.rlike(r"^[+-]?\d{1,9}$"), own).try_cast("int")
     return F.when(n.between(1, 5), n)
 
 
@@ -31,9 +34,9 @@ def satisfaction_ordinal(label: Column) -> Column:
 
 def satisfaction_gap(ordinal: Column, *ratings: Column) -> Column:
     """Stated satisfaction less the mean of the ratings present, to 2 places; null if either is missing."""
-    present = F.array_compact(F.array(*(r.cast("double") for r in ratings)))
-    total = F.aggregate(present, F.lit(0.0), lambda a, x: a + x)
-    return F.bround(ordinal - F.try_divide(total, F.size(present)), 2)
+    total = reduce(Column.__add__, (F.coalesce(r.cast("double"), F.lit(0.0)) for r in ratings))
+    present = reduce(Column.__add__, (r.isNotNull().cast("int") for r in ratings))
+    return F.bround(ordinal - F.try_divide(total, present), 2)
 
 
 def satisfaction_for(product: Column, service: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,7 +49,7 @@ def score(checks: Sequence[Check]) -> Column:
 
 def admissible(checks: Sequence[Check]) -> Column:
     """No FATAL check failed."""
-    return F.size(failed(checks, FATAL)) == 0
+    return reduce(Column.__and__, (c.holds for c in checks if c.severity == FATAL), F.lit(True))
 
 
 def gate(df: DataFrame, column: str = "admissible") -> DataFrame:

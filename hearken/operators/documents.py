@@ -115,11 +115,14 @@ def order_links(docs: DataFrame, left: str = "call", right: str = "image") -> Da
     return side(left, "left_id").join(side(right, "right_id"), "order_ref")
 
 
-def link_products(docs: DataFrame, catalogue: DataFrame) -> DataFrame:
+def link_products(docs: DataFrame, catalogue: DataFrame, most: int = 10_000) -> DataFrame:
     """doc_id, linked_product, product_link_basis: a document's own product; else that of a document with its order (the
     first in the alphabet); else the first product of the catalogue (product_id, name) whose name its text has; else none.
-    The catalogue is a small table of names, matched by one pass over its entries in each row."""
+    The catalogue is a table of names, matched by one pass over its entries in each row; one of over `most` names is
+    refused, since every row carries it."""
     by_order = docs.where("order_ref is not null and product_id is not null").groupBy("order_ref").agg(F.min("product_id").alias("ordered"))
+    if catalogue.limit(most + 1).count() > most:
+        raise ValueError(f"the catalogue has over {most} names")
     names = catalogue.agg(F.array_sort(F.collect_list(F.struct("product_id", F.lower("name").alias("name")))).alias("names"))
     joined = docs.select("doc_id", "product_id", "order_ref", "text").join(by_order, "order_ref", "left").join(F.broadcast(names))
     named = F.try_element_at(F.filter("names", lambda p: F.contains(F.lower("text"), p["name"])), F.lit(1))["product_id"]
@@ -133,5 +136,7 @@ def unique_ids(docs: DataFrame) -> DataFrame:
 
 
 def latest(docs: DataFrame, order: str) -> DataFrame:
-    """Of documents that were delivered more than once, the last."""
-    return docs.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc(order)))).where("_n = 1").drop("_n")
+    """Of documents that were delivered more than once, the last; of those of one time, that of the greatest hash of all
+    its columns, so that the choice does not depend on where rows lie."""
+    last = Window.partitionBy("doc_id").orderBy(F.desc(order), F.desc(F.xxhash64(F.to_json(F.struct(*docs.columns)))))
+    return docs.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")

@@ -33,7 +33,7 @@ def lexicon_sentiment(text: Column) -> Column:
 
 # Kinds of personal data and their patterns, tried from the left. Fixed values.
 PII = (
-    ("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
+    ("EMAIL", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"),
     ("CREDIT_DEBIT_NUMBER", r"(?<![\w-])(?:\d{4}[ -]){3}\d{4}(?![\w-])"),
     ("SSN", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("PHONE", r"(?<![\w-])(?:\+\d{1,3}[ -]?)?(?:\(\d{3}\) ?|\d{3}[ -])\d{3}[ -]\d{4}(?![\w-])"),
@@ -42,29 +42,29 @@ PII = (
 ENTITIES = (("QUANTITY", r"\b\d+(?:\.\d+)? ?(?:days?|weeks?|months?|years?|hours?|minutes?|seconds?|%|percent)\b"), ("DATE", r"\b\d{4}-\d{2}-\d{2}\b"))
 
 
+SPANS = "array<struct<Type:string,BeginOffset:int,EndOffset:int>>"
+
+
 def pattern_spans(text: Column, kinds=PII) -> Column:
-    """Spans (Type, BeginOffset, EndOffset) of the patterns' matches; spans of different kinds may not overlap, the kind
-    named first wins. Offsets are found by splitting at the matches, which are put in by marks; such characters of the text
-    itself count as another control character. A span that is marked already is passed over as one match."""
-    found = F.translate(text, "\x02\x03\x04\x05\x06", "\x01\x01\x01\x01\x01")
-    for name, pattern in kinds:
-        found = F.regexp_replace(found, f"(\x02[^\x04]*\x04)|((?:{pattern}))", "$1\x05$2\x06")
-        found = F.replace(F.replace(F.replace(found, F.lit("\x05\x06"), F.lit("")), F.lit("\x05"), F.lit(f"\x02{name}\x03")), F.lit("\x06"), F.lit("\x04"))
-    parts = F.split(found, "\x02")
-    step = F.aggregate(
-        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),
-        F.struct(F.length(F.element_at(parts, 1)).alias("at"), F.array().cast("array<struct<Type:string,BeginOffset:int,EndOffset:int>>").alias("spans")),
-        lambda acc, part: _span(acc, part),
-    )
-    return F.coalesce(step["spans"], F.array().cast("array<struct<Type:string,BeginOffset:int,EndOffset:int>>"))
-
-
-def _span(acc: Column, part: Column) -> Column:
-    kind, rest = F.split_part(part, F.lit("\x03"), F.lit(1)), F.split_part(part, F.lit("\x03"), F.lit(2))
-    own, after = F.split_part(rest, F.lit("\x04"), F.lit(1)), F.split_part(rest, F.lit("\x04"), F.lit(2))
-    end = acc["at"] + F.length(own)
-    span = F.struct(kind.alias("Type"), acc["at"].alias("BeginOffset"), end.alias("EndOffset"))
-    return F.struct((end + F.length(after)).alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    """Spans (Type, BeginOffset, EndOffset) of the patterns' matches, from the left; they never overlap, and of patterns
+    that match at one place the kind named first wins. All patterns are tried in one pass; offsets are told by the lengths
+    of the matches and of what lies between them, so nothing is put into the text. Null has no spans."""
+    every = "|".join(f"(?:{pattern})" for _, pattern in kinds)
+    found = F.regexp_extract_all(text, F.lit(f"({every})"), F.lit(1))
+    between = F.transform(F.split(text, every, -1), F.length)
+    kind = F.lit(kinds[-1][0])
+    named = lambda own: F.coalesce(*(F.when(own.rlike(f"^(?:{pattern})$"), name) for name, pattern in kinds[:-1]), kind) if len(kinds) > 1 else kind
+
+    def add(acc, pair):
+        begin = acc["at"] + pair["before"]
+        end = begin + F.length(pair["own"])
+        span = F.struct(named(pair["own"]).alias("Type"), begin.alias("BeginOffset"), end.alias("EndOffset"))
+        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+
+    none = F.array().cast(SPANS)
+    pairs = F.zip_with(found, F.slice(between, F.lit(1), F.size(found)), lambda own, before: F.struct(own.alias("own"), before.alias("before")))
+    spans = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), add)["spans"]
+    return F.when(F.size(found) > 0, spans).otherwise(none)
 
 
 def key_phrases(text: Column) -> Column:

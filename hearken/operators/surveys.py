@@ -10,15 +10,19 @@ from ..functions.values import iso_date, rating, satisfaction_gap, satisfaction_
 from .checks import ADVISORY, FATAL, Check, admissible, issues
 
 
+TEXTS = ("customer_id", "product_id", "improvement_area", "comments")
+
+
 def survey_checks() -> list[Check]:
-    """Over the raw columns, all strings, in the order that issues are told."""
-    present = lambda name: strip(F.col(name)) != ""
+    """Over parsed columns (texts stripped, what cannot be parsed null), in the order that issues are told."""
+    present = lambda name: F.col(name) != ""
+    known = lambda name: F.col(name).isNotNull()
     return [
         Check("customer_id_present", FATAL, present("customer_id")),
-        Check("survey_date_valid", FATAL, iso_date(F.col("survey_date")).isNotNull()),
-        Check("product_rating_in_1_5", FATAL, rating(F.col("product_rating")).isNotNull()),
-        Check("service_rating_in_1_5", FATAL, rating(F.col("service_rating")).isNotNull()),
-        Check("overall_satisfaction_known_label", FATAL, satisfaction_ordinal(F.col("overall_satisfaction")).isNotNull()),
+        Check("survey_date_valid", FATAL, known("survey_date")),
+        Check("product_rating_in_1_5", FATAL, known("product_rating")),
+        Check("service_rating_in_1_5", FATAL, known("service_rating")),
+        Check("overall_satisfaction_known_label", FATAL, known("satisfaction_ordinal")),
         Check("product_id_present", ADVISORY, present("product_id")),
         Check("comments_present", ADVISORY, present("comments")),
         Check("improvement_area_present", ADVISORY, present("improvement_area")),
@@ -31,34 +35,45 @@ def numbered(raw: DataFrame, file: str = "source_file", position: str = "positio
 
 
 def survey_records(raw: DataFrame) -> DataFrame:
-    """A record for each raw row (row_number and eight string columns); extra columns of `raw` stay in front."""
-    checks = survey_checks()
-    tidy = lambda name: blank_to_null(strip(F.col(name)))
-    product, service, ordinal = rating(F.col("product_rating")), rating(F.col("service_rating")), satisfaction_ordinal(F.col("overall_satisfaction"))
-    own = ("row_number", "customer_id", "product_id", "survey_date", "product_rating", "service_rating", "overall_satisfaction", "improvement_area", "comments")
-    return raw.select(
-        *[c for c in raw.columns if c not in own],
+    """A record for each raw row (row_number and eight string columns); extra columns of `raw` stay in front. Cells are
+    parsed in a projection of their own, and judged in the next, so that none is parsed twice."""
+    own = ("row_number", *TEXTS, "survey_date", "product_rating", "service_rating", "overall_satisfaction")
+    extra = [c for c in raw.columns if c not in own]
+    parsed = raw.select(
+        *extra,
         "row_number",
-        tidy("customer_id").alias("customer_id"),
-        tidy("product_id").alias("product_id"),
+        *(strip(F.col(c)).alias(c) for c in TEXTS),
         iso_date(F.col("survey_date")).alias("survey_date"),
-        product.alias("product_rating"),
-        service.alias("service_rating"),
+        rating(F.col("product_rating")).alias("product_rating"),
+        rating(F.col("service_rating")).alias("service_rating"),
         blank_to_null(F.col("overall_satisfaction")).alias("overall_satisfaction"),
-        ordinal.alias("satisfaction_ordinal"),
-        satisfaction_gap(ordinal, product, service).alias("rating_satisfaction_gap"),
-        tidy("improvement_area").alias("improvement_area"),
-        tidy("comments").alias("comments"),
-        F.coalesce(strip(F.col("comments")) != "", F.lit(False)).alias("has_comment"),
+        satisfaction_ordinal(F.col("overall_satisfaction")).alias("satisfaction_ordinal"),
+    )
+    checks = survey_checks()
+    tidy = lambda name: blank_to_null(F.col(name)).alias(name)
+    return parsed.select(
+        *extra,
+        "row_number",
+        tidy("customer_id"),
+        tidy("product_id"),
+        "survey_date",
+        "product_rating",
+        "service_rating",
+        "overall_satisfaction",
+        "satisfaction_ordinal",
+        satisfaction_gap(F.col("satisfaction_ordinal"), F.col("product_rating"), F.col("service_rating")).alias("rating_satisfaction_gap"),
+        tidy("improvement_area"),
+        tidy("comments"),
+        F.coalesce(F.col("comments") != "", F.lit(False)).alias("has_comment"),
         admissible(checks).alias("admissible"),
         issues(checks).alias("issues"),
     )
 
 
-def survey_summary(records: DataFrame) -> DataFrame:
-    """One row, by one aggregate. Means are over admissible records; without any, they are null."""
+def survey_summary(records: DataFrame, *by: str) -> DataFrame:
+    """One row, or one for each value of `by`, by one aggregate. Means are over admissible records; without any, they are null."""
     mean = lambda c: F.bround(F.avg(F.when(F.col("admissible"), F.col(c))), 2)
-    return records.agg(
+    return records.groupBy(*by).agg(
         F.count("*").alias("rows_read"),
         F.count_if("admissible").alias("admissible"),
         F.count_if(~F.col("admissible")).alias("rejected"),

@@ -131,20 +131,40 @@ def processed_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REVIEW_DOCS = r"""review_docs AS (SELECT 'review:' || file_name AS doc_id, 'review' AS source_type, product_id, regexp_replace(review_text, '^\s+|\s+$', '', 'g') AS text,
     ['POSITIVE', 'NEGATIVE', 'NEUTRAL', 'MIXED'][doc_id % 4 + 1] AS sentiment, [0.7, 0.65, 0.55, 0.45][doc_id % 4 + 1]::DOUBLE AS sentiment_confidence,
-    rating, NULL::DOUBLE AS rating_satisfaction_gap, true AS admissible FROM scored WHERE admissible)"""
+    rating, NULL::DOUBLE AS rating_satisfaction_gap, true AS admissible, NULL::VARCHAR[] AS fatal, NULL::VARCHAR[] AS advisory FROM scored WHERE admissible)"""
 SURVEY_DOCS = """survey_docs AS (SELECT 'survey:row_' || row_number AS doc_id, 'survey' AS source_type, product_id, coalesce(comments, '') AS text,
-    overall_satisfaction AS sentiment, NULL::DOUBLE AS sentiment_confidence, product_rating AS rating, rating_satisfaction_gap, admissible FROM records)"""
+    overall_satisfaction AS sentiment, NULL::DOUBLE AS sentiment_confidence, product_rating AS rating, rating_satisfaction_gap, admissible, fatal, advisory FROM records)"""
 IMAGE_DOCS = """image_docs AS (SELECT 'image:' || image_key AS doc_id, 'image' AS source_type, NULL::VARCHAR AS product_id, string_agg(text, chr(10) ORDER BY i) AS text,
-    NULL::VARCHAR AS sentiment, NULL::DOUBLE AS sentiment_confidence, NULL::INT AS rating, NULL::DOUBLE AS rating_satisfaction_gap, true AS admissible FROM lines GROUP BY image_key)"""
-DOCS = ", ".join((REVIEWS, SURVEYS, LINES, REVIEW_DOCS, SURVEY_DOCS, IMAGE_DOCS)) + ", docs AS (SELECT * FROM review_docs UNION ALL SELECT * FROM survey_docs UNION ALL SELECT * FROM image_docs)"
+    NULL::VARCHAR AS sentiment, NULL::DOUBLE AS sentiment_confidence, NULL::INT AS rating, NULL::DOUBLE AS rating_satisfaction_gap, true AS admissible, NULL::VARCHAR[] AS fatal, NULL::VARCHAR[] AS advisory FROM lines GROUP BY image_key)"""
+CALL_DOCS = """call_docs AS (SELECT 'call:call_' || call_id AS doc_id, 'call' AS source_type, NULL::VARCHAR AS product_id, string_agg(role_guess || ': ' || text, chr(10) ORDER BY turn) AS text,
+    CASE WHEN call_id % 3 > 0 THEN ['POSITIVE', 'NEGATIVE'][call_id % 3] END AS sentiment, CASE WHEN call_id % 3 > 0 THEN 0.625::DOUBLE END AS sentiment_confidence, NULL::INT AS rating,
+    NULL::DOUBLE AS rating_satisfaction_gap, call_id % 5 <> 0 AS admissible, NULL::VARCHAR[] AS fatal, NULL::VARCHAR[] AS advisory FROM named GROUP BY call_id)"""
+DOCS = ", ".join((REVIEWS, SURVEYS, LINES, SEGMENTS, REVIEW_DOCS, SURVEY_DOCS, IMAGE_DOCS, CALL_DOCS)) + ", docs AS (SELECT * FROM review_docs UNION ALL SELECT * FROM survey_docs UNION ALL SELECT * FROM image_docs UNION ALL SELECT * FROM call_docs)"
+
+
+def processed_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as records of calls that were transcribed, some of them failed, some without a sentiment."""
+    from ..operators import calls
+
+    turns = calls.merge_turns(segments(spark, sf_dir))
+    said = turns.groupBy("call_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", F.struct("speaker", "start_time", "end_time", "text").alias("own")))), lambda t: t["own"]).alias("turns"))
+    who = calls.infer_roles(turns).groupBy("call_id").agg(F.map_from_entries(F.collect_list(F.struct("speaker", F.struct("role_guess", "role_method").alias("role")))).alias("speakers"))
+    label = F.when(F.col("call_id") % 3 == 1, "POSITIVE").when(F.col("call_id") % 3 == 2, "NEGATIVE")
+    scores = F.create_map(F.lit("Positive"), F.lit(0.625), F.lit("Negative"), F.lit(0.625))
+    own = F.when(label.isNotNull(), F.struct(label.alias("sentiment"), scores.alias("scores"), F.lit(False).alias("truncated")))
+    name = F.concat(F.lit("call_"), F.col("call_id").cast("string"))
+    return said.join(who, "call_id").select(
+        F.concat(F.lit("processed-data/calls/"), name, F.lit("_processed.json")).alias("source_key"), F.concat(F.lit("raw-data/calls/"), name, F.lit(".mp3")).alias("source_audio"),
+        F.when(F.col("call_id") % 5 == 0, "FAILED").otherwise("COMPLETED").alias("status"), "turns", "speakers", F.create_map(F.lit("customer_overall"), own).alias("sentiment"),
+    )
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews, surveys and images in one shape."""
+    """Reviews, surveys, calls and images in one shape."""
     from ..operators import documents as d
     from ..operators.images import lines
     from ..operators.surveys import survey_records
     from ..functions.text import image_ids
 
     told = lines(blocks(spark, sf_dir)).select(F.concat(F.lit("processed-data/images/"), F.col("image_key")).alias("source_key"), "image_key", "full_text", image_ids(F.col("image_key")).alias("metadata"))
-    return d.unified(d.from_reviews(processed_reviews(spark, sf_dir)), d.from_surveys(survey_records(surveys(spark, sf_dir))), d.from_images(told))
+    return d.unified(d.from_reviews(processed_reviews(spark, sf_dir)), d.from_surveys(survey_records(surveys(spark, sf_dir))), d.from_calls(processed_calls(spark, sf_dir)), d.from_images(told))

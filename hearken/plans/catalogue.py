@@ -116,7 +116,9 @@ def fail_closed_gate(spark, sf):
 
 # --- text functions
 
-@query()
+@query("""WITH c AS (SELECT doc_id, i, substr(t, i, 1) AS ch FROM (SELECT doc_id, left(text, 5000) AS t, unnest(range(1, length(left(text, 5000)) + 1)) AS i FROM documents WHERE strlen(text) > 5000)),
+    kept AS (SELECT doc_id, string_agg(ch, '' ORDER BY i) AS t FROM (SELECT *, sum(strlen(ch)) OVER (PARTITION BY doc_id ORDER BY i) AS b FROM c) WHERE b <= 5000 GROUP BY doc_id)
+    SELECT doc_id, strlen(coalesce(k.t, d.text))::BIGINT AS bytes, md5(coalesce(k.t, d.text)) AS digest FROM documents d LEFT JOIN kept k USING (doc_id)""")
 def byte_truncate(spark, sf):
     d = A.table(spark, sf, "documents")
     cut = T.truncate_bytes(F.col("text"))
@@ -155,6 +157,32 @@ def s3_uri_parse(spark, sf):
     return e.select("event_id", T.object_address(uri).alias("a")).select("event_id", "a.*")
 
 
+@query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'PRD-' || page_id ELSE '' END AS product_id, CASE WHEN page_id % 2 = 0 THEN 'CUST-' || (page_id + 7) ELSE '' END AS customer_id FROM pages")
+def image_name_ids(spark, sf):
+    p, n = A.table(spark, sf, "pages"), F.col("page_id").cast("string")
+    key = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("raw-data/images/PRD-"), n, F.lit("_CUST-"), (F.col("page_id") + 7).cast("string"), F.lit(".png"))).otherwise(F.concat(F.lit("raw-data/images/photo "), n, F.lit(".jpg")))
+    return p.select("page_id", T.image_ids(key).alias("i")).select("page_id", "i.*")
+
+
+@query("SELECT event_id, 'raw-data/calls/a b&' || event_id || '+é.mp3' AS key FROM events")
+def event_keys(spark, sf):
+    e = A.table(spark, sf, "events")
+    return e.select("event_id", T.decode_event_key(F.concat(F.lit("raw-data/calls/a+b%26"), F.col("event_id").cast("string"), F.lit("%2B%C3%A9.mp3"))).alias("key"))
+
+
+@query("SELECT event_id, 'part ' || event_id || CASE WHEN event_id % 2 = 0 THEN ' and more' ELSE '' END AS text FROM events")
+def content_blocks(spark, sf):
+    e = A.table(spark, sf, "events")
+    block = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.cast("string").alias("text"))
+    blocks = F.array(block("text", F.concat(F.lit("part "), F.col("event_id").cast("string"))), block("tool", F.lit(None)), block("text", F.when(F.col("event_id") % 2 == 0, " and more")))
+    return e.select("event_id", V.content_text(blocks).alias("text"))
+
+
+@query("SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) + 1)::INT AS row_number FROM orders")
+def row_numbers(spark, sf):
+    return surveys.numbered(A.table(spark, sf, "orders").select("o_custkey", "o_orderkey"), "o_custkey", "o_orderkey")
+
+
 @query("SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
 def json_recover(spark, sf):
     e = A.table(spark, sf, "events")
@@ -214,7 +242,12 @@ def slot_docs(spark, sf):
     return calls.slot_documents(_named(spark, sf)).select("call_id", "slot", "part", "n_turns", "truncated")
 
 
-@query()
+@query(f"""WITH RECURSIVE {A.SEGMENTS}, items AS (SELECT call_id, text, row_number() OVER (PARTITION BY call_id ORDER BY turn) AS i FROM turns),
+    packed AS (SELECT call_id, i, text AS t, 1 AS n, 0 AS part FROM items WHERE i = 1 UNION ALL
+      SELECT x.call_id, x.i, CASE WHEN strlen(p.t) + 1 + strlen(x.text) <= 600 THEN p.t || ' ' || x.text ELSE x.text END,
+             CASE WHEN strlen(p.t) + 1 + strlen(x.text) <= 600 THEN p.n + 1 ELSE 1 END, CASE WHEN strlen(p.t) + 1 + strlen(x.text) <= 600 THEN p.part ELSE p.part + 1 END
+      FROM packed p JOIN items x ON x.call_id = p.call_id AND x.i = p.i + 1)
+    SELECT call_id, part::INT AS part, left(arg_max(t, i), list_max(list_filter(range(1, 601), lambda n: strlen(left(arg_max(t, i), n)) <= 600))) AS text, max(n)::INT AS n_turns, max(strlen(t)) > 600 AS truncated FROM packed GROUP BY call_id, part""")
 def pack_turns(spark, sf):
     said = _turns(spark, sf).groupBy("call_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("t"))
     packed = calls.pack_turns(F.transform("t", lambda x: x["text"]), 600)
@@ -244,9 +277,11 @@ def batch_result_join(spark, sf):
     SELECT call_id, CASE e.slot WHEN 'customer_all' THEN 'customer_overall' WHEN 'agent_all' THEN 'agent_overall' ELSE 'customer_end_state' END AS slot,
       CASE WHEN parts_scored > 0 THEN CASE WHEN pos >= neg THEN 'POSITIVE' ELSE 'NEGATIVE' END END AS sentiment, CASE WHEN parts_scored > 0 THEN parts END AS parts,
       CASE WHEN parts_scored > 0 THEN parts_scored END AS parts_scored, CASE WHEN parts_scored > 0 THEN turns_used END AS turns_used, CASE WHEN parts_scored > 0 THEN truncated END AS truncated,
+      CASE WHEN parts_scored > 0 THEN round(pos, 9) END AS positive, CASE WHEN parts_scored > 0 THEN round(neg, 9) END AS negative,
       CASE WHEN parts IS NULL THEN 'no_text_for_role' WHEN parts_scored = 0 THEN 'comprehend_error' END AS reason FROM every e LEFT JOIN per p USING (call_id, slot)""")
 def slot_sentiment_summary(spark, sf):
-    return calls.slot_summary(_scored(spark, sf), A.segments(spark, sf)).drop("scores", "method")
+    told = calls.slot_summary(_scored(spark, sf), A.segments(spark, sf))
+    return told.withColumns({"positive": F.round(F.col("scores")["Positive"], 9), "negative": F.round(F.col("scores")["Negative"], 9)}).drop("scores", "method")
 
 
 @query(f"""WITH {A.SEGMENTS}, a AS (SELECT call_id, 'a' AS design, sum(greatest(300, length(text)))::BIGINT AS units FROM named GROUP BY call_id),
@@ -288,22 +323,22 @@ def admissible_batch(spark, sf):
     return documents.admissible_batch(A.documents(spark, sf)).select("doc_id", "source_type")
 
 
-@query(f"WITH {A.DOCS} SELECT count(*) AS documents_total, count(*) FILTER (admissible AND text <> '') AS documents_sent, count(*) FILTER (NOT (admissible AND text <> '')) AS excluded, count(*) FILTER (source_type = 'review') AS reviews, count(*) FILTER (source_type = 'survey') AS surveys, count(*) FILTER (source_type = 'image') AS images FROM docs")
+@query(f"WITH {A.DOCS} SELECT count(*) AS documents_total, count(*) FILTER (admissible AND text <> '') AS documents_sent, count(*) FILTER (NOT (admissible AND text <> '')) AS excluded, count(*) FILTER (source_type = 'review') AS reviews, count(*) FILTER (source_type = 'survey') AS surveys, count(*) FILTER (source_type = 'call') AS calls, count(*) FILTER (source_type = 'image') AS images FROM docs")
 def manifest(spark, sf):
     m = documents.manifest(A.documents(spark, sf))
-    return m.select("documents_total", "documents_sent", "excluded", *(F.col("by_source")[k].alias(k + "s") for k in ("review", "survey", "image")))
+    return m.select("documents_total", "documents_sent", "excluded", *(F.col("by_source")[k].alias(k + "s") for k in ("review", "survey", "call", "image")))
 
 
 def _channels(spark, sf):
     d = A.table(spark, sf, "documents")
-    ref = F.concat(F.lit("order "), (F.col("doc_id") % 400 + 1000).cast("string"))
+    ref = F.concat(F.lit("order "), (F.floor(F.col("doc_id") / 2) + 1000).cast("string"))
     text = F.when(F.col("doc_id") % 3 == 2, F.concat(F.lit("the Item "), (F.col("doc_id") % 7).cast("string"), F.lit(" broke"))).otherwise(ref)
     kind = F.when(F.col("doc_id") % 2 == 0, "call").otherwise("image")
     return d.select(F.col("doc_id").cast("string").alias("doc_id"), kind.alias("source_type"), F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("PRD-"), (F.col("doc_id") % 50).cast("string"))).alias("product_id"), T.order_ref(text).alias("order_ref"), text.alias("text"))
 
 
 CHANNELS = """channels AS (SELECT doc_id::VARCHAR AS doc_id, CASE WHEN doc_id % 2 = 0 THEN 'call' ELSE 'image' END AS source_type, CASE WHEN doc_id % 5 = 0 THEN 'PRD-' || (doc_id % 50) END AS product_id,
-    CASE WHEN doc_id % 3 <> 2 THEN 'ORD-' || (doc_id % 400 + 1000) END AS order_ref, CASE WHEN doc_id % 3 = 2 THEN doc_id % 7 END AS item FROM documents)"""
+    CASE WHEN doc_id % 3 <> 2 THEN 'ORD-' || (doc_id // 2 + 1000) END AS order_ref, CASE WHEN doc_id % 3 = 2 THEN doc_id % 7 END AS item FROM documents)"""
 
 
 @query(f"WITH {CHANNELS} SELECT order_ref, a.doc_id AS left_id, b.doc_id AS right_id FROM channels a JOIN channels b USING (order_ref) WHERE a.source_type = 'call' AND b.source_type = 'image'")
@@ -405,6 +440,20 @@ def route_summary(spark, sf):
     return review.review_summary(review.verdicts(A.documents(spark, sf)))
 
 
+@query(f"""{ROUTED} SELECT doc_id, 'sentiment_vs_rating' AS rule, 'text scored ' || sentiment || ' but the customer rated it ' || rating || '/5' AS detail,
+      CASE WHEN sentiment = 'POSITIVE' THEN 4 - rating ELSE rating - 2 END::DOUBLE AS divergence FROM verdicts WHERE apart UNION ALL
+    SELECT doc_id, 'survey_label_vs_ratings', 'stated satisfaction differs from own ratings by ' || abs(rating_satisfaction_gap) || ' points', abs(rating_satisfaction_gap) FROM verdicts WHERE own""")
+def flag_details(spark, sf):
+    return review.verdicts(A.documents(spark, sf)).select("doc_id", F.inline("flags"))
+
+
+@query(f"""WITH {A.DOCS} SELECT doc_id, CASE source_type WHEN 'image' THEN 2 WHEN 'review' THEN 0 WHEN 'call' THEN 1 ELSE 1 + (array_length(fatal) > 0)::INT + (array_length(advisory) > 0)::INT END::INT AS notes,
+    CASE WHEN source_type = 'survey' AND array_length(fatal) > 0 THEN 'failed validation: ' || array_to_string(fatal, ', ') END AS failed FROM docs""")
+def trust_notes(spark, sf):
+    notes = F.col("provenance.trust_notes")
+    return A.documents(spark, sf).select("doc_id", F.size(notes).alias("notes"), F.try_element_at(F.filter(notes, lambda n: F.startswith(n, F.lit("failed validation"))), F.lit(1)).alias("failed"))
+
+
 def _planted(spark, sf):
     labels = A.table(spark, sf, "labels")
     return labels.where("quality = 1 and doc_id % 5 > 0 or doc_id % 7 = 0").select("doc_id"), labels.where("quality = 1").select("doc_id")
@@ -468,6 +517,28 @@ def control_semi(spark, sf):
     return insight.invented_issues(themes, controls).select("p_partkey", "product_id")
 
 
+@query("SELECT p_partkey FROM part WHERE p_size % 3 = 0")
+def uncited_themes(spark, sf):
+    part = A.table(spark, sf, "part")
+    ids = F.when(F.col("p_size") % 3 == 1, F.array(F.lit("a"))).when(F.col("p_size") % 3 == 2, F.array(F.lit("a"), F.lit("b"))).when(F.col("p_size") % 2 == 0, F.array().cast("array<string>"))
+    return insight.uncited_themes(part.select("p_partkey", ids.alias("doc_ids"))).select("p_partkey")
+
+
+@query("""SELECT count(*) FILTER (quality = 1) AS found, count(*) AS expected, count(*) FILTER (toxic = 1) AS invented, count(*) FILTER (doc_id % 3 = 0) AS hallucinated,
+    CASE WHEN count(*) FILTER (quality = 1) = count(*) AND count(*) FILTER (toxic = 1) = 0 AND count(*) FILTER (doc_id % 3 = 0) = 0 THEN 'PASS' ELSE 'REVIEW NEEDED' END AS verdict FROM labels""")
+def report_verdict(spark, sf):
+    labels = A.table(spark, sf, "labels")
+    return insight.verdict(labels.select((F.col("quality") == 1).alias("found")), labels.where("toxic = 1"), labels.where("doc_id % 3 = 0"))
+
+
+@query(f"""WITH {A.DOCS}, per AS (SELECT product_id, list(doc_id ORDER BY doc_id) FILTER (source_type = 'review' AND rating <= 2) AS ids, count(*) FILTER (source_type = 'survey') AS survey_rows FROM docs GROUP BY ALL)
+    SELECT product_id, 'issue ' || product_id AS issue, md5(array_to_string(coalesce(ids, []), ',')) AS review_docs, survey_rows FROM per WHERE product_id IS NOT NULL""")
+def expected_themes(spark, sf):
+    docs = A.documents(spark, sf).select("doc_id", "source_type", "product_id", F.col("signals.rating").alias("rating"))
+    issues = docs.select("product_id").where("product_id is not null").distinct().withColumn("issue", F.concat(F.lit("issue "), F.col("product_id")))
+    return insight.expected_themes(docs, issues).select("product_id", "issue", F.md5(joined("review_docs")).alias("review_docs"), "survey_rows")
+
+
 @query("SELECT coalesce(CASE p_size % 3 WHEN 0 THEN 'stated_id' WHEN 1 THEN 'order_reference' END, 'unset') AS product_link_basis, count(*) AS n FROM part GROUP BY ALL")
 def link_basis_histogram(spark, sf):
     part = A.table(spark, sf, "part")

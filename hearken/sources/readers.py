@@ -3,8 +3,12 @@ store that Spark reads will do."""
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import decode_event_key
 
@@ -29,13 +33,32 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_surveys(spark: SparkSession, path: str) -> DataFrame:
-    """source_key, position, and eight string columns of all CSV files, .csv in any case; blank cells are empty strings.
-    No file raises FileNotFoundError."""
-    schema = ", ".join(f"{c} string" for c in SURVEY_COLUMNS)
-    raw = spark.read.schema(schema).options(header=True, multiLine=True, escape='"', pathGlobFilter="*.[cC][sS][vV]").csv(path)
-    if not raw.inputFiles():
+    """source_key, position, and eight string columns of all CSV files, .csv in any case, found by their names in each
+    file's header, whatever their order; columns that a file has not, and blank cells, are empty strings. A row's cells
+    beyond the header are left out. A header is one line; empty files have no rows. No file raises FileNotFoundError."""
+    options = dict(multiLine=True, escape='"', pathGlobFilter="*.[cC][sS][vV]")
+    lines = spark.read.option("pathGlobFilter", options["pathGlobFilter"]).text(path)
+    if not lines.inputFiles():
         raise FileNotFoundError(f"no CSV found in {path}")
-    return raw.select(path_of().alias("source_key"), F.monotonically_increasing_id().alias("position"), *SURVEY_COLUMNS).na.fill("", list(SURVEY_COLUMNS))
+    # Files that share a header are read as one; there are as many reads as there are different headers.
+    at = F.struct("_metadata.file_block_start", F.monotonically_increasing_id())
+    firsts = lines.select(path_of().alias("file"), at.alias("at"), "value").groupBy("file").agg(F.min_by("value", "at").alias("head"))
+    heads = firsts.groupBy("head").agg(F.array_sort(F.collect_list("file")).alias("files")).collect()
+    parts = []
+    for row in sorted(heads, key=lambda r: r["files"]):
+        names = [n.strip() for n in next(csv.reader([row["head"].lstrip("\ufeff")]), [])] or ["_"]
+        own = [n if names.index(n) == i else f"_{i}" for i, n in enumerate(names)]
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in own])
+        raw = spark.read.schema(schema).options(header=True, enforceSchema=True, **options).csv(row["files"])
+        cells = [F.coalesce(F.col(f"`{c}`") if c in own else F.lit(None).cast("string"), F.lit("")).alias(c) for c in SURVEY_COLUMNS]
+        parts.append(raw.select(path_of().alias("source_key"), F.monotonically_increasing_id().alias("position"), *cells))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_survey_results(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """source_key and the records of survey result files, each an object whose `records` is an array of `schema`'s fields."""
+    raw = spark.read.schema(f"records array<struct<{schema}>>").options(multiLine=True, recursiveFileLookup=True, pathGlobFilter="*.json").json(path)
+    return raw.select(path_of().alias("source_key"), F.explode("records").alias("r")).select("source_key", "r.*").where(~F.contains("source_key", F.lit("/_failed/")))
 
 
 def read_processed(spark: SparkSession, paths: list[str], schema: str, one_per_file: bool = True) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -49,11 +50,13 @@ def validate_stream(spark: SparkSession, raw: str, verdicts: str, checkpoint: st
     return start(judged, into(verdicts), checkpoint)
 
 
-def admit_stream(spark: SparkSession, verdicts: str, raw_reviews: DataFrame, processed: str, checkpoint: str, process: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
-    """Verdicts -> processed reviews, joined back to the raw ones by their key. A verdict delivered twice counts once."""
+def admit_stream(spark: SparkSession, verdicts: str, raw_reviews: DataFrame, processed: str, checkpoint: str, process: Callable[[DataFrame], DataFrame], delay: str = "7 days") -> StreamingQuery:
+    """Verdicts -> processed reviews, joined back to the raw ones by their key. A verdict delivered twice within `delay`, by
+    the time its file was written, counts once; what comes later writes the same review again, and state stays bounded."""
     distinct_folders(verdicts, processed)
     schema = "source_key string, checks map<string,boolean>, quality_score double, fatal_failures array<string>, advisory_failures array<string>, admissible boolean"
-    admitted = files(spark, verdicts, "parquet", schema, recursiveFileLookup=True).where(F.coalesce("admissible", F.lit(False))).select("source_key").dropDuplicates(["source_key"])
+    admitted = files(spark, verdicts, "parquet", schema, recursiveFileLookup=True).where(F.coalesce("admissible", F.lit(False)))
+    admitted = admitted.select("source_key", F.col("_metadata.file_modification_time").alias("written")).withWatermark("written", delay).dropDuplicatesWithinWatermark(["source_key"]).drop("written")
     return start(process(admitted.join(raw_reviews, "source_key")), into(processed), checkpoint)
 
 
@@ -71,11 +74,16 @@ def collected_jobs(events: DataFrame, jobs: DataFrame, delay: str = "1 day") ->
 
 
 def split_sink(path: str, failed: str, is_failed: Column) -> Callable[[DataFrame, int], None]:
-    """Two sinks of one stream: records, and failures below their own folder."""
+    """Two sinks of one stream: records, and failures below their own folder. The batch is made once, for both. A condition
+    that is null is no failure."""
 
     def sink(batch: DataFrame, number: int) -> None:
-        into(path)(batch.where(~is_failed), number)
-        into(failed)(batch.where(is_failed), number)
+        batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            into(path)(batch.where(~F.coalesce(is_failed, F.lit(False))), number)
+            into(failed)(batch.where(is_failed), number)
+        finally:
+            batch.unpersist()
 
     return sink
 
