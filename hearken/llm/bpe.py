@@ -6,7 +6,8 @@ pair are looked up and indexed again. WordCodec does the same for vocabularies w
 distinct word merges its lowest pair, words of one length side by side.
 
 Null and empty texts have no ids; bytes that are not UTF-8 count as U+FFFD; equal texts get equal ids; texts of any
-length are encoded whole; an empty table gives an empty result.
+length are encoded whole; of pairs of one rank the leftmost merges first; each row is answered by itself, whether doc_ids
+repeat or are null; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -7,7 +7,8 @@ and the language with most bytes is the document's.
 
 Fitted on at most about SAMPLE labelled rows chosen by a hash of doc_id; what is learned are two tables of fixed size.
 Null texts and texts without letters are `und` with score 0; ties go to the language first in the alphabet; a table
-without labelled rows makes every document `und`; long texts are labelled whole; other columns are ignored.
+without labelled rows makes every document `und`; long texts are labelled whole; each row is answered by itself, so rows
+that repeat, or share or lack a doc_id, do no harm, and an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

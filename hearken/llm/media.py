@@ -5,8 +5,10 @@ one Huffman table), held in an AVI with an index. Reading walks the RIFF chunks,
 decodes them, and detects shots where the difference of histograms exceeds what the last frames lead one to expect.
 Frames of a slice are coded and decoded side by side by array operations.
 
-Null and empty texts become one frame of blanks; long texts simply have more frames; equal texts give equal media; an
-empty table gives an empty result; other columns are ignored. Media that are no such AVI raise ValueError.
+Null and empty texts become one frame of blanks; long texts simply have more frames; equal texts give equal media; each
+row is answered by itself, whether doc_ids repeat or are null; a difference that only equals a threshold begins no shot;
+an empty table gives an empty result; other columns are ignored. Media that are no AVI raise ValueError, and so do frames
+of another kind than those written here (16 by 12 samples, lossless, one Huffman table): this is no decoder of others'.
 """
 
 from __future__ import annotations

@@ -6,7 +6,9 @@ looks for the two unpacked pieces that fill the gap best, over all lengths, and
 bin's smallest piece. A shard keeps counts of pieces by length and a bitmap of the lengths present, so a fit is a bit operation.
 
 A null text is an empty document with its end id alone; documents longer than a sequence are cut, and only they; equal
-rows are packed one by one; an empty table gives an empty result; other columns are ignored.
+rows, and rows that share or lack a doc_id, are packed one by one; of pieces of one length the one read first goes first,
+and of pairs that fill a gap alike the one with the longest piece; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations

@@ -6,7 +6,9 @@ matrix and solved on the driver (FEATURES + 1 unknowns, whatever the input). Sco
 1,025 bins, give the isotonic calibration.
 
 Null texts are empty and are scored; labels that are null are left out and repeated ones each count; without labelled
-rows every score is 0.5; texts are read whole; other columns are ignored.
+rows every score is 0.5; texts are read whole; equal statistics get equal scores, and bins of equal shares are pooled; each
+row is scored by itself, whether doc_ids repeat or are null, and rows that repeat a labelled doc_id each teach; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
