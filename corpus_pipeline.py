@@ -44,17 +44,21 @@ def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest doc_id, one without doc_id if none has any; if the
-    group has several texts of that doc_id, one of them. Texts without words stay."""
+    group has several texts of that doc_id, one of them; of rows that repeat it, one. Null texts and texts without words
+    stay; a row is decided by its own text, even if another has the same doc_id."""
     return _own(docs, jaccard_join.representatives(docs), "text_key", jaccard_join.text_key(_bytes()))
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that stand in earlier documents; untouched texts keep their white space."""
+    """Texts without the passages that stand in earlier documents; untouched texts keep their white space. Null texts stay
+    null; a text may become empty; rows without doc_id keep theirs whole and cut nothing; rows that share a doc_id are cut
+    each by itself."""
     return substring_dedup.without_repeats(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 tokens."""
+    """Sequences of at most 4096 tokens: the pieces of every row, with their places. A null or empty text is its end id
+    alone; rows that repeat, or have no doc_id, are packed one by one."""
     return packing.pack(packing.pieces(docs, _vocabulary()))
 
 

@@ -21,13 +21,13 @@ def surveys(tmp_path_factory):
     return str(folder)
 
 
-def test_columns_are_found_by_their_names(spark, surveys):
+def test_columns_are_found_by_their_names(spark, surveys, tmp_path):
     rows = {r.customer_id: r for r in readers.read_surveys(spark, surveys).collect()}
     assert len(rows) == 3
     assert (rows["C2"].product_id, rows["C2"].comments, rows["C2"].service_rating, rows["C2"].improvement_area) == ("P2", "fine", "3", "")
     assert (rows["C1"].product_id, rows["C1"].comments) == ("P1", "two\nlines, one cell")
     with pytest.raises(FileNotFoundError):
-        readers.read_surveys(spark, surveys + "/../")
+        readers.read_surveys(spark, str(tmp_path))
 
 
 def test_survey_job(spark, surveys, tmp_path):
