@@ -500,13 +500,20 @@ def report_validation(spark, sf):
     return e.select("event_id", joined(insight.report_problems(F.parse_json(said))).alias("problems"))
 
 
-@query("SELECT 'P' || k AS product_id, 'issue' AS issue, k < 2 AS found FROM (SELECT unnest([0, 1, 2]) AS k)")
+@query("""WITH t AS (SELECT 'Keyword' || doc_id % 2 || ' ' || coalesce(lang, 'none') AS theme, coalesce(lang, 'none') AS channel, (doc_id % 5 + 1)::INT AS docs FROM documents),
+    e AS (SELECT 'P' || k AS product_id, 'keyword' || k AS keyword FROM (SELECT unnest([0, 1, 2]) AS k)),
+    hits AS (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY docs DESC, theme DESC) AS r FROM e JOIN t ON contains(lower(theme), keyword))
+    SELECT e.product_id, 'issue' AS issue, theme IS NOT NULL AS found, theme, CASE WHEN theme IS NULL THEN '' ELSE array_to_string(list_sort([channel, 'review']), ',') END AS channels, docs
+    FROM e LEFT JOIN hits ON hits.product_id = e.product_id AND r = 1""")
 def theme_keyword_recall(spark, sf):
-    d = A.table(spark, sf, "documents")
-    themes = d.select(F.concat(F.lit("Keyword"), (F.col("doc_id") % 2).cast("string")).alias("theme"), F.lit("q").alias("quote"), F.array(F.lit("review")).alias("channels"), F.array(F.col("doc_id").cast("string")).alias("doc_ids"))
+    lang = F.coalesce("lang", F.lit("none"))
+    name = F.concat(F.lit("Keyword"), (F.col("doc_id") % 2).cast("string"), F.lit(" "), lang)
+    ids = F.transform(F.sequence(F.lit(0).cast("long"), F.col("doc_id") % 5), lambda i: (F.col("doc_id") + i).cast("string"))
+    themes = A.table(spark, sf, "documents").select(name.alias("theme"), F.lit("q").alias("quote"), F.array(F.lit("review"), lang).alias("channels"), ids.alias("doc_ids"))
     expected = spark.createDataFrame([(f"P{k}", "issue") for k in range(3)], "product_id string, issue string")
     words = spark.createDataFrame([(f"P{k}", f"keyword{k}") for k in range(3)], "product_id string, keyword string")
-    return insight.theme_recall(expected, themes, words).select("product_id", "issue", "found")
+    told = insight.theme_recall(expected, themes, words)
+    return told.select("product_id", "issue", "found", "theme", F.coalesce(joined("channels"), F.lit("")).alias("channels"), "docs")
 
 
 @query("SELECT p_partkey, p_brand AS product_id FROM part WHERE p_size <= 20 AND p_brand IN (SELECT p_brand FROM part GROUP BY p_brand HAVING min(p_size) > 0 AND p_brand < 'Brand#3')")

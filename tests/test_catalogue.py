@@ -36,7 +36,7 @@ def test_query(spark, duck, name):
 
 
 def test_themes_come_from_all_documents(spark, tmp_path):
-    spark.createDataFrame([(1000, "a"), (70001, "b")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1000, "a", "en"), (70001, "b", None)], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
     rows = catalogue.theme_keyword_recall(spark, str(tmp_path)).collect()
     assert sorted((r.product_id, r.found) for r in rows) == [("P0", True), ("P1", True), ("P2", False)]
 
