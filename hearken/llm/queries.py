@@ -83,6 +83,19 @@ ORACLE_SQL = {
         SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(len(g.ps), 0)::BIGINT AS n_removed,
                sha256(coalesce(k.t, '')) AS kept_sha256
         FROM d LEFT JOIN gone g USING (doc_id) LEFT JOIN kept k USING (doc_id)""",
+    # Shingles that two documents share are counted by a join on them, and links are followed from each document.
+    "op4_jaccard_join": r"""
+        WITH RECURSIVE
+             d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             s AS (SELECT DISTINCT doc_id, md5_number(array_to_string(w[i:i + 4], ' ')) AS k
+                   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, least(len(w), 1) + 1))) AS i FROM d)),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+             shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY ALL),
+             links AS (SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 80 * (p.n + q.n - c)),
+             ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+             reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, ways.y FROM reach JOIN ways ON reach.b = ways.x)
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id
+        FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)""",
     "op7_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
