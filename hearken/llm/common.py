@@ -6,6 +6,7 @@ batch never grows with the table, only with the longest single text.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import tempfile
@@ -51,6 +52,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "body", limit: int =
             begin = end
 
 
+def given_back() -> None:
+    """Hands free memory back to the system: Python workers outlive their tasks, and the next may be of another kind."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "body", limit: int = SLICE_BYTES) -> DataFrame:
     """mapInArrow with `work` applied to each bounded slice; a stateless map, so a lost task is simply run again."""
 
@@ -58,6 +66,7 @@ def map_slices(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch |
         for batch in slices(batches, column, limit):
             if (out := work(batch)) is not None and out.num_rows:
                 yield out
+        given_back()
 
     return df.mapInArrow(run, schema)
 
@@ -75,13 +84,19 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, what: str) -> DataFrame:
+def saved(df: DataFrame, what: str, path: str | None = None) -> DataFrame:
     """df written to the shared folder and read again: cuts the lineage, survives lost executors, runs `df` once."""
-    path = shared_folder(df.sparkSession, what)
+    path = path or shared_folder(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Removes a folder of `saved` that nothing will read again."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values (the finaliser of MurmurHash3, fixed constants)."""
     h = h ^ (h >> _M(33))

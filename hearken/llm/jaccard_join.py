@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, id_and_bytes, map_slices, mixed, saved, slices, span_hashes
+from .common import Words, given_back, id_and_bytes, map_slices, mixed, saved, slices, span_hashes
 from .graph import components
 
 SHINGLE, NEED, OF = 5, 80, 100
@@ -134,6 +134,7 @@ def stars(docs: DataFrame, need: int = NEED, of: int = OF) -> DataFrame:
                 tokens, nodes, size = [], [], 0
         if tokens:
             yield begun(tokens, nodes)
+        given_back()
 
     rows = docs.mapInArrow(run, "edge boolean, key long, node long, first long")
     least = F.when(F.col("edge"), F.col("first")).otherwise(F.min("node").over(Window.partitionBy("edge", "key")))
@@ -256,6 +257,7 @@ def links(docs: DataFrame, signed: DataFrame, need: int = NEED, of: int = OF, bl
                     held.append(row)
         if len(held) > 1:
             yield family()
+        given_back()
 
     keyed = docs.withColumn("own_text", text_key("body"))
     found = keyed.join(wanted, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("own_text") == F.col("own_key"))).select("body", "tasks")

@@ -170,7 +170,7 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFram
         spans = pa.StructArray.from_arrays([pa.array([own.langs[k] if langs else "und" for k in labels[turns].tolist()], pa.string()), pa.array(turns - first[doc[turns]], pa.int64()), pa.array(runs, pa.int64())], names=["lang", "first_word", "words"])
         return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "lang_pred": pa.array(names), "score": pa.array(np.where(has, share, 0.0)), "spans": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), spans)})
 
-    return map_slices(id_and_bytes(docs), work, "doc_id long, lang_pred string, score double, spans array<struct<lang:string,first_word:long,words:long>>", limit=8 << 20)
+    return map_slices(id_and_bytes(docs), work, "doc_id long, lang_pred string, score double, spans array<struct<lang:string,first_word:long,words:long>>", limit=4 << 20)
 
 
 def keep_known(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFrame:
@@ -187,4 +187,4 @@ def keep_known(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataF
         return batch.select(names).filter(pa.array(has))
 
     with_body = docs.withColumn(extra, F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
-    return map_slices(with_body, work, docs.schema, extra, limit=8 << 20)
+    return map_slices(with_body, work, docs.schema, extra, limit=4 << 20)

@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
             begin += n
         return pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return map_slices(id_and_bytes(docs), work, "doc_id long, piece int, start long, length long, ids_crc32 long", limit=32 << 20)
+    return map_slices(id_and_bytes(docs), work, "doc_id long, piece int, start long, length long, ids_crc32 long", limit=16 << 20)
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
