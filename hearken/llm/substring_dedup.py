@@ -25,10 +25,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, id_and_bytes, map_slices, mixed, ragged, saved, span_hashes, window_hashes
+from .common import Words, given_back, id_and_bytes, map_slices, mixed, ragged, saved, span_hashes, window_hashes
 from .fm_index import FMIndex
 
 WINDOW, GRAM, HOT, SHARD_WORDS = 50, 16, 8192, 400_000
+PART_ROWS = 4096
 ROW = ["doc_id", "text_key"]  # tell a row
 
 
@@ -70,8 +71,8 @@ def stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFr
 
 
 def _spread(found: DataFrame) -> DataFrame:
-    """minimizer, least and most (doc_id): a row for each minimizer that a task reads, in bounded batches, so that a common
-    one leaves a task once."""
+    """minimizer, least and most (doc_id), rows: one for each minimizer that a task reads, in bounded batches, so that a
+    common one leaves a task once."""
 
     def run(batches):
         held, size = [], 0
@@ -85,10 +86,10 @@ def _spread(found: DataFrame) -> DataFrame:
             yield from total(held)
 
     def total(held):
-        grouped = pa.Table.from_batches(held).group_by(["minimizer"]).aggregate([("doc_id", "min"), ("doc_id", "max")])
-        return grouped.rename_columns({"doc_id_min": "least", "doc_id_max": "most"}).select(["minimizer", "least", "most"]).to_batches()
+        grouped = pa.Table.from_batches(held).group_by(["minimizer"]).aggregate([("doc_id", "min"), ("doc_id", "max"), ("doc_id", "count")])
+        return grouped.rename_columns({"doc_id_min": "least", "doc_id_max": "most", "doc_id_count": "rows"}).select(["minimizer", "least", "most", "rows"]).to_batches()
 
-    return found.select("minimizer", "doc_id").mapInArrow(run, "minimizer long, least long, most long")
+    return found.select("minimizer", "doc_id").mapInArrow(run, "minimizer long, least long, most long, rows long")
 
 
 def _sequences(wanted: DataFrame, docs: DataFrame, window: int) -> DataFrame:
@@ -152,6 +153,7 @@ def _searched(sequences: DataFrame, window: int, shard_words: int) -> DataFrame:
                 seen[content].append((key, start))  # its owner may repeat it
         if held:
             yield shard(held)
+        given_back()
 
     home = F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")
     others = F.when(F.col("blocks") > 1, F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), F.col("home"))).otherwise(F.array(F.lit(0)))
@@ -170,12 +172,15 @@ def repeats(scanned: DataFrame, docs: DataFrame, window: int = WINDOW, gram: int
     """doc_id, text_key, start, stop: word intervals made of windows that begin in a document with a smaller doc_id as well.
     `scanned` has doc_id, text_key and body as they are read; `docs` has the same rows dealt by doc_id and text_key."""
     found = saved(stretches(scanned.where("doc_id IS NOT NULL"), window, gram), "stretches")
-    several = _spread(found).groupBy("minimizer").agg(F.min("least").alias("least"), F.max("most").alias("most")).where("least <> most").select("minimizer")
-    met = saved(found.join(saved(several, "minimizers"), "minimizer", "left_semi"), "repeated")
-    heads = met.groupBy("minimizer", "content").agg(F.min("doc_id").alias("owner"))
+    several = _spread(found).groupBy("minimizer").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.sum("rows").alias("rows")).where("least <> most")
+    # Stretches of a common minimizer are joined in as many parts as they need.
+    parts = F.ceil(F.col("rows") / PART_ROWS).cast("int").alias("parts")
+    met = saved(found.join(saved(several.select("minimizer", parts), "minimizers"), "minimizer"), "repeated")
+    heads = met.groupBy("minimizer", "content").agg(F.min("doc_id").alias("owner"), F.first("parts").alias("parts"))
     shards = saved(heads.groupBy("minimizer").agg(F.min("owner").alias("first"), F.ceil(F.count("*") / hot).cast("int").alias("blocks"), F.count("*").alias("heads")), "shards")
     known = saved(heads.join(shards, "minimizer"), "heads")
-    owned = met.join(known, ["minimizer", "content"])
+    every = known.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    owned = met.withColumn("part", F.pmod(F.xxhash64("doc_id", "start"), F.col("parts")).cast("int")).join(every, ["minimizer", "content", "part"])
     # Copies of a sequence begin in its owner. What a sequence shares with others is searched for once, for its owner.
     copied = owned.where("doc_id > owner").select(*ROW, "start", (F.col("start") + F.col("windows") + (window - 1)).cast("int").alias("stop"))
     asked = owned.where("heads > 1 AND doc_id = owner").withColumn("ask", F.col("owner") > F.col("first"))
