@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import WordCodec
-from .common import ragged, saved, slices
+from .common import given_back, ragged, saved, slices
 
 END_ID, BLOCK = 2, 2048
 LANES = 4096  # blocks coded side by side
@@ -402,6 +402,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, block: int =
             )
             number += len(lengths)
             documents += batch.num_rows
+        given_back()
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("body")).orderBy("doc_id", F.xxhash64("body"))
     return saved(ordered.mapInArrow(run, "part int, block long, doc_ids array<bigint>, doc_counts array<bigint>, first_doc long, tokens long, crc32 long, payload binary"), "token-blocks")
@@ -452,6 +453,7 @@ def index_tokens(blocks: DataFrame) -> DataFrame:
                     begin += n
                     at += n
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.int64()] * 6), strict=True)], names=["part", "block", "doc", "at", "doc_id", "n", "crc"])
+        given_back()
 
     stretches = blocks.mapInArrow(run, "part int, block long, doc long, at long, doc_id long, n long, crc long")
     totals = blocks.groupBy("part").agg(F.sum("tokens").alias("tokens")).collect()  # one row for each partition of the sort
