@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard_join, language, licenses, media, packing, quality, substring_dedup, token_files
+from . import bpe, exact_dedup, jaccard_join, language, licenses, media, packing, quality, simhash, substring_dedup, token_files, whitening
 from .common import read_documents
 
 
@@ -66,7 +66,23 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.index_tokens(token_files.write_tokens(read_documents(spark, sf_dir), _vocabulary("word_bpe_49k.json")))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_media_columns, op3_byte_bpe, op4_jaccard_join, op5_language_id, op6_license_scan, op7_exact_dedup, op8_quality, op9_packing, op10_token_files)}
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.grouped(read_documents(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deviation is null where it passes 64 bits; the operator itself has it whole."""
+    rows = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_substring_dedup, op2_media_columns, op3_byte_bpe, op4_jaccard_join, op5_language_id, op6_license_scan,
+        op7_exact_dedup, op8_quality, op9_packing, op10_token_files, op11_simhash, op13_whitening,
+    )
+}
 
 ORACLE_SQL = {
     "op6_license_scan": licenses.oracle(),
