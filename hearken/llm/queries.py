@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, jaccard_join, language, licenses, media, packing, quality, simhash, substring_dedup, token_files, whitening
+from . import bpe, exact_dedup, jaccard_join, language, licenses, media, packing, phrases, quality, simhash, substring_dedup, token_files, whitening
 from .common import read_documents
 
 
@@ -70,6 +70,10 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.grouped(read_documents(spark, sf_dir))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(read_documents(spark, sf_dir))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deviation is null where it passes 64 bits; the operator itself has it whole."""
     rows = whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
@@ -80,7 +84,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_media_columns, op3_byte_bpe, op4_jaccard_join, op5_language_id, op6_license_scan,
-        op7_exact_dedup, op8_quality, op9_packing, op10_token_files, op11_simhash, op13_whitening,
+        op7_exact_dedup, op8_quality, op9_packing, op10_token_files, op11_simhash, op12_collocations, op13_whitening,
     )
 }
 
@@ -112,6 +116,25 @@ ORACLE_SQL = {
              reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, ways.y FROM reach JOIN ways ON reach.b = ways.x)
         SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id
         FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a) USING (doc_id)""",
+    # Every phrase is counted; a longer phrase occurs no more often than what it contains, so "as often" is equal counts.
+    "op12_collocations": r"""
+        WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+             pieces AS (SELECT lang, unnest(regexp_extract_all(t, '[^.,;:!?\x0A-\x0D]+')) AS p FROM d),
+             w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+             g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+                   FROM w, (SELECT unnest(range(1, 6)) AS k)),
+             f AS (SELECT lang, k, phrase, count(*) AS n FROM g GROUP BY ALL),
+             totals AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+             c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND n >= 100),
+             swallowed AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN c q ON q.lang = c.lang AND q.a = c.a AND q.k > c.k
+                           WHERE contains(' ' || q.phrase || ' ', ' ' || c.phrase || ' ')),
+             cuts AS (SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS lp, array_to_string(ws[j + 1:], ' ') AS rp
+                      FROM (SELECT c.*, unnest(range(1, k)) AS j FROM c ANTI JOIN swallowed USING (lang, phrase))),
+             scored AS (SELECT lang, cuts.phrase, a, j, x.n AS l, y.n AS r, totals.n AS n, ((1000::HUGEINT * a * totals.n) // (x.n::HUGEINT * y.n))::BIGINT AS score
+                        FROM cuts JOIN f x USING (lang) JOIN f y USING (lang) JOIN totals USING (lang) WHERE x.phrase = lp AND y.phrase = rp),
+             best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+             ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000""",
     "op7_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
