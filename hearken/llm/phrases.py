@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, given_back, saved, slices
 
 DEPTH, LEAST, TOP, PER_MILLE, NO_LANGUAGE = 5, 100, 2000, 1000, "und"
-SHARD_BYTES, RANGE_BYTES, MAX_RANGES = 12 << 20, 12 << 20, 1 << 16
+SHARD_BYTES, RANGE_BYTES, MAX_RANGES = 8 << 20, 8 << 20, 1 << 16
 SAMPLE, SAMPLE_STEP, SPLIT_WORD = 1 << 17, 32, 64  # windows; words from one to the next; bytes of a word of a split
 SALTS = 64
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"  # what ends a piece. Fixed values.
@@ -239,7 +239,8 @@ def count_phrases(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, range
     """lang, phrase, words, n: all phrases of 1 to `depth` words that occur `least` times in a language, and each language's
     number of words, as an empty phrase."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANGUAGE)).cast("binary").alias("lang"), F.col("text").cast("binary").alias("body")).where(F.octet_length("body") > 0)
-    shared = docs.sparkSession.sparkContext.broadcast(_splits(texts, depth, range_bytes))  # MAX_RANGES short windows at most
+    splits = _splits(texts, depth, range_bytes)
+    shared = docs.sparkSession.sparkContext.broadcast(splits)  # MAX_RANGES short windows at most
 
     def shard(batches):
         splits = shared.value
@@ -274,7 +275,7 @@ def count_phrases(docs: DataFrame, depth: int = DEPTH, least: int = LEAST, range
             yield nodes(merged(held), least)
         given_back()
 
-    parts = texts.mapInArrow(shard, "range int, part binary").repartition("range").sortWithinPartitions("range")
+    parts = texts.mapInArrow(shard, "range int, part binary").repartition(len(splits) + 1, "range").sortWithinPartitions("range")
     found = parts.mapInArrow(walk, "lang binary, phrase binary, words int, n long")
     total = found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where((F.col("n") >= least) | (F.col("words") == 0))
     return total.select(F.col("lang").cast("string").alias("lang"), F.col("phrase").cast("string").alias("phrase"), "words", "n")
