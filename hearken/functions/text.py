@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import let
+
 # Patterns and limits that results depend on. Fixed values.
 ORDER_PATTERNS = (r"(?i)\bORD[- ]?(\d{3,})\b", r"(?i)\border\s*(?:#|no\.?|number)?\s*(\d{3,})\b")
 SAFE_IDENTIFIERS = (r"^[A-Z]{2,4}-\d{3,5}$", r"(?i)^CUST-\d+$", r"(?i)^ORD-\d+$")
@@ -132,11 +134,47 @@ def staged_key(key: Column, prefix: str, suffix: str) -> Column:
     return F.concat(F.lit(prefix.rstrip("/") + "/"), stem(key), F.lit(suffix))
 
 
+BLOCK = 1024  # characters
+
+
+def _pieces(text: Column, begins: Column, ends: Column) -> Column:
+    """array of text[begin:end], in characters, for arrays of begins and ends. The text is cut into blocks once; a piece
+    costs its own length and a block at most, however far back it stands."""
+
+    def cut(blocks: Column) -> Column:
+        def piece(begin: Column, end: Column) -> Column:
+            first, last = F.floor(begin / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int")
+            own = F.array_join(F.slice(blocks, first + 1, F.greatest(last - first + 1, F.lit(0))), "")
+            return F.when(end > begin, F.substring(own, begin % BLOCK + 1, end - begin)).otherwise("")
+
+        return F.zip_with(begins, ends, piece)
+
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)), cut)
+
+
+def _rewritten_one_by_one(text: Column, spans: Column) -> Column:
+    step = lambda out, s: F.concat(F.left(out, s["BeginOffset"]), F.lit("["), s["Type"], F.lit("]"), F.substring(out, s["EndOffset"] + 1, F.length(out)))
+    return F.aggregate(F.reverse(spans), text, step)
+
+
 def redact_spans(text: Column, spans: Column) -> Column:
-    """Each span (Type, BeginOffset, EndOffset in characters) replaced by its [Type], from the last to the first."""
-    indexed = F.transform(spans, lambda s, i: F.struct((-s["BeginOffset"]).alias("b"), i.alias("i"), s["EndOffset"].alias("e"), s["Type"].alias("t")))
-    step = lambda out, s: F.concat(F.left(out, -s["b"]), F.lit("["), s["t"], F.lit("]"), F.substring(out, s["e"] + 1, F.length(out)))
-    return F.aggregate(F.array_sort(indexed), text, step)
+    """Each span (Type, BeginOffset, EndOffset in characters) replaced by its [Type]. What lies between the spans and what
+    takes their places is joined once. Spans that overlap, which no pattern gives, are replaced from the last to the first,
+    each in what the one before left; of spans that begin at one place, the last of the array first."""
+    numbered = F.transform(spans, lambda s, i: F.struct(s["BeginOffset"].alias("BeginOffset"), (-i).alias("i"), s["EndOffset"].alias("EndOffset"), s["Type"].alias("Type")))
+
+    def rewrite(held: Column) -> Column:
+        own, length = held["own"], held["length"]
+        ends = F.transform(own, lambda s: s["EndOffset"])
+        begins = F.transform(own, lambda s: s["BeginOffset"])
+        between = _pieces(text, F.concat(F.array(F.lit(0)), ends), F.concat(begins, F.array(length)))
+        marks = F.concat(F.transform(own, lambda s: F.concat(F.lit("["), s["Type"], F.lit("]"))), F.array(F.lit("")))
+        joined = F.array_join(F.zip_with(between, marks, lambda a, b: F.concat(a, b)), "")
+        apart = F.forall(F.transform(own, lambda s, i: F.when(i > 0, F.get(own, i - 1)["EndOffset"] <= s["BeginOffset"]).otherwise(True)), lambda x: x)
+        inside = F.forall(own, lambda s: (s["BeginOffset"] >= 0) & (s["BeginOffset"] <= s["EndOffset"]) & (s["EndOffset"] <= length))
+        return F.when(F.size(own) == 0, text).when(apart & inside, joined).otherwise(_rewritten_one_by_one(text, own))
+
+    return let(F.struct(F.array_sort(numbered).alias("own"), F.length(text).alias("length")), rewrite)
 
 
 def top_score(scores: Column, label: Column) -> Column:

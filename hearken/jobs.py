@@ -72,7 +72,7 @@ def insight_job(spark: SparkSession, docs: DataFrame, catalogue: dict[str, str],
     sent = documents.admissible_batch(docs)
     held = documents.manifest(docs)
     if redact:
-        own = redaction.redact_documents(sent, providers.pattern_spans)
+        own = redaction.redact_documents(sent, providers.pattern_spans, None)
         found = redaction.tally(own).agg(F.array_sort(F.collect_list(F.struct("kind", "name", "n"))).alias("pii_redaction"))
         held = held.join(found)
         sent = own.drop("pii_redacted", "pii_allowlisted", "allowlisted_spans")

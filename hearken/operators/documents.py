@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, document_stem, order_ref, strip, top_score
+from .containment import matched
 
 SCHEMA = """doc_id string, source_type string, source_key string, customer_id string, product_id string, occurred_on string,
 order_ref string, text string,
@@ -109,25 +110,42 @@ def manifest(docs: DataFrame) -> DataFrame:
     return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("documents_total"), F.coalesce(F.sum("sent"), F.lit(0)).alias("documents_sent"), F.coalesce(F.sum(F.col("n") - F.col("sent")), F.lit(0)).alias("excluded"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("source_type", "n")))).alias("by_source"), F.coalesce(F.sum("chars"), F.lit(0)).alias("approx_chars"))
 
 
-def order_links(docs: DataFrame, left: str = "call", right: str = "image") -> DataFrame:
-    """order_ref, left_id, right_id of documents of two channels that name one order."""
-    side = lambda kind, name: docs.where((F.col("source_type") == kind) & F.col("order_ref").isNotNull()).select("order_ref", F.col("doc_id").alias(name))
+def order_stars(docs: DataFrame, left: str = "call", right: str = "image") -> DataFrame:
+    """order_ref, source_type, doc_id, n_left, n_right: the documents of two channels that name one order are a star around
+    it, a row for each document, with how many of either channel the order has. An order that very many name, such as one
+    that is often misread, makes no more rows than it has documents."""
+    sides = docs.where(F.col("source_type").isin(left, right) & F.col("order_ref").isNotNull())
+    sides = sides.select("order_ref", "source_type", "doc_id")
+    both = (F.count_if(F.col("source_type") == kind).alias(name) for kind, name in ((left, "n_left"), (right, "n_right")))
+    size = sides.groupBy("order_ref").agg(*both)
+    return sides.join(size.where("n_left > 0 and n_right > 0"), "order_ref")
+
+
+def order_links(docs: DataFrame, left: str = "call", right: str = "image", most: int | None = None) -> DataFrame:
+    """order_ref, left_id, right_id: each pair of documents of two channels that name one order; with `most`, those of orders
+    that have at most `most` pairs, while `order_stars` tells all orders without pairs."""
+    star = order_stars(docs, left, right)
+    star = star if most is None else star.where(F.col("n_left") * F.col("n_right") <= most)
+    side = lambda kind, name: star.where(F.col("source_type") == kind).select("order_ref", F.col("doc_id").alias(name))
     return side(left, "left_id").join(side(right, "right_id"), "order_ref")
 
 
-def link_products(docs: DataFrame, catalogue: DataFrame, most: int = 10_000) -> DataFrame:
+def link_products(docs: DataFrame, catalogue: DataFrame, most: int | None = None) -> DataFrame:
     """doc_id, linked_product, product_link_basis: a document's own product; else that of a document with its order (the
     first in the alphabet); else the first product of the catalogue (product_id, name) whose name its text has; else none.
-    The catalogue is a table of names, matched by one pass over its entries in each row; one of over `most` names is
-    refused, since every row carries it."""
-    by_order = docs.where("order_ref is not null and product_id is not null").groupBy("order_ref").agg(F.min("product_id").alias("ordered"))
-    if catalogue.limit(most + 1).count() > most:
+    Names are found by a substring join, so that the catalogue may be of any size, unless the caller refuses one of over
+    `most` names; texts whose product is known are not looked through."""
+    if most is not None and catalogue.limit(most + 1).count() > most:
         raise ValueError(f"the catalogue has over {most} names")
-    names = catalogue.agg(F.array_sort(F.collect_list(F.struct("product_id", F.lower("name").alias("name")))).alias("names"))
-    joined = docs.select("doc_id", "product_id", "order_ref", "text").join(by_order, "order_ref", "left").join(F.broadcast(names))
-    named = F.try_element_at(F.filter("names", lambda p: F.contains(F.lower("text"), p["name"])), F.lit(1))["product_id"]
-    basis = F.when(F.col("product_id").isNotNull(), "stated_id").when(F.col("ordered").isNotNull(), "order_reference").when(named.isNotNull(), "inferred_from_text").otherwise("none")
-    return joined.select("doc_id", F.coalesce("product_id", "ordered", named).alias("linked_product"), basis.alias("product_link_basis"))
+    by_order = docs.where("order_ref is not null and product_id is not null").groupBy("order_ref").agg(F.min("product_id").alias("ordered"))
+    names = catalogue.where("product_id is not null").groupBy(F.lower("name").alias("needle")).agg(F.min("product_id").alias("named"))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "product_id", "order_ref", "text").join(by_order, "order_ref", "left")
+    open_ = rows.select("row", "doc_id", F.coalesce("product_id", "ordered").alias("known"), F.col("product_id").isNotNull().alias("stated"), F.lower("text").alias("text"))
+    open_ = open_.withColumn("text", F.when(F.col("known").isNull(), F.col("text")))
+    looked = matched(open_, "text", names, "left").join(names, "needle", "left")
+    told = looked.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("known").alias("known"), F.first("stated").alias("stated"), F.min("named").alias("named"))
+    basis = F.when(F.col("stated"), "stated_id").when(F.col("known").isNotNull(), "order_reference").when(F.col("named").isNotNull(), "inferred_from_text").otherwise("none")
+    return told.select("doc_id", F.coalesce("known", "named").alias("linked_product"), basis.alias("product_link_basis"))
 
 
 def unique_ids(docs: DataFrame) -> DataFrame:

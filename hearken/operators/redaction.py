@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import is_safe_identifier, redact_spans, strip, truncate_bytes
+from ..functions.text import MAX_BYTES, is_safe_identifier, redact_spans, strip, truncate_bytes
 
 
 def span_text(text: Column, span) -> Column:
     return F.substring(text, span["BeginOffset"] + 1, span["EndOffset"] - span["BeginOffset"])
 
 
-def redact_documents(docs: DataFrame, detect, limit: int = 5000) -> DataFrame:
-    """`docs` with its text cut to `limit` bytes and redacted, pii_redacted (types, sorted) and pii_allowlisted (spans kept,
-    sorted, null if none). `detect(text)` is a Column of spans (Type, BeginOffset, EndOffset) in characters of the cut text,
-    or `docs` has them already as `entities` and `detect` is None. Whether text was cut is set in its provenance."""
-    cut = docs.withColumn("_cut", truncate_bytes(F.col("text")) if limit == 5000 else truncate_bytes(F.col("text"), limit))
+def redact_documents(docs: DataFrame, detect, limit: int | None = MAX_BYTES) -> DataFrame:
+    """`docs` with its text redacted, pii_redacted (types, sorted) and pii_allowlisted (spans kept, sorted, null if none).
+    `detect(text)` is a Column of spans (Type, BeginOffset, EndOffset) in characters, or `docs` has them already as
+    `entities` and `detect` is None. A service takes `limit` bytes: what is beyond goes, since it was not looked at, and
+    that the text was cut is set in its provenance. A detector of this library reads texts whole: its limit is None."""
+    cut = docs.withColumn("_cut", F.col("text") if limit is None else truncate_bytes(F.col("text"), limit))
     spans = cut.withColumn("_spans", F.coalesce(detect(F.col("_cut")) if detect else F.col("entities"), F.array().cast("array<struct<Type:string,BeginOffset:int,EndOffset:int>>")))
     safe = lambda s: is_safe_identifier(span_text(F.col("_cut"), s))
     split = spans.withColumn("_redact", F.filter("_spans", lambda s: ~safe(s))).withColumn("_kept", F.transform(F.filter("_spans", safe), lambda s: span_text(F.col("_cut"), s)))

@@ -388,14 +388,12 @@ def safe_identifier_split(spark, sf):
     return p.select("p_partkey", T.is_safe_identifier(span).alias("safe"))
 
 
-# The same operators over the texts of documents, whole. No SQL tells these results; tests/test_catalogue.py has a plain version.
-WHOLE = (1 << 31) - 1
-
-
+# The same operators over the texts of documents, whole. SQL has no look-around, so none tells what is redacted;
+# tests/test_catalogue.py has a plain version.
 def _real(spark, sf):
     d = A.table(spark, sf, "documents")
     base = documents.document(d, F.col("doc_id").cast("string"), "review", F.lit("k"), F.col("text"))
-    return redaction.redact_documents(base, providers.pattern_spans, WHOLE)
+    return redaction.redact_documents(base, providers.pattern_spans, None)
 
 
 @query()
@@ -408,7 +406,10 @@ def pii_tally_documents(spark, sf):
     return redaction.tally(_real(spark, sf))
 
 
-@query()
+ORDER_SQL = ", ".join(f"nullif(regexp_extract(coalesce(text, ''), '{p}', 1), '')" for p in T.ORDER_PATTERNS)
+
+
+@query(f"SELECT doc_id, 'ORD-' || coalesce({ORDER_SQL}) AS order_ref FROM documents")
 def order_ref_documents(spark, sf):
     return A.table(spark, sf, "documents").select("doc_id", T.order_ref(F.col("text")).alias("order_ref"))
 
@@ -592,3 +593,6 @@ def ruleset_fanout(spark, sf):
     detail = F.struct(names.alias("rulesetNames"), F.when(F.col("event_id") % 4 > 0, F.col("event_id") % 5 / 4.0).alias("score"), F.lit("SUCCEEDED").alias("state"))
     m = metrics.ruleset_metrics(e.select(detail.alias("detail"), "ts"), F.col("ts"))
     return m.groupBy(F.col("dims")["Ruleset"].alias("ruleset")).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+
+
+from . import texts  # noqa: E402, F401  registers its queries
