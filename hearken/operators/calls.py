@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import let
 from ..functions.text import MAX_BYTES, strip, truncate_bytes
 
 # Fixed values.
@@ -55,6 +56,15 @@ def infer_roles(turns: DataFrame) -> DataFrame:
     )
 
 
+def named_turns(turns: DataFrame) -> DataFrame:
+    """Turns with role_guess, as `infer_roles` tells it, by windows over the turns themselves: they are made once."""
+    call = Window.partitionBy("call_id")
+    first = F.col("turn") == F.min("turn").over(Window.partitionBy("call_id", "speaker"))
+    opener = F.min_by("speaker", "turn").over(call)
+    role = F.when(F.count_if("_first").over(call) != 2, "unknown").when(F.col("speaker").eqNullSafe(opener), "agent").otherwise("customer")
+    return turns.withColumn("_first", first).withColumn("role_guess", role).drop("_first")
+
+
 def with_roles(turns: DataFrame, roles: DataFrame) -> DataFrame:
     """Turns with role_guess; speakers without a role are unknown."""
     return turns.join(roles, ["call_id", "speaker"], "left").withColumn("role_guess", F.coalesce("role_guess", F.lit("unknown")))
@@ -75,22 +85,64 @@ def last_customer_turn(turns: DataFrame) -> DataFrame:
 CHUNKS = "array<struct<text:string,n_turns:int,truncated:boolean>>"
 
 
+FOLD = 512  # texts whose chunks one fold lists: a fold copies its list for each element
+
+
+def _chunk_starts(sizes: Column, limit: int) -> Column:
+    """The places of the texts, told by their bytes, that begin a chunk. A first fold over blocks of FOLD texts carries the
+    last chunk's bytes from block to block; then each block lists its own. A text that is too long by itself leaves no room
+    after it."""
+
+    def joined(held: Column, size: Column) -> Column:
+        return F.when(held + 1 + size <= limit, held + 1 + size).otherwise(size)
+
+    def carry(held: Column, block: Column) -> Column:
+        after = F.aggregate(block, held["bytes"], joined)
+        return F.struct(after.alias("bytes"), F.concat(held["carried"], F.array(held["bytes"])).alias("carried"))
+
+    def add(held: Column, size: Column) -> Column:
+        starts = F.when(held["bytes"] + 1 + size <= limit, held["starts"]).otherwise(F.concat(held["starts"], F.array(held["at"])))
+        return F.struct((held["at"] + 1).alias("at"), joined(held["bytes"], size).alias("bytes"), starts.alias("starts"))
+
+    def listed(blocks: Column) -> Column:
+        nothing = F.struct(F.lit(limit).cast("long").alias("bytes"), F.array().cast("array<bigint>").alias("carried"))
+
+        def starts(carried: Column) -> Column:
+            def own(block: Column, k: Column) -> Column:
+                zero = F.struct((k * FOLD).alias("at"), F.get(carried, k).alias("bytes"), F.array().cast("array<int>").alias("starts"))
+                return F.aggregate(block, zero, add)["starts"]
+
+            return F.flatten(F.transform(blocks, own))
+
+        return let(F.aggregate(blocks, nothing, carry)["carried"], starts)
+
+    def blocks(own: Column) -> Column:
+        each = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(own) / FOLD).cast("int") - 1, F.lit(0)))
+        return F.transform(each, lambda k: F.slice(own, k * FOLD + 1, F.lit(FOLD)))
+
+    return let(let(F.transform(sizes, lambda b: b.cast("long")), blocks), listed)
+
+
 def pack_turns(texts: Column, limit: int = MAX_BYTES) -> Column:
     """An array of texts packed greedily, in order, into chunks of at most `limit` bytes, joined by a blank. A text that is
-    too long by itself is cut, flagged, and nothing is added to it."""
-    chunk = lambda text, n, cut: F.struct(text.alias("text"), n.cast("int").alias("n_turns"), F.lit(cut).alias("truncated"))
-
-    def add(packed, text):
-        last = F.try_element_at(packed, F.lit(-1))
-        joined = F.concat(last["text"], F.lit(" "), text)
-        fits = (F.size(packed) > 0) & ~last["truncated"] & (F.octet_length(joined) <= limit)
-        return (
-            F.when(F.octet_length(text) > limit, F.concat(packed, F.array(chunk(truncate_bytes(text, limit), F.lit(1), True))))
-            .when(F.coalesce(fits, F.lit(False)), F.concat(F.slice(packed, F.lit(1), F.greatest(F.size(packed) - 1, F.lit(0))), F.array(chunk(joined, last["n_turns"] + 1, False))))
-            .otherwise(F.concat(packed, F.array(chunk(text, F.lit(1), False))))
-        )
-
-    return F.aggregate(texts, F.array().cast(CHUNKS), add)
+    too long by itself is cut, flagged, and nothing is added to it. Each text is looked at once and joined once; only the
+    places of the chunks are carried along."""
+
+    def packed(own: Column) -> Column:
+        sizes = F.transform(own, F.octet_length)
+
+        def chunks(starts: Column) -> Column:
+            def chunk(begin: Column, i: Column) -> Column:
+                n = F.coalesce(F.get(starts, i + 1), F.size(own)) - begin
+                text = F.array_join(F.slice(own, begin + 1, n), " ")
+                cut = (n == 1) & (F.octet_length(text) > limit)
+                return F.struct(F.when(cut, truncate_bytes(text, limit)).otherwise(text).alias("text"), n.alias("n_turns"), cut.alias("truncated"))
+
+            return F.transform(starts, chunk)
+
+        return let(_chunk_starts(sizes, limit), chunks)
+
+    return F.coalesce(let(texts, packed).cast(CHUNKS), F.when(texts.isNotNull(), F.array().cast(CHUNKS)))
 
 
 def slot_documents(turns: DataFrame, limit: int = MAX_BYTES) -> DataFrame:

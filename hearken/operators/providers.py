@@ -70,8 +70,8 @@ def pattern_spans(text: Column, kinds=PII) -> Column:
 
         def told(ends: Column) -> Column:
             begins = F.zip_with(ends, sizes, lambda end, size: end - size)
-            typed = F.zip_with(F.transform(own, named), begins, lambda kind, begin: F.struct(kind.alias("Type"), begin.alias("BeginOffset")))
-            return F.zip_with(typed, ends, lambda s, end: F.struct(s["Type"].alias("Type"), s["BeginOffset"].alias("BeginOffset"), end.alias("EndOffset")))
+            typed = F.zip_with(F.transform(own, named), begins, lambda kind, begin: F.struct(kind.alias("Type"), begin.cast("int").alias("BeginOffset")))
+            return F.zip_with(typed, ends, lambda s, end: F.struct(s["Type"].alias("Type"), s["BeginOffset"].alias("BeginOffset"), end.cast("int").alias("EndOffset")))
 
         return let(running_sum(F.zip_with(before, sizes, lambda a, b: a + b)), told)
 

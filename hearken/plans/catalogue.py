@@ -197,8 +197,7 @@ def _turns(spark, sf):
 
 
 def _named(spark, sf):
-    turns = _turns(spark, sf)
-    return calls.with_roles(turns, calls.infer_roles(turns))
+    return calls.named_turns(_turns(spark, sf))
 
 
 @query(f"WITH {A.SEGMENTS} SELECT call_id, turn, speaker, start_time, end_time, text FROM turns")

@@ -106,3 +106,20 @@ def test_packing_of_turns(spark):
     rows = spark.createDataFrame([(i, t) for i, t in enumerate(lists)], "i int, t array<string>").select("i", calls.pack_turns(F.col("t"), 100).alias("p")).collect()
     for r in rows:
         assert [tuple(c) for c in r.p] == packed(lists[r.i], 100)
+
+
+def test_packing_a_call_of_very_many_turns(spark):
+    """In pieces of one turn, of many, and of both: chunks are found block by block, and none is copied for each turn."""
+    for own in ([f"turn {i} " + "x" * (i % 90) for i in range(100_000)], ["y" * 300] * 20_000, [("y" * 300, "z")[i // 700 % 2] for i in range(20_000)]):
+        got = spark.createDataFrame([(own,)], "t array<string>").select(calls.pack_turns(F.col("t"), 500).alias("p")).first().p
+        sizes, room, last = [], -1, None
+        for text in own:
+            if sizes and len(text) + 1 <= room:
+                sizes[-1] += 1
+                room -= len(text) + 1
+            else:
+                sizes.append(1)
+                room = 500 - len(text)
+            last = text
+        assert [c.n_turns for c in got] == sizes and got[-1].text.endswith(last)
+        assert " ".join(c.text for c in got) == " ".join(own)
