@@ -1,7 +1,7 @@
 """Best-fit packing of token sequences: best-two-fit.
 
 Documents are encoded where they are read; only (document, piece, length) rows move. Pieces are dealt to shards of
-bounded size by a hash of their document. A shard fills a bin greedily with the largest piece that still fits, then
+bounded size by a hash of their place in the table. A shard fills a bin greedily with the largest piece that still fits, then
 looks for the two unpacked pieces that fill the gap best, over all lengths, and swaps them in if they do better than the
 bin's smallest piece. A shard keeps counts of pieces by length and a bitmap of the lengths present, so a fit is a bit operation.
 
@@ -115,6 +115,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIE
         bins, offsets, _ = best_two_fit(table.column("length").to_numpy(), capacity)
         return table.select(names).append_column("sequence_id", pa.array(bins + (keys[0].as_py() << 32), pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
 
-    keyed = stored.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    # By the place in the stored table, which does not change: rows without doc_id, copies and a long text's pieces spread.
+    keyed = stored.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     schema = ", ".join(f"{k} {v}" for k, v in cut.dtypes)
     return keyed.groupBy("shard").applyInArrow(shard, f"{schema}, sequence_id bigint, offset bigint")
