@@ -17,12 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, SEPARATOR, id_and_bytes, map_slices
 
 SAMPLE, PENALTY, BUCKETS = 20_000, 12.0, 1 << 16
+STRETCH, MATRICES = 8192, 1 << 18  # words of a long text passed at once; entries of the matrices made side by side
 #: Scripts by lead byte: ASCII 0, extended Latin 1, Greek 2, Cyrillic 3, Hebrew and Arabic 4, South and Southeast Asian 5,
 #: kana 6, Han 7, Hangul 8, others 9; continuation bytes 0. Fixed values.
 SCRIPT = np.zeros(256, np.uint8)
@@ -103,7 +105,7 @@ def label(bodies: list[bytes], model: Model, penalty: float = PENALTY):
     text, starts, ends, bucket, _, first, script = _trigrams(bodies)
     n, langs = len(starts), len(model.langs)
     if not langs:
-        return np.zeros(n, np.int8), ends - starts, first, text, starts, ends
+        return np.zeros(n, np.int16), ends - starts, first, text, starts, ends
     scores = np.empty((n, langs), np.float32)
     cuts = np.empty(2 * n, np.int64)
     cuts[::2], cuts[1::2] = starts, ends + 1
@@ -111,31 +113,87 @@ def label(bodies: list[bytes], model: Model, penalty: float = PENALTY):
     for k in range(langs):
         if n:
             scores[:, k] = np.add.reduceat(model.scores[k][bucket], cuts)[::2]
-    scores -= scores.max(axis=1, keepdims=True)
+    scores -= scores.max(axis=1, keepdims=True) if n else 0
     scores[~model.allowed[script]] -= 100
-    counts = np.diff(first)
-    order = np.argsort(-counts, kind="stable")
-    sizes, begin = counts[order], first[:-1][order]
-    lives = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), side="left").tolist()
-    came = np.empty((n, langs), np.int8)
-    own = np.arange(langs, dtype=np.int8)
-    value = np.zeros((len(bodies), langs), np.float32)
-    for t, live in enumerate(lives):
+    labels = _paths(scores, first, penalty)
+    return labels, ends - starts, first, text, starts, ends
+
+
+def _forward(scores: np.ndarray, begin: np.ndarray, sizes: np.ndarray, value: np.ndarray, penalty: float, came: np.ndarray | None) -> np.ndarray:
+    """The best value of each sequence for each language of its last word, from `value` before its first. Sequences come
+    longest first, so that those still running lie at the front; came gets where each word's language came from."""
+    own = np.arange(value.shape[-1], dtype=np.int16)
+    for t, live in enumerate(_lives(sizes)):
         now = value[:live]
-        best = now.argmax(axis=1)
-        switched = now[np.arange(live), best] - penalty
-        switch = switched[:, None] > now
+        best = now.argmax(axis=-1)
+        switched = np.take_along_axis(now, best[..., None], -1) - penalty
+        switch = switched > now
         at = begin[:live] + t
-        came[at] = np.where(switch, best[:, None], own)
-        value[:live] = np.where(switch, switched[:, None], now) + scores[at]
-    labels = np.empty(n, np.int8)
-    state = value.argmax(axis=1)
-    for t in range(len(lives) - 1, -1, -1):
-        live = lives[t]
+        if came is not None:
+            came[at] = np.where(switch, best[..., None], own)
+        step = scores[at]
+        value[:live] = np.where(switch, switched, now) + (step if value.ndim == 2 else step[:, None, :])
+    return value
+
+
+def _lives(sizes: np.ndarray) -> list[int]:
+    """For each place, how many of the sequences, longest first, reach it."""
+    return np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), side="left").tolist()
+
+
+def _backward(came: np.ndarray, begin: np.ndarray, sizes: np.ndarray, state: np.ndarray, labels: np.ndarray | None) -> np.ndarray:
+    """The languages before the first words, of paths that end in `state`; labels gets those on the way."""
+    for t, live in reversed(list(enumerate(_lives(sizes)))):
         at = begin[:live] + t
-        labels[at] = state[:live]
-        state[:live] = came[at, state[:live]]
-    return labels, ends - starts, first, text, starts, ends
+        if labels is not None:
+            labels[at] = state[:live]
+        state[:live] = np.take_along_axis(came[at], state[:live].reshape(live, -1), 1).reshape(state[:live].shape)
+    return state
+
+
+def _paths(scores: np.ndarray, first: np.ndarray, penalty: float, stretch: int | None = None) -> np.ndarray:
+    """The language of each word on its text's best path. A text of over `stretch` words is cut into stretches that are
+    passed side by side: what each makes of every language that it could begin with is a matrix, the matrices are joined
+    from the first to the last stretch, and so the values that each begins with are those of the whole text."""
+    n, langs = scores.shape
+    stretch = stretch or STRETCH
+    counts = np.diff(first)
+    parts = np.maximum(1, -(-counts // stretch))
+    doc = np.repeat(np.arange(len(counts)), parts)
+    number = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+    begin = first[doc] + number * stretch
+    sizes = np.minimum(stretch, first[doc + 1] - begin)
+    start = np.zeros((len(doc), langs), np.float64)
+    cut = np.flatnonzero(parts[doc] > 1)
+    if len(cut):
+        held = max(1, MATRICES // (langs * langs))
+        matrix = np.empty((len(cut), langs, langs), np.float32)
+        for low in range(0, len(cut), held):
+            own = cut[low : low + held]
+            order = np.argsort(-sizes[own], kind="stable")
+            one = np.where(np.eye(langs, dtype=bool), np.float32(0), np.float32(-1e30))
+            value = np.broadcast_to(one, (len(own), langs, langs)).copy()
+            matrix[low + order] = _forward(scores, begin[own][order], sizes[own][order], value, penalty, None)
+        for i, k in enumerate(cut.tolist()):
+            if number[k] + 1 < parts[doc[k]]:
+                after = (start[k][:, None] + matrix[i]).max(axis=0)
+                start[k + 1] = after - after.max()
+    order = np.argsort(-sizes, kind="stable")
+    came = np.empty((n, langs), np.int16)
+    value = _forward(scores, begin[order], sizes[order], start[order].astype(np.float32), penalty, came)
+    final = np.empty(len(doc), np.int64)
+    final[order] = value.argmax(axis=1)
+    if len(cut):
+        order_cut = cut[np.argsort(-sizes[cut], kind="stable")]
+        every = np.broadcast_to(np.arange(langs), (len(cut), langs)).copy()
+        before = np.empty((len(doc), langs), np.int64)
+        before[order_cut] = _backward(came, begin[order_cut], sizes[order_cut], every, None)
+        for k in cut[::-1].tolist():
+            if number[k]:
+                final[k - 1] = before[k, final[k]]
+    labels = np.empty(n, np.int16)
+    _backward(came, begin[order], sizes[order], final[order], labels)
+    return labels
 
 
 def _lettered(bodies: list[bytes], text, starts, ends, first) -> np.ndarray:
@@ -148,6 +206,16 @@ def _lettered(bodies: list[bytes], text, starts, ends, first) -> np.ndarray:
     return has
 
 
+def _most(labels: np.ndarray, sizes: np.ndarray, first: np.ndarray, langs: list[str]) -> tuple[list[str], np.ndarray]:
+    """The language with most bytes of each text, and its share of them."""
+    n, several = len(first) - 1, max(len(langs), 1)
+    doc = np.repeat(np.arange(n), np.diff(first))
+    weight = np.bincount(doc * several + labels, weights=sizes, minlength=n * several).reshape(n, -1)
+    best = weight.argmax(axis=1)
+    share = weight[np.arange(n), best] / np.maximum(weight.sum(axis=1), 1)
+    return [langs[b] if langs else "und" for b in best.tolist()], share
+
+
 def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFrame:
     """doc_id, lang_pred, score (the share of the text's words' bytes in that language), spans of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x 65,536 scores, whatever the table's size
@@ -158,10 +226,8 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFram
         has = _lettered(bodies, text, starts, ends, first) & (len(own.langs) > 0)
         n, langs = len(bodies), len(own.langs)
         doc = np.repeat(np.arange(n), np.diff(first))
-        weight = np.bincount(doc * max(langs, 1) + labels, weights=sizes, minlength=n * max(langs, 1)).reshape(n, -1)
-        best = weight.argmax(axis=1)
-        share = weight[np.arange(n), best] / np.maximum(weight.sum(axis=1), 1)
-        names = [own.langs[b] if h else "und" for b, h in zip(best.tolist(), has.tolist(), strict=True)]
+        told, share = _most(labels, sizes, first, own.langs)
+        names = [lang if h else "und" for lang, h in zip(told, has.tolist(), strict=True)]
         turn = np.ones(len(labels), bool)
         turn[1:] = (np.diff(labels) != 0) | (np.diff(doc) != 0)
         turns = np.flatnonzero(turn)
@@ -170,11 +236,18 @@ def predict(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFram
         spans = pa.StructArray.from_arrays([pa.array([own.langs[k] if langs else "und" for k in labels[turns].tolist()], pa.string()), pa.array(turns - first[doc[turns]], pa.int64()), pa.array(runs, pa.int64())], names=["lang", "first_word", "words"])
         return pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "lang_pred": pa.array(names), "score": pa.array(np.where(has, share, 0.0)), "spans": pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), spans)})
 
-    return map_slices(id_and_bytes(docs), work, "doc_id long, lang_pred string, score double, spans array<struct<lang:string,first_word:long,words:long>>", limit=4 << 20)
+    schema = "doc_id long, lang_pred string, score double, spans array<struct<lang:string,first_word:long,words:long>>"
+    return map_slices(id_and_bytes(docs), work, schema, limit=_limit(model))
+
+
+def _limit(model: Model) -> int:
+    """Bytes of a slice: a word has a score for each language."""
+    return max(1 << 16, (4 << 20) * 8 // max(8, len(model.langs)))
 
 
 def keep_known(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFrame:
-    """The rows of `docs`, all columns as they are, that have a language: texts without letters go, nulls too."""
+    """The rows of `docs` that have a language, texts without letters and nulls go; a row without lang gets the language
+    that the model tells (`und` if it has learned none), all other columns stay as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names, extra = docs.columns, "body"
     while extra in names:
@@ -182,9 +255,13 @@ def keep_known(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataF
 
     def work(batch):
         bodies = batch.column(extra).to_pylist()
-        labels, _, first, text, starts, ends = label(bodies, shared.value, penalty)
+        labels, sizes, first, text, starts, ends = label(bodies, shared.value, penalty)
         has = _lettered(bodies, text, starts, ends, first)
-        return batch.select(names).filter(pa.array(has))
+        told, _ = _most(labels, sizes, first, shared.value.langs)
+        own = batch.column("lang")
+        filled = pc.if_else(pc.is_null(own), pa.array(told, pa.string()).cast(own.type), own)
+        kept = batch.select(names)
+        return kept.set_column(names.index("lang"), kept.schema.field("lang"), filled).filter(pa.array(has))
 
     with_body = docs.withColumn(extra, F.coalesce(F.col("text").cast("binary"), F.lit(b"")))
-    return map_slices(with_body, work, docs.schema, extra, limit=4 << 20)
+    return map_slices(with_body, work, docs.schema, extra, limit=_limit(model))
