@@ -1,9 +1,9 @@
 """OCR results: a graph of blocks (image_key, pos, Id, BlockType, Text, EntityTypes, Relationships) becomes lines, pairs
-and counts. The graph's depth is fixed, so joins on (image_key, Id) walk it."""
+and counts. An image's graph is one row, walked within it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import image_ids
@@ -16,29 +16,44 @@ def lines(blocks: DataFrame) -> DataFrame:
     return own.select("image_key", texts.alias("lines"), F.array_join(texts, "\n").alias("full_text"))
 
 
-def _edges(blocks: DataFrame, kind: str) -> DataFrame:
-    """image_key, Id, rel, place, target: a row for each related id."""
-    rel = blocks.select("image_key", "Id", F.posexplode("Relationships").alias("rel", "r")).where(F.col("r.Type") == kind)
-    return rel.select("image_key", "Id", "rel", F.posexplode("r.Ids").alias("place", "target"))
+def _graphs(blocks: DataFrame) -> DataFrame:
+    """image_key, words (text of each word by its id), children (ids below each block by its id), keys (pos, id and value's id
+    of each labelled key): an image's whole graph in a row, after one exchange by image. Of blocks of one id the last
+    counts."""
+    own = blocks.select("image_key", "pos", "Id", "BlockType", "Text", "EntityTypes", "Relationships").repartition("image_key")
+    last = own.groupBy("image_key", "Id").agg(F.max_by(F.struct("pos", "BlockType", "Text", "EntityTypes", "Relationships"), "pos").alias("b"))
+    related = lambda kind: F.filter(F.coalesce("b.Relationships", F.array()), lambda r: (r["Type"] == kind) & (F.size(r["Ids"]) > 0))
+    word = F.col("b.BlockType").isin("WORD", "SELECTION_ELEMENT") & (F.col("b.Text") != "")
+    below = F.flatten(F.transform(related("CHILD"), lambda r: r["Ids"]))
+    value = F.try_element_at(related("VALUE"), F.lit(-1))["Ids"][0]
+    key = (F.col("b.BlockType") == "KEY_VALUE_SET") & F.array_contains("b.EntityTypes", "KEY")
+    gathered = lambda condition, *fields: F.collect_list(F.when(condition, F.struct(*fields)))
+    return last.where("Id is not null").groupBy("image_key").agg(
+        F.map_from_entries(gathered(word, "Id", "b.Text")).alias("words"),
+        F.map_from_entries(gathered(F.size(below) > 0, "Id", below.alias("ids"))).alias("children"),
+        gathered(key, F.col("b.pos").alias("pos"), "Id", value.alias("target")).alias("keys"),
+    )
+
+
+def _text_below(id_: Column) -> Column:
+    """The words below a block, joined; null if there are none."""
+    ids = F.coalesce(F.try_element_at(F.col("children"), id_), F.array().cast("array<string>"))
+    said = F.array_compact(F.transform(ids, lambda i: F.try_element_at(F.col("words"), i)))
+    return F.nullif(F.array_join(said, " "), F.lit(""))
 
 
 def block_texts(blocks: DataFrame) -> DataFrame:
     """image_key, Id, text: the words below each block that has any."""
-    words = blocks.where("BlockType in ('WORD', 'SELECTION_ELEMENT')").select("image_key", F.col("Id").alias("target"), F.col("Text").alias("word"))
-    found = _edges(blocks, "CHILD").join(words, ["image_key", "target"]).where("word <> ''")
-    return found.groupBy("image_key", "Id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rel", "place", "word"))), lambda x: x["word"]), " ").alias("text"))
+    told = _graphs(blocks).select("image_key", F.explode(F.transform(F.map_keys("children"), lambda i: F.struct(i.alias("Id"), _text_below(i).alias("text")))).alias("t"))
+    return told.select("image_key", "t.Id", "t.text").where("text is not null")
 
 
 def key_values(blocks: DataFrame) -> DataFrame:
     """image_key, key, value of each labelled pair; of a repeated key the last value stays, and a key without a value has
     an empty one."""
-    keys = blocks.where("BlockType = 'KEY_VALUE_SET' and array_contains(EntityTypes, 'KEY')").select("image_key", "Id", "pos")
-    latest = Window.partitionBy("image_key", "Id").orderBy(F.desc("rel"))
-    values = _edges(blocks, "VALUE").where("place = 0").withColumn("n", F.row_number().over(latest)).where("n = 1").select("image_key", "Id", "target")
-    texts = block_texts(blocks)
-    named = keys.join(texts.withColumnRenamed("text", "key"), ["image_key", "Id"])
-    valued = named.join(values, ["image_key", "Id"], "left").join(texts.select("image_key", F.col("Id").alias("target"), F.col("text").alias("value")), ["image_key", "target"], "left")
-    tidy = valued.select("image_key", "pos", F.trim(F.regexp_replace("key", ":+$", "")).alias("key"), F.coalesce("value", F.lit("")).alias("value")).where("key <> ''")
+    pair = lambda k: F.struct(k["pos"].alias("pos"), _text_below(k["Id"]).alias("key"), F.coalesce(_text_below(k["target"]), F.lit("")).alias("value"))
+    pairs = _graphs(blocks).select("image_key", F.explode(F.transform("keys", pair)).alias("p")).where("p.key is not null")
+    tidy = pairs.select("image_key", "p.pos", F.trim(F.regexp_replace("p.key", ":+$", "")).alias("key"), "p.value").where("key <> ''")
     return tidy.groupBy("image_key", "key").agg(F.max_by("value", "pos").alias("value"))
 
 

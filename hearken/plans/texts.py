@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import documents, insight, sentiment
+from ..operators import documents, insight, quality_rules, sentiment
 from . import adapters as A
-from .catalogue import joined, query
+from .catalogue import RULES, joined, query
 
 # --- sentiment
 
@@ -142,3 +142,26 @@ def theme_issue_recall(spark, sf):
     issues = A.table(spark, sf, "labels").select("doc_id").join(d, "doc_id").select(product.alias("product_id"), F.lit("passage").alias("issue"), keyword.alias("keyword"))
     told = insight.theme_recall(issues.select("product_id", "issue").distinct(), themes, issues.select("product_id", "keyword"))
     return told.select("product_id", "issue", "found", "theme", F.coalesce(joined("channels"), F.lit("")).alias("channels"), "docs")
+
+
+# --- dataset rules
+
+UNIQUE = RULES.rstrip().removesuffix("]").rstrip() + ', IsUnique "o_orderkey", IsUnique "o_totalprice" ]'
+
+
+@query("""WITH r AS (SELECT *, count(*) OVER (PARTITION BY o_totalprice) AS n FROM orders)
+    SELECT o_orderkey, failed FROM (SELECT o_orderkey, array_to_string(list_filter([CASE WHEN o_custkey IS NULL THEN '1' END,
+        CASE WHEN NOT coalesce(length(o_orderpriority) > 0, false) THEN '2' END, CASE WHEN NOT coalesce(o_orderstatus IN ('F', 'O', 'P'), false) THEN '3' END,
+        CASE WHEN NOT coalesce(o_totalprice > 1000, false) THEN '4' END, CASE WHEN NOT coalesce(length(o_orderstatus) = 1, false) THEN '5' END,
+        CASE WHEN NOT coalesce(o_orderpriority IN ('1-URGENT', '2-HIGH'), false) THEN '6' END,
+        CASE WHEN count(*) OVER (PARTITION BY o_orderkey) > 1 THEN '7' END, CASE WHEN n > 1 THEN '8' END], lambda x: x IS NOT NULL), ',') AS failed FROM r) WHERE failed <> ''""")
+def dq_failing_rows(spark, sf):
+    told = quality_rules.failing_rows(A.table(spark, sf, "orders"), quality_rules.parse_rules(UNIQUE))
+    return told.select("o_orderkey", joined(F.col("failed").cast("array<string>")).alias("failed"))
+
+
+@query("""SELECT 1 AS rule_no, count(*) = count(DISTINCT o_orderkey) AS passed FROM orders
+    UNION ALL SELECT 2, count(o_totalprice) = count(DISTINCT o_totalprice) FROM orders UNION ALL SELECT 3, count(o_custkey) = count(DISTINCT o_custkey) FROM orders""")
+def dq_unique(spark, sf):
+    rules = quality_rules.parse_rules('IsUnique "o_orderkey", IsUnique "o_totalprice", IsUnique "o_custkey"')
+    return quality_rules.evaluate_rules(A.table(spark, sf, "orders"), rules).select("rule_no", "passed")

@@ -60,6 +60,49 @@ def admit_stream(spark: SparkSession, verdicts: str, raw_reviews: DataFrame, pro
     return start(process(admitted.join(raw_reviews, "source_key")), into(processed), checkpoint)
 
 
+def admitted_pairs(verdicts: DataFrame, raw: DataFrame, within: str = "7 days", delay: str = "1 hour") -> DataFrame:
+    """Two streams, verdicts (source_key, admissible, written) and raw reviews (source_key, review, arrived), joined by their
+    key, whichever comes first, if they come within `within` of each other: source_key, review, admissible, version. A
+    verdict that is delivered again within `delay` counts once; a corrected one is another version, and so is one that
+    withdraws. The state holds `within` and `delay` of either stream, no more."""
+    judged = verdicts.withWatermark("written", delay).dropDuplicatesWithinWatermark(["source_key", "admissible"])
+    told = judged.select(F.col("source_key").alias("_key"), F.coalesce("admissible", F.lit(False)).alias("admissible"), "written")
+    bound = F.expr(f"arrived BETWEEN written - INTERVAL {within} AND written + INTERVAL {within}")
+    both = raw.withWatermark("arrived", delay).join(told, (F.col("source_key") == F.col("_key")) & bound)
+    return both.select("source_key", "review", "admissible", F.col("written").alias("version"))
+
+
+def current(versions: DataFrame) -> DataFrame:
+    """Of records (source_key, admissible, version) the last version of each key, unless that one withdraws it."""
+    last = versions.groupBy("source_key").agg(F.max("version").alias("version"))
+    return versions.join(last, ["source_key", "version"]).where("admissible").dropDuplicates(["source_key", "version"])
+
+
+def admit_pairs_stream(spark: SparkSession, verdicts: str, raw: str, processed: str, checkpoint: str, process: Callable[[DataFrame], DataFrame], within: str = "7 days") -> StreamingQuery:
+    """Verdicts and raw review files, both as streams -> versions of processed reviews; `process` keeps source_key, admissible
+    and version. `current` tells what holds now. A raw file may come after its verdict."""
+    distinct_folders(verdicts, processed)
+    distinct_folders(raw, processed)
+    schema = "source_key string, admissible boolean"
+    judged = files(spark, verdicts, "parquet", schema, recursiveFileLookup=True).select("source_key", "admissible", F.col("_metadata.file_modification_time").alias("written"))
+    texts = files(spark, raw, "text", wholetext=True, pathGlobFilter="*.json")
+    reviews = texts.select(F.col("_metadata.file_path").alias("source_key"), F.try_parse_json("value").alias("review"), F.col("_metadata.file_modification_time").alias("arrived"))
+    return start(process(admitted_pairs(judged, reviews, within)), into(processed), checkpoint)
+
+
+def correlated_jobs(started: DataFrame, ended: DataFrame, within: str = "6 hours", delay: str = "1 hour") -> DataFrame:
+    """Two streams, jobs that began (job_name, started_at and what else is known) and their ends (job_name, status, ts),
+    joined while they run: all of the first, with status and ts. A job whose end does not come `within` its start comes out
+    UNFINISHED, once the watermark has passed; an end that is delivered again within `delay` counts once, and one that
+    comes after its time not at all."""
+    own = started.withWatermark("started_at", delay)
+    once = ended.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["job_name"])
+    told = once.select(F.col("job_name").alias("_name"), "status", "ts")
+    bound = F.expr(f"ts BETWEEN started_at AND started_at + INTERVAL {within}")
+    both = own.join(told, (F.col("job_name") == F.col("_name")) & bound, "left")
+    return both.drop("_name").withColumn("status", F.coalesce("status", F.lit("UNFINISHED")))
+
+
 def job_events(spark: SparkSession, path: str, **options) -> DataFrame:
     """job_name, status, ts of jobs that ended."""
     events = files(spark, path, "json", JOB_EVENT, **options)

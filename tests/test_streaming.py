@@ -73,3 +73,59 @@ def test_event_sources(spark):
     events = spark.createDataFrame([(event("j", "COMPLETED", "2026-01-01T10:00:00Z"),)], "t string").select(F.from_json("t", readers.JOB_EVENT).alias("e")).select("e.*")
     assert readers.matching(events, "aws.transcribe", TranscriptionJobStatus=["COMPLETED", "FAILED"]).count() == 1
     assert readers.matching(events, "aws.glue").count() == 0
+
+
+def rows_of(spark, folder, schema, batches):
+    """A stream of files, one a batch, in order; each gets a later time than the one before."""
+    import os
+    import time
+
+    folder.mkdir()
+    for i, batch in enumerate(batches):
+        path = folder / f"{i}.json"
+        path.write_text("\n".join(json.dumps(row) for row in batch))
+        os.utime(path, (time.time() - 1000 + i,) * 2)
+    return jobs.files(spark, str(folder), "json", schema, per_batch=1)
+
+
+def test_jobs_that_end_late_twice_or_never(spark, tmp_path):
+    at = lambda hour: f"2026-01-01T{hour:02d}:00:00Z"
+    began = [[{"job_name": n, "started_at": at(1), "source_audio": n + ".mp3"} for n in ("ends", "twice", "fails", "never", "late")], [{"job_name": "next", "started_at": at(10), "source_audio": "x"}], [{"job_name": "last", "started_at": at(23), "source_audio": "y"}]]
+    end = lambda name, status, hour: {"job_name": name, "status": status, "ts": at(hour)}
+    ended = [[end("ends", "COMPLETED", 2), end("twice", "COMPLETED", 3), end("twice", "COMPLETED", 3), end("unknown", "COMPLETED", 2)], [end("fails", "FAILED", 4), end("twice", "COMPLETED", 3), end("late", "COMPLETED", 9)], [end("next", "COMPLETED", 11), end("other", "COMPLETED", 23)]]
+    starts = rows_of(spark, tmp_path / "began", "job_name string, started_at timestamp, source_audio string", began)
+    ends = rows_of(spark, tmp_path / "ended", "job_name string, status string, ts timestamp", ended)
+    out = str(tmp_path / "out")
+    jobs.start(jobs.correlated_jobs(starts, ends), jobs.into(out), str(tmp_path / "c")).awaitTermination()
+    got = sorted((r.job_name, r.status, r.source_audio) for r in spark.read.parquet(out).collect())
+    assert got == [("ends", "COMPLETED", "ends.mp3"), ("fails", "FAILED", "fails.mp3"), ("late", "UNFINISHED", "late.mp3"), ("never", "UNFINISHED", "never.mp3"), ("next", "COMPLETED", "x"), ("twice", "COMPLETED", "twice.mp3")]
+
+
+def test_raw_files_after_their_verdicts_and_corrections(spark, tmp_path):
+    raw, seen, done, state = (str(tmp_path / d) for d in ("raw", "seen", "done", "c"))
+    (tmp_path / "raw").mkdir()
+
+    def put(name):
+        (tmp_path / "raw" / f"{name}.json").write_text(json.dumps({"product_id": name}))
+
+    def tell(*verdicts):
+        rows = [(f"file:{tmp_path}/raw/{name}.json", good) for name, good in verdicts]  # as a stream of files tells it
+        spark.createDataFrame(rows, "source_key string, admissible boolean").coalesce(1).write.mode("append").parquet(seen)
+
+    def run():
+        product = F.try_variant_get("review", "$.product_id", "string").alias("product_id")
+        jobs.admit_pairs_stream(spark, seen, raw, done, state, lambda df: df.select("source_key", "admissible", "version", product)).awaitTermination()
+        return {r.product_id for r in jobs.current(spark.read.parquet(done)).collect()}
+
+    put("a")
+    put("b")
+    tell(("a", True), ("b", False), ("late", True))
+    assert run() == {"a"}
+    put("late")  # its verdict is there already
+    assert run() == {"a", "late"}
+    n = spark.read.parquet(done).count()
+    tell(("a", True))  # delivered again
+    assert run() == {"a", "late"} and spark.read.parquet(done).count() == n
+    tell(("b", True))  # corrected
+    tell(("a", False))  # withdrawn
+    assert run() == {"b", "late"}

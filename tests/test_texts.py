@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hearken.functions import arrays
 from hearken.functions import text as T
-from hearken.operators import containment, documents, insight, providers, redaction, sentiment
+from hearken.operators import containment, documents, images, insight, providers, quality_rules, redaction, sentiment
 
 SF = "/root/testdata/sf0.01"
 SPANS = "array<struct<Type:string,BeginOffset:int,EndOffset:int>>"
@@ -252,3 +252,44 @@ def test_a_local_detector_reads_texts_whole(spark):
     docs = documents.document(base, F.col("doc_id"), "review", F.lit("k"), F.col("t"))
     whole = redaction.redact_documents(docs, providers.pattern_spans, None).first()
     assert whole.text.endswith("é [EMAIL]") and not whole.provenance.truncated
+
+
+# --- dataset rules and image graphs
+
+
+def test_rows_that_fail_rules(spark):
+    rules = quality_rules.parse_rules('IsUnique "a", ColumnValues "b" in ["x", "y"], IsUnique "c", IsComplete "b"')
+    rows = [(1, "x", 1), (1, "y", 2), (2, None, 3), (None, "x", 4), (None, "z", 5), (3, "y", None)]
+    frame = spark.createDataFrame(rows, "a int, b string, c int")
+    told = quality_rules.evaluate_rules(frame, rules)
+    assert [(r.rule_no, r.passed) for r in told.collect()] == [(1, False), (2, False), (3, True), (4, False)]
+    assert "Expand" not in told._jdf.queryExecution().executedPlan().toString()
+    failing = quality_rules.failing_rows(frame, rules)
+    assert failing.columns == ["a", "b", "c", "failed"]
+    assert {r.c: r.failed for r in failing.collect()} == {1: [1], 2: [1], 3: [2, 4], 5: [2]}
+    nothing = frame.where("c > 99")
+    assert all(r.passed for r in quality_rules.evaluate_rules(nothing, rules).collect()) and quality_rules.failing_rows(nothing, rules).count() == 0
+    alone = quality_rules.parse_rules('IsUnique "c"')
+    assert [r.passed for r in quality_rules.evaluate_rules(frame, alone).collect()] == [True]
+
+
+def test_an_image_s_graph_takes_one_exchange(spark):
+    block = "struct<pos:int,Id:string,BlockType:string,Text:string,EntityTypes:array<string>,Relationships:array<struct<Type:string,Ids:array<string>>>>"
+    word = lambda pos, i, text: (pos, i, "WORD", text, None, None)
+    own = [
+        (0, "k1", "KEY_VALUE_SET", None, ["KEY"], [("CHILD", ["w1", "w2", "gone"]), ("VALUE", ["v0"]), ("VALUE", ["v1", "v0"])]),
+        (1, "v1", "KEY_VALUE_SET", None, ["VALUE"], [("CHILD", ["w3"]), ("CHILD", ["w4", "w3"])]),
+        (2, "k2", "KEY_VALUE_SET", None, ["KEY"], [("CHILD", ["w5"]), ("VALUE", [])]),
+        (3, "k3", "KEY_VALUE_SET", None, ["KEY"], [("VALUE", ["v1"])]),
+        (4, "k4", "KEY_VALUE_SET", None, ["KEY"], [("CHILD", ["w2", "w6"])]),
+        word(5, "w1", "Order"), word(6, "w2", "no:"), word(7, "w3", "A"), word(8, "w4", "B"), word(9, "w5", "Size::"), word(10, "w6", ""), word(11, "w3", "C"),
+        (12, None, "LINE", "text", None, None),
+    ]
+    rows = [(image, b) for image in ("one", "two") for b in own] + [("bare", word(0, "w", "x"))]
+    blocks = spark.createDataFrame(rows, f"image_key string, b {block}").select("image_key", "b.*")
+    told = images.key_values(blocks)
+    want = {("Order no", "C B C"), ("Size", ""), ("no", "")}
+    assert sorted((r.image_key, r.key, r.value) for r in told.collect()) == sorted((image, *pair) for image in ("one", "two") for pair in want)
+    plan = told._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert {(r.Id, r.text) for r in images.block_texts(blocks).where("image_key = 'one'").collect()} == {("k1", "Order no:"), ("v1", "C B C"), ("k2", "Size::"), ("k4", "no:")}
