@@ -6,6 +6,7 @@ writes nothing and asks no model."""
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 from collections.abc import Sequence
 
@@ -111,6 +112,23 @@ def score_job(spark: SparkSession, report: str, expected: DataFrame, keywords: D
     return "\n".join([*lines, f"VERDICT: {end.verdict}"]), end.verdict == "PASS"
 
 
+def catalogue_names(spark: SparkSession, path: str, most: int = 10_000) -> dict[str, str]:
+    """product_id and name of a catalogue that a prompt has whole; one of over `most` products is refused."""
+    rows = spark.read.json(path).select("product_id", "name").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a prompt takes {most} products at the most: choose a catalogue")
+    return {r.product_id: r.name for r in rows}
+
+
+def model_at(place: str) -> insight.InsightModel:
+    """The callable at module:name, which takes a system prompt and a message and gives the model's reply."""
+    module, _, name = place.partition(":")
+    found = getattr(importlib.import_module(module), name, None) if name else None
+    if not callable(found):
+        raise ValueError(f"no callable at {place}: give module:name")
+    return found
+
+
 def main(arguments: Sequence[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="hearken.jobs")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -122,6 +140,7 @@ def main(arguments: Sequence[str] | None = None) -> int:
             own.add_argument("--dry-run", action="store_true")
         if name == "insight":
             own.add_argument("--no-redact", action="store_true")
+            own.add_argument("--model", help="module:name of a callable (system, message) -> reply; without one nothing is sent")
     a = parser.parse_args(arguments)
     from .session import session
 
@@ -133,9 +152,9 @@ def main(arguments: Sequence[str] | None = None) -> int:
         truth = readers.read_truth(spark, a.truth)
         told = review_job(spark, collect_documents(spark, a.processed), truth.select(F.explode("planted_rating_mismatches").alias("doc_id")), a.out, a.dry_run)
     elif a.job == "insight":
-        # The command line has no model: it shows what would be sent. Callers of insight_job pass one.
-        names = {r.product_id: r.name for r in spark.read.json(a.catalogue).select("product_id", "name").limit(10_000).collect()}
-        told = insight_job(spark, collect_documents(spark, a.processed), names, a.out, None, True, not a.no_redact)
+        model = model_at(a.model) if a.model else None
+        names = catalogue_names(spark, a.catalogue)
+        told = insight_job(spark, collect_documents(spark, a.processed), names, a.out, model, a.dry_run, not a.no_redact)
     else:
         truth, known = readers.read_truth(spark, a.truth), readers.read_truth(spark, a.keywords)
         expected = truth.select(F.inline("expected_themes")).select("product_id", "issue")

@@ -134,9 +134,38 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
 
 
+def _typed(cell: Column) -> Column:
+    """A CSV cell as a variant: a whole number, a number, a truth value, or else a string; a blank one is null."""
+    own = F.trim(cell)
+    as_variant = lambda value: F.variant_get(F.to_variant_object(F.struct(value.alias("v"))), "$.v", "variant")
+    whole, number, truth = own.try_cast("bigint"), own.try_cast("double"), own.try_cast("boolean")
+    known = F.when(own.rlike(r"^[+-]?\d+$") & whole.isNotNull(), as_variant(whole)).when(own.rlike(r"^[+-]?[\d.]+([eE][+-]?\d+)?$") & number.isNotNull(), as_variant(number))
+    return known.when(F.lower(own).isin("true", "false"), as_variant(truth)).when(own != "", as_variant(cell))
+
+
+def variants(spark: SparkSession, path: str, fmt: str = "json", **options) -> DataFrame:
+    """source_key, record: the records below a path as variants; JSON is one object a line, CSV has a header in each file."""
+    if fmt == "json":
+        raw = spark.read.options(**options).text(path)
+        return raw.select(path_of().alias("source_key"), F.try_parse_json("value").alias("record")).where("record is not null")
+    raw = spark.read.format(fmt).options(**{"header": True, "inferSchema": False, **options}).load(path)
+    if fmt != "csv":
+        return raw.select(path_of().alias("source_key"), F.to_variant_object(F.struct(*raw.columns)).alias("record"))
+    typed = F.to_variant_object(F.struct(*(_typed(F.col(f"`{c}`")).alias(c) for c in raw.columns)))
+    return raw.select(path_of().alias("source_key"), typed.alias("record"))
+
+
+def inferred(records: DataFrame) -> DataFrame:
+    """source_key, schema, merged, drifts: the schema of each file's records (source_key, record), that of all of them, and
+    whether the file's differs from it. Schemas of records are merged where they are read, those of files where files meet;
+    a field that has types without a common one is a VARIANT."""
+    own = records.groupBy("source_key").agg(F.schema_of_variant_agg("record").alias("schema"))
+    merged = records.agg(F.schema_of_variant_agg("record").alias("merged"))
+    return own.join(F.broadcast(merged)).withColumn("drifts", F.col("schema") != F.col("merged"))  # merged: one row
+
+
 def register(spark: SparkSession, path: str, fmt: str = "csv", **options) -> str:
     """Infers a schema and registers a view named by the path's last segment; the name."""
     name = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0].replace("-", "_").lower()
     spark.read.format(fmt).options(header=True, inferSchema=True, **options).load(path).createOrReplaceTempView(name)
     return name
-

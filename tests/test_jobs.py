@@ -119,3 +119,42 @@ def test_the_last_delivery_does_not_depend_on_the_order_of_rows(spark):
     assert len(got) == 1
     with pytest.raises(ValueError, match="names"):
         documents.link_products(spark.createDataFrame([], documents.SCHEMA), spark.createDataFrame([("a", "b"), ("c", "d")], "product_id string, name string"), most=1)
+
+
+def test_the_command_line_takes_a_model(spark, processed, tmp_path, capsys, monkeypatch):
+    (tmp_path / "names.json").write_text("\n".join(json.dumps({"product_id": f"P{i}", "name": f"Kettle {i}"}) for i in range(3)))
+    (tmp_path / "told.py").write_text('ASKED = []\ndef reply(system, message):\n    ASKED.append(message)\n    return "no {" if len(ASKED) == 1 else \'{"themes": [], "call_outcomes": [], "contradictions": [], "recommended_actions": [], "coverage_note": "c"}\'\n')
+    monkeypatch.syspath_prepend(str(tmp_path))
+    own = ["insight", "--processed", processed, "--catalogue", str(tmp_path / "names.json"), "--out", str(tmp_path / "out")]
+    assert jobs.main(own) == 0 and "nothing was sent" in capsys.readouterr().out
+    assert jobs.main([*own, "--model", "told:reply"]) == 0 and "validation: clean" in capsys.readouterr().out
+    import told
+
+    assert len(told.ASKED) == 2 and "Expecting value" in told.ASKED[1] and "Kettle 2" in told.ASKED[0]
+    with pytest.raises(ValueError, match="module:name"):
+        jobs.model_at("told")
+    with pytest.raises(ValueError, match="at the most"):
+        jobs.catalogue_names(spark, str(tmp_path / "names.json"), 2)
+
+
+def test_a_model_is_asked_twice_at_the_most(spark):
+    asked = []
+    lost = insight.ask(spark, lambda system, message: asked.append(message) or "never", "s", "m").first()
+    assert len(asked) == 2 and lost.report is None and "Expecting value" in lost.error
+
+
+def test_schemas_are_merged_and_drift_is_told(spark, tmp_path):
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "a.json").write_text('{"id": 1, "tags": ["x"], "in": {"k": 1.5}}\n{"id": 2}\nno json\n')
+    (tmp_path / "j" / "b.json").write_text('{"id": "three", "more": true}\n')
+    told = {r.source_key.rsplit("/", 1)[-1]: r for r in readers.inferred(readers.variants(spark, str(tmp_path / "j"))).collect()}
+    assert all(r.drifts for r in told.values()) and len({r.merged for r in told.values()}) == 1
+    assert "id: BIGINT" in told["a.json"].schema and "id: STRING" in told["b.json"].schema
+    assert all(part in told["a.json"].merged for part in ("id: VARIANT", "more: BOOLEAN", "tags: ARRAY<STRING>"))
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text("id,name,n\n1,x,2.5\n2,,3\n")
+    (tmp_path / "c" / "b.csv").write_text("id,name,n\n7,y,1.5\n")
+    (tmp_path / "c" / "d.csv").write_text("id,name,n\nseven,y,true\n")
+    told = {r.source_key.rsplit("/", 1)[-1]: r for r in readers.inferred(readers.variants(spark, str(tmp_path / "c"), "csv")).collect()}
+    assert "id: BIGINT" in told["a.csv"].schema and "n: DOUBLE" in told["b.csv"].schema and "name: STRING" in told["a.csv"].schema
+    assert told["d.csv"].drifts and "n: VARIANT" in told["d.csv"].merged
