@@ -54,14 +54,19 @@ class Sieve:
 
     @classmethod
     def of(cls, index: DataFrame) -> Sieve:
-        n, longest, sizes = index.agg(F.count("*"), F.max(F.octet_length("raw")), F.sort_array(F.collect_set("size"))).first()
+        bit = F.col("key").bitwiseAND(F.lit(MOST_BITS - 1))
+        marked = index.select("size", F.octet_length("raw").alias("length"), F.shiftright(bit, 6).cast("int").alias("place"), bit.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
+        told = marked.groupBy("place").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("word"), F.count("*").alias("n"), F.max("length").alias("length"), F.collect_set("size").alias("sizes"))
+        rows = told.collect()  # MOST_BITS / 64 of them at the most
         bits = LEAST_BITS
-        while bits < min(16 * n, MOST_BITS):
+        while bits < min(16 * sum(r["n"] for r in rows), MOST_BITS):
             bits *= 2
-        bit = F.col("key").bitwiseAND(F.lit(bits - 1))
-        marked = index.select(F.shiftright(bit, 6).cast("int").alias("place"), bit.bitwiseAND(F.lit(63)).cast("int").alias("bit"))
-        rows = marked.groupBy("place").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("word")).collect()  # MOST_BITS / 64 of them
-        return cls(bits, {r["place"]: r["word"] for r in rows}, sizes, longest or 0)
+        words: dict[int, int] = {}
+        for r in rows:  # a table of fewer bits takes fewer of the key's lowest bits
+            place = r["place"] % (bits // 64)
+            words[place] = words.get(place, 0) | r["word"] & (1 << 64) - 1
+        signed = {k: w - (1 << 64) if w >> 63 else w for k, w in words.items()}
+        return cls(bits, signed, sorted({size for r in rows for size in r["sizes"]}), max((r["length"] for r in rows), default=0))
 
     def passes(self, key: Column) -> Column:
         table = " ".join(str(self.words.get(k, 0)) for k in range(self.bits // 64))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import documents, insight, quality_rules, sentiment
+from ..operators import calls, checks, documents, images, insight, providers, quality_rules, sentiment
 from . import adapters as A
 from .catalogue import RULES, joined, query
 
@@ -165,3 +165,62 @@ def dq_failing_rows(spark, sf):
 def dq_unique(spark, sf):
     rules = quality_rules.parse_rules('IsUnique "o_orderkey", IsUnique "o_totalprice", IsUnique "o_custkey"')
     return quality_rules.evaluate_rules(A.table(spark, sf, "orders"), rules).select("rule_no", "passed")
+
+
+# --- records that stages write
+
+GOOD, BAD = (", ".join(f"'{w}'" for w in words) for words in (providers.POSITIVE, providers.NEGATIVE))
+
+
+@query(f"""WITH {A.REVIEWS}, runs AS (SELECT *, regexp_extract_all(lower(review_text), '[a-z]+') AS t FROM scored WHERE admissible),
+    hits AS (SELECT *, len(list_filter(t, lambda w: w IN ({GOOD})))::DOUBLE AS g, len(list_filter(t, lambda w: w IN ({BAD})))::DOUBLE AS b FROM runs)
+    SELECT file_name, CASE WHEN g > 0 AND g = b THEN 'MIXED' WHEN g > b THEN 'POSITIVE' WHEN b > g THEN 'NEGATIVE' ELSE 'NEUTRAL' END AS sentiment,
+        round((g - least(g, b) / 2) / (g + b + 1), 9) AS positive, md5(review_text) AS original, product_id, rating FROM hits""")
+def processed_reviews(spark, sf):
+    done = providers.process_reviews(checks.gate(checks.validate_reviews(A.reviews(spark, sf))))
+    return done.select("file_name", "sentiment", F.round(F.col("sentiment_scores")["Positive"], 9).alias("positive"), F.md5("original_text").alias("original"), "metadata.product_id", "metadata.rating")
+
+
+@query(f"""WITH {A.LINES}, l AS (SELECT image_key, count(*)::INT AS n, string_agg(text, chr(10) ORDER BY i) AS t FROM lines GROUP BY image_key)
+    SELECT 'page_' || page_id AS image_key, coalesce(n, 0)::INT AS n_lines, md5(coalesce(t, '')) AS full_text, coalesce(url, '') AS page_url, '' AS size,
+        3::INT AS pairs, 4::INT AS words, n::INT AS lines FROM pages LEFT JOIN l ON image_key = 'page_' || page_id""")
+def image_records(spark, sf):
+    own, counts = images.image_records(A.blocks(spark, sf)), F.col("block_counts")
+    value = lambda k: F.col("textract_key_values")[k]
+    told = {"n_lines": F.size("lines"), "full_text": F.md5("full_text"), "page_url": value("Page url"), "size": value("Size"), "pairs": counts["KEY_VALUE_SET"], "words": counts["WORD"], "lines": F.try_element_at(counts, F.lit("LINE"))}
+    return own.select("image_key", *(c.alias(k) for k, c in told.items()))
+
+
+@query("""SELECT 'job_' || event_id AS job_name, CASE WHEN event_id % 2 = 0 THEN 'call_' || user_id || '.mp3' ELSE 'unknown' END AS source_audio,
+    CASE WHEN event_id % 5 > 0 THEN 'reason ' || event_type ELSE 'not provided' END AS failure_reason FROM events WHERE event_id % 3 = 1""")
+def failed_calls(spark, sf):
+    key = F.col("event_id")
+    status = F.element_at(F.array(F.lit("COMPLETED"), F.lit("FAILED"), F.lit("IN_PROGRESS")), (key % 3 + 1).cast("int"))
+    audio = F.when(key % 2 == 0, F.concat(F.lit("call_"), F.col("user_id").cast("string"), F.lit(".mp3")))
+    reason = F.when(key % 5 > 0, F.concat(F.lit("reason "), F.col("event_type")))
+    ended = A.table(spark, sf, "events").select(F.concat(F.lit("job_"), key.cast("string")).alias("job_name"), status.alias("status"), audio.alias("source_audio"), reason.alias("failure_reason"))
+    return calls.failure_records(ended, F.current_timestamp()).select("job_name", "source_audio", "failure_reason")
+
+
+@query(f"""WITH {A.SEGMENTS}, said AS (SELECT call_id, count(*)::INT AS n_turns, string_agg(text, '|' ORDER BY turn) AS t FROM turns GROUP BY call_id),
+    who AS (SELECT call_id, string_agg(speaker || '=' || role_guess, ',' ORDER BY speaker) AS w FROM roles GROUP BY call_id)
+    SELECT call_id, n_turns, md5(t) AS said, w AS speakers FROM said JOIN who USING (call_id) WHERE call_id % 5 > 0""")
+def call_records(spark, sf):
+    """Records of completed calls: one for each conversation but each fifth, whose job failed."""
+    rows = A.segments(spark, sf)
+    turns, key = calls.merge_turns(rows), F.col("call_id")
+    status = F.when(key % 5 > 0, "COMPLETED").otherwise("FAILED")
+    every = rows.select("call_id").distinct()
+    ended = every.select("call_id", F.concat(F.lit("job_"), key.cast("string")).alias("job_name"), status.alias("status"), F.lit("a.mp3").alias("source_audio"), F.lit("t.json").alias("transcript_key"))
+    none = calls.slot_documents(calls.named_turns(turns)).where("false")
+    scored = calls.apply_results(calls.batched(none), _no_results(spark), _no_results(spark, True))
+    full = every.withColumn("full_transcript", F.lit(""))
+    told = calls.call_records(ended, full, turns, calls.infer_roles(turns), scored, calls.slot_summary(scored, every))
+    line = F.array_join(F.transform("turns", lambda t: t["text"]), "|")
+    roles = F.array_join(F.transform(F.array_sort(F.map_entries("speakers")), lambda e: F.concat(e["key"], F.lit("="), e["value"]["role_guess"])), ",")
+    return told.select("call_id", F.size("turns").alias("n_turns"), F.md5(line).alias("said"), roles.alias("speakers"))
+
+
+def _no_results(spark: SparkSession, failed: bool = False) -> DataFrame:
+    rest = "error string" if failed else "sentiment string, sentiment_scores map<string,double>"
+    return spark.createDataFrame([], f"call_id long, batch int, index int, {rest}")
