@@ -77,28 +77,22 @@ class Sieve:
 
 def _grams(texts: DataFrame, text: Column, sieve: Sieve, outer: bool) -> DataFrame:
     """The columns of `texts` with _key, _around, _place: the texts' grams that pass, the bytes around each that any needle
-    could take, and the gram's place in them; for each text also a row without a key, if `outer`. Each place of a text is a
-    row as soon as it is numbered, so that looking at it is generated code, and most places go at once."""
-    raw, at = F.col("_raw"), F.col("_at")
+    could take, and the gram's place in them; for each text also a row without a key, if `outer`. Each place of a text, for
+    each size of gram, is a row as soon as it is numbered: looking at it is generated code, and most rows go at once."""
+    sizes = sieve.sizes or [0]
+    raw, n, code, kinds = F.col("_raw"), F.col("_n"), F.col("_code"), len(sizes)
     held = texts.withColumn("_raw", text.cast("binary")).withColumn("_n", F.octet_length("_raw"))
-    places = F.sequence(F.lit(-1 if outer else 0), F.when(F.col("_n").isNull(), -1).otherwise(F.col("_n")))
-    places = places if outer else F.when(F.col("_n").isNotNull(), places)
-    rows = held.select("*", F.explode(places).alias("_at"))
-
-    def there(size: int) -> Column:
-        inside = (at >= 0) & (at + size <= F.col("_n")) if size else at == 0
-        return inside & sieve.passes(_key(raw, at, size))
-
-    any_size = at < 0
-    for size in sieve.sizes:
-        any_size = any_size | there(size)
-    begin = {size: F.greatest(at - (sieve.longest - size), F.lit(0)) for size in sieve.sizes}
-    reach = {size: F.lit(2 * sieve.longest - size) for size in sieve.sizes}
-    grams = [F.when(there(size), F.struct(_key(raw, at, size).alias("key"), F.substring(raw, begin[size] + 1, reach[size]).alias("around"), (at - begin[size]).alias("place"))) for size in sieve.sizes]
-    none = F.lit(None).cast("struct<key:bigint,around:binary,place:int>")
-    found = F.when(at < 0, F.array(none)).otherwise(F.array_compact(F.array(*grams, none)))
-    kept = rows.where(any_size).select(*texts.columns, F.explode(found).alias("_g"))
-    return kept.select(*texts.columns, *(F.col(f"_g.{c}").alias(f"_{c}") for c in ("key", "around", "place")))
+    last = F.when(n.isNull() | F.lit(not sieve.sizes), -1).otherwise(kinds * (n + 1) - 1)
+    codes = F.sequence(F.lit(-1), last) if outer else F.when(last >= 0, F.sequence(F.lit(0), last))
+    rows = held.select("*", F.explode(codes).alias("_code"))
+    at = code if kinds == 1 else F.expr(f"CAST(_code DIV {kinds} AS INT)")
+    size = F.lit(sizes[0]) if kinds == 1 else F.get(F.array(*map(F.lit, sizes)), F.pmod(code, F.lit(kinds)))
+    inside = (code >= 0) & (at + size <= n) & ((size > 0) | (at == 0))
+    kept = rows.where((code < 0) | (inside & sieve.passes(_key(raw, at, size))))
+    begin = F.greatest(at - sieve.longest + size, F.lit(0))
+    around = F.substring(raw, begin + 1, F.lit(2 * sieve.longest) - size)
+    told = {"_key": _key(raw, at, size), "_around": around, "_place": at - begin}
+    return kept.select(*texts.columns, *(F.when(code >= 0, c).alias(name) for name, c in told.items()))
 
 
 def matched(texts: DataFrame, text: str, needles: DataFrame, how: str = "inner") -> DataFrame:
