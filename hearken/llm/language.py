@@ -126,7 +126,7 @@ def _forward(scores: np.ndarray, begin: np.ndarray, sizes: np.ndarray, value: np
     for t, live in enumerate(_lives(sizes)):
         now = value[:live]
         best = now.argmax(axis=-1)
-        switched = np.take_along_axis(now, best[..., None], -1) - penalty
+        switched = now.max(axis=-1, keepdims=True) - penalty
         switch = switched > now
         at = begin[:live] + t
         if came is not None:
@@ -147,7 +147,7 @@ def _backward(came: np.ndarray, begin: np.ndarray, sizes: np.ndarray, state: np.
         at = begin[:live] + t
         if labels is not None:
             labels[at] = state[:live]
-        state[:live] = np.take_along_axis(came[at], state[:live].reshape(live, -1), 1).reshape(state[:live].shape)
+        state[:live] = came[at if state.ndim == 1 else at[:, None], state[:live]]
     return state
 
 
