@@ -3,7 +3,8 @@
 A payload becomes 8-bit grey frames of 16 by 12 samples, each an intra frame in JPEG's lossless process (predictor 1,
 one Huffman table), held in an AVI with an index. Reading walks the RIFF chunks, takes the frames from the index,
 decodes them, and detects shots where the difference of histograms exceeds what the last frames lead one to expect.
-Frames of a slice are coded and decoded side by side by array operations.
+Frames are coded and decoded side by side by array operations, RUN at a time, so that a long text needs no more than a
+short one besides its own bytes.
 
 Null and empty texts become one frame of blanks; long texts simply have more frames; equal texts give equal media; each
 row is answered by itself, whether doc_ids repeat or are null; a difference that only equals a threshold begins no shot;
@@ -26,6 +27,7 @@ from .common import id_and_bytes, map_slices, ragged
 
 WIDTH, HEIGHT, RATE = 16, 12, 10
 FRAME = WIDTH * HEIGHT
+RUN = 1 << 14  # frames coded or decoded side by side: what they need besides is some 70 bytes a sample
 #: Code lengths of the categories 0 to 8 (bits of a difference's size), chosen for text; fixed, part of the format.
 LENGTHS = (4, 5, 4, 3, 3, 2, 2, 4, 6)
 
@@ -91,11 +93,13 @@ def encode_frames(samples: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, total
 
 
-def write_avi(payloads: list[bytes]) -> list[bytes]:
-    """An AVI for each payload; payloads are padded with blanks to a positive multiple of a frame."""
-    counts = np.array([max(1, -(-len(p) // FRAME)) for p in payloads], np.int64)
-    joined = b"".join([p + b" " * (FRAME * n - len(p)) for p, n in zip(payloads, counts.tolist(), strict=True)])
-    data, sizes = encode_frames(np.frombuffer(joined, np.uint8).reshape(-1, FRAME))
+def _runs(n: int) -> list[tuple[int, int]]:
+    return [(low, min(n, low + RUN)) for low in range(0, n, RUN)]
+
+
+def _movie(frames: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The chunks of the frames' JPEG streams, one after the other, and the streams' sizes."""
+    data, sizes = encode_frames(frames)
     padded = sizes + (sizes & 1)
     begin = np.cumsum(padded + 8) - padded - 8
     movie = np.zeros(int((padded + 8).sum()), np.uint8)
@@ -103,6 +107,18 @@ def write_avi(payloads: list[bytes]) -> list[bytes]:
     movie[begin[frame] + 8 + offset] = data
     movie[begin[:, None] + np.arange(4)] = np.frombuffer(b"00dc", np.uint8)
     movie[begin[:, None] + np.arange(4, 8)] = sizes.astype("<u4").view(np.uint8).reshape(-1, 4)
+    return movie, sizes
+
+
+def write_avi(payloads: list[bytes]) -> list[bytes]:
+    """An AVI for each payload; payloads are padded with blanks to a positive multiple of a frame."""
+    counts = np.array([max(1, -(-len(p) // FRAME)) for p in payloads], np.int64)
+    joined = b"".join([p + b" " * (FRAME * n - len(p)) for p, n in zip(payloads, counts.tolist(), strict=True)])
+    frames = np.frombuffer(joined, np.uint8).reshape(-1, FRAME)
+    coded = [_movie(frames[low:high]) for low, high in _runs(len(frames))]
+    movie, sizes = (np.concatenate(parts) for parts in zip(*coded, strict=True))
+    padded = sizes + (sizes & 1)
+    begin = np.cumsum(padded + 8) - padded - 8
     edge = np.append(begin, len(movie))
     out, at = [], 0
     for n in counts.tolist():
@@ -205,7 +221,10 @@ def shots(samples: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Whether a shot begins with each frame. Histograms have 16 bins; a frame begins a shot if its difference to the one
     before is over 24 samples and over one and a half times the mean difference of the eight frames before it."""
     n = len(samples)
-    hist = np.bincount((np.arange(n)[:, None] * 16 + (samples >> 4)).ravel(), minlength=n * 16).reshape(n, 16)
+    hist = np.empty((n, 16), np.int64)
+    for low, high in _runs(n):
+        bins = np.arange(high - low)[:, None] * 16 + (samples[low:high] >> 4)
+        hist[low:high] = np.bincount(bins.ravel(), minlength=(high - low) * 16).reshape(-1, 16)
     diff = np.zeros(n, np.int64)
     diff[1:] = np.abs(np.diff(hist, axis=0)).sum(axis=1)
     group, place = ragged(counts)
@@ -238,7 +257,8 @@ def from_media(media: DataFrame) -> DataFrame:
         bases = np.cumsum([0] + [len(m) for m in stored[:-1]])
         counts = np.array([len(b) for b, _, _ in found], np.int64)
         begin = np.concatenate([b + base for (b, _, _), base in zip(found, bases.tolist(), strict=True)])
-        samples = decode_frames(np.frombuffer(b"".join(stored), np.uint8), begin, np.concatenate([s for _, s, _ in found]))
+        data, sizes = np.frombuffer(b"".join(stored), np.uint8), np.concatenate([s for _, s, _ in found])
+        samples = np.concatenate([decode_frames(data, begin[low:high], sizes[low:high]) for low, high in _runs(len(sizes))])
         cut = shots(samples, counts)
         flat, at, rows = np.ascontiguousarray(samples).reshape(-1), 0, []
         for m, n, (_, _, pace) in zip(stored, counts.tolist(), found, strict=True):
