@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hearken.llm import language, licenses, packing
+from hearken.llm import language, licenses, media, packing
 
 PROBES = {
     "licensed under the GNU General Public License version 2": "gpl",
@@ -99,3 +99,24 @@ def test_the_language_stage_uses_its_model(spark):
     swapped = docs.withColumn("lang", F.when(F.col("lang") == "en", "de").when(F.col("lang") == "de", "en"))
     again = {r.doc_id: r.lang for r in corpus_pipeline.identify(spark, swapped, "").collect()}
     assert (again[24], again[25]) == ("de", "en")
+
+
+def test_media_of_a_long_text_in_bounded_memory(monkeypatch):
+    """Runs of frames give what all frames at once give, and a long text takes little more than itself."""
+    import tracemalloc
+
+    payloads = [bytes(random.Random(k).choices(range(256), k=n)) for k, n in enumerate((0, 1, 500, 40_000, 193))]
+    whole = media.write_avi(payloads)
+    monkeypatch.setattr(media, "RUN", 7)
+    assert media.write_avi(payloads) == whole
+    monkeypatch.undo()
+    text = b"some words that go on and on " * 700_000
+    tracemalloc.start()
+    stored = media.write_avi([text])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 20 * len(text) + (400 << 20) and stored[0][:4] == b"RIFF"
+    begin, sizes, _ = media.frame_index(stored[0])
+    data = np.frombuffer(stored[0], np.uint8)
+    back = media.decode_frames(data, begin[-5:], sizes[-5:])
+    assert back.tobytes().rstrip() == text[len(text) // 192 * 192 - 4 * 192 :].rstrip() and len(begin) == -(-len(text) // 192)
