@@ -4,7 +4,8 @@ A document is its set of distinct word shingles; a node is a set's hash, so exac
 made of cells, groups of shingles by their hashes' high bits: they reach over most of a set, and one shared cell means
 several shared shingles, so that common lines and passages do not make candidates. Nodes that share a cell of their
 prefixes fall into a family; families are the components of stars, one for each cell, and a cell's star is begun where
-its sets are read, so that a common cell leaves a task once. A family is joined in a task of its own, or in pairs of
+its sets are read, so that a common cell leaves a task once. Cells with shingles that few texts have come first in a prefix:
+what stands in many texts, told by a sample, would chain ever more of a growing corpus into one family. A family is joined in a task of its own, or in pairs of
 blocks of BLOCK nodes or BLOCK_SHINGLES shingles if it is large: within it every set lengthens its prefix by the estimated
 cost of its candidates, a pair needs correspondingly more shared prefix shingles, pairs already connected are passed over,
 and what is left is verified by the exact sizes of intersection and union. A task returns a spanning forest, not all pairs.
@@ -29,6 +30,8 @@ from .graph import components
 SHINGLE, NEED, OF = 5, 80, 100
 BLOCK, BLOCK_SHINGLES, LENGTHS = 4096, 2_000_000, 4
 HELD_TOKENS = 2_000_000  # of prefixes, looked through together where they are read
+#: Common shingles are told by about so many texts, and are so many at the utmost. They order cells and decide no result.
+SAMPLE_TEXTS, COMMON = 16_384, 1 << 18
 
 
 def shingle_sets(bodies: list[bytes], k: int = SHINGLE) -> list[np.ndarray]:
@@ -79,9 +82,32 @@ def level(n: int) -> int:
     return max(0, int(n / 1.5).bit_length() - 1)
 
 
-def cells(own: np.ndarray, k: int, most: int) -> np.ndarray:
-    """Hashes of the `most` first cells of a sorted set, cut by the shingles' k highest bits: the fullest cells come first,
-    of equals those of least hash, and empty ones last. The order depends on a cell's content alone."""
+def common_shingles(docs: DataFrame, signed: DataFrame, texts: int = SAMPLE_TEXTS, most: int = COMMON) -> np.ndarray:
+    """Sorted hashes of the `most` most frequent shingles that two different texts have, of about `texts` texts chosen by
+    their hashes; of a smaller table, of all."""
+    number = signed.agg(F.approx_count_distinct("text_key")).first()[0]
+    chosen = docs.select("body").where(F.pmod(F.xxhash64("body", F.lit("sample")), F.lit(max(1, number // texts))) == 0).distinct()
+
+    def work(batch):
+        sets = shingle_sets(batch.column("body").to_pylist())
+        return pa.RecordBatch.from_pydict({"shingle": pa.array(np.concatenate(sets).view(np.int64), pa.int64())})
+
+    counted = map_slices(chosen, work, "shingle long", limit=2 << 20).groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    found = counted.orderBy(F.desc("n"), "shingle").limit(most).select("shingle").toArrow()
+    return np.sort(found.column("shingle").to_numpy().view(np.uint64))
+
+
+def is_rare(own: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which shingles of a sorted set are not among `common`, sorted too."""
+    if not len(common):
+        return np.ones(len(own), bool)
+    return common[np.minimum(np.searchsorted(common, own), len(common) - 1)] != own
+
+
+def cells(own: np.ndarray, k: int, most: int, rare: np.ndarray | None = None) -> np.ndarray:
+    """Hashes of the `most` first cells of a sorted set, cut by the shingles' k highest bits: cells of the most `rare`
+    shingles come first, of equals the fullest, of these those of least hash, and empty ones last. The order depends on a
+    cell's content alone, since a shingle is rare or not wherever it stands."""
     which = (own >> np.uint64(64 - k)).astype(np.int64) if k else np.zeros(len(own), np.int64)
     starts = np.flatnonzero(np.diff(which, prepend=-1))
     size = np.diff(np.append(starts, len(own)))
@@ -92,22 +118,24 @@ def cells(own: np.ndarray, k: int, most: int) -> np.ndarray:
         lacking = np.sort(mixed(empty.astype(np.uint64) + salt))[: most - len(starts)]
         return np.concatenate((hashes, lacking))
     if most < len(starts):
-        rank = np.minimum(size, 63).astype(np.uint64) << np.uint64(58) | (~hashes >> np.uint64(6))
+        few = size if rare is None else np.add.reduceat(rare.astype(np.int64), starts)
+        rank = np.minimum(few, 63).astype(np.uint64) << np.uint64(58) | np.minimum(size, 63).astype(np.uint64) << np.uint64(52) | (~hashes >> np.uint64(12))
         hashes = hashes[np.argpartition(rank, len(rank) - most)[len(rank) - most :]]
     return hashes
 
 
-def stars(docs: DataFrame, need: int = NEED, of: int = OF) -> DataFrame:
+def stars(docs: DataFrame, need: int = NEED, of: int = OF, common: np.ndarray | None = None) -> DataFrame:
     """node, first: a star for each cell, from the nodes that have it in their prefix to the least of them. Sets x and y
     that link differ in d = (|x| + |y|) (of - need) / (of + need) shingles at the utmost, so in at most d cells; the first
     cell that they share is among the first d + 1 of either. The cells are those of the larger set's level, so a set that
-    a set of the next level can link to has a prefix at that level too."""
+    a set of the next level can link to has a prefix at that level too. Shingles of `common` are not rare."""
+    common = np.empty(0, np.uint64) if common is None else common
 
     def prefix(own):
-        n = len(own)
+        n, rare = len(own), is_rare(own, common)
         largest = n * of // need
         most = (n + largest) * (of - need) // (of + need) + 1
-        return np.concatenate([cells(own, k, most) for k in range(level(n), level(largest) + 1)])
+        return np.concatenate([cells(own, k, most, rare) for k in range(level(n), level(largest) + 1)])
 
     def begun(tokens, nodes):
         """A task's part of the stars: edges to the least node here, and that node's cells, to be joined with other tasks'."""
@@ -216,7 +244,7 @@ def _matches(index, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def links(docs: DataFrame, signed: DataFrame, need: int = NEED, of: int = OF, block: int = BLOCK, shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """src, dst: a spanning forest of each family's links between different sets."""
-    members = components(stars(docs, need, of).select(F.col("node").alias("src"), F.col("first").alias("dst")))
+    members = components(stars(docs, need, of, common_shingles(docs, signed)).select(F.col("node").alias("src"), F.col("first").alias("dst")))
     families = members.unionByName(members.select(F.col("root").alias("node"), "root").distinct())
     one = signed.groupBy("node").agg(_first_row().alias("row"), F.first("n").alias("n"))
     homes = families.join(one, "node")
