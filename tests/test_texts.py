@@ -293,3 +293,15 @@ def test_an_image_s_graph_takes_one_exchange(spark):
     plan = told._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     assert {(r.Id, r.text) for r in images.block_texts(blocks).where("image_key = 'one'").collect()} == {("k1", "Order no:"), ("v1", "C B C"), ("k2", "Size::"), ("k4", "no:")}
+
+
+def test_many_needles_let_few_grams_of_texts_pass(spark):
+    """The table grows with the needles, and is no part of the plan."""
+    needles = spark.range(300_000).select(F.concat(F.lit("needle "), F.md5(F.col("id").cast("string"))).alias("needle"))
+    texts = spark.range(300).select("id", F.concat_ws(" ", *(F.sha2(F.concat("id", F.lit(f".{k}")), 256) for k in range(40)), F.lit("needle"), F.md5(F.col("id").cast("string"))).alias("t"))
+    sieve = containment.Sieve.of(containment.filed(needles))
+    met = containment._grams(texts.select("id", F.col("t").cast("binary").alias("_text")), sieve, False)
+    assert 300 <= met.count() < 300 + 0.005 * 300 * 2600
+    told = containment.matched(texts, "t", needles)
+    assert {(r.id, r.needle[:7]) for r in told.collect()} == {(i, "needle ") for i in range(300)} and told.count() == 300
+    assert len(told._jdf.queryExecution().toString()) < 50_000
