@@ -305,3 +305,10 @@ def test_many_needles_let_few_grams_of_texts_pass(spark):
     told = containment.matched(texts, "t", needles)
     assert {(r.id, r.needle[:7]) for r in told.collect()} == {(i, "needle ") for i in range(300)} and told.count() == 300
     assert len(told._jdf.queryExecution().toString()) < 50_000
+
+
+def test_texts_are_judged_in_one_pass(spark):
+    from hearken.plans import texts
+
+    told = texts.sentiment_documents(spark, "/root/testdata/sf0.001")
+    assert told._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 1
