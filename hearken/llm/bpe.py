@@ -258,7 +258,7 @@ def decoded(bodies: list[bytes] | pa.Array) -> pa.Array:
 
 
 def split_spaces(texts: pa.Array) -> pa.ListArray:
-    """The chunks between white space of each text."""
+    """The chunks between white space of each text, and empty ones where white space begins or ends it."""
     raw, _ = laid_out(texts)
     if ((raw - np.uint8(0x1C)) < 4).any():  # Arrow takes these for white space
         odd = pc.match_substring_regex(texts, ODD_SPACE)
@@ -266,11 +266,7 @@ def split_spaces(texts: pa.Array) -> pa.ListArray:
         both = pa.concat_arrays([split_spaces(texts.filter(pc.invert(odd))), pa.array(rows, pa.list_(pa.string()))])
         order = np.argsort(odd.to_numpy(zero_copy_only=False), kind="stable")
         return both.take(pa.array(np.argsort(order)))
-    found = pc.utf8_split_whitespace(texts)
-    flat = found.flatten()
-    full = pc.not_equal(flat, "")
-    kept = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False))))
-    return pa.ListArray.from_arrays(pa.array(kept[found.offsets.to_numpy() - found.offsets[0].as_py()], pa.int32()), flat.filter(full))
+    return pc.utf8_split_whitespace(texts)
 
 
 def laid_out(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -302,26 +298,29 @@ class WordCodec:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         rows = [(vocab[a], vocab[b], r, vocab[a + b]) for r, (a, b) in enumerate(pairs)]
         self.table = PairTable(*zip(*rows, strict=True))
+        self.merged = np.array([m for *_, m in rows], np.int32)  # by rank
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(split.replace(r"[^\s", f"[^{SPACE}"))
         chars = byte_characters()
         self.inner = np.array([vocab[c] for c in chars], np.int32)
         self.last = np.array([vocab[c + end] for c in chars], np.int32)
+        self.byte = np.concatenate((self.inner, self.last))
+        self.first = self.table.rank[self.table.find(np.repeat(self.byte, 512), np.tile(self.byte, 512))]  # of each two bytes
         self.special = [t["content"] for t in spec["added_tokens"]]
 
     def rounds(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, one after the other, and how many each has."""
         raw, lengths = laid_out(words)
         starts = np.cumsum(lengths) - lengths
-        symbol = self.inner[raw]
-        ends = starts + lengths - 1
-        symbol[ends] = self.last[raw[ends]]
+        code = raw.astype(np.int32)
+        code[starts + lengths - 1] += 256
         counts = np.zeros(len(words), np.int64)
         kept: list[tuple[np.ndarray, np.ndarray]] = []
         for n in np.unique(lengths):
             which = np.flatnonzero(lengths == n)
-            rows = symbol[starts[which][:, None] + np.arange(n)]
-            ranks = self.table.rank[self.table.find(rows[:, :-1].ravel(), rows[:, 1:].ravel())].reshape(len(rows), n - 1)
+            rows = code[starts[which][:, None] + np.arange(n)]
+            ranks = self.first.take((rows[:, :-1] << 9) + rows[:, 1:])
+            rows = self.byte.take(rows)
             while ranks.shape[1]:
                 j = ranks.argmin(axis=1)
                 best = ranks[np.arange(len(rows)), j]
@@ -329,13 +328,14 @@ class WordCodec:
                 if done.any():
                     kept.append((which[done], rows[done]))
                     go = ~done
-                    which, rows, ranks, j = which[go], rows[go], ranks[go], j[go]
+                    which, rows, ranks, j, best = which[go], rows[go], ranks[go], j[go], best[go]
                     if not len(which):
                         break
                 at, width = np.arange(len(rows)), rows.shape[1]
-                rows[at, j] = self.table.merged[self.table.find(rows[at, j], rows[at, j + 1])]
-                rows = rows[(np.arange(width) != (j + 1)[:, None])].reshape(len(rows), width - 1)
-                ranks = ranks[(np.arange(width - 1) != j[:, None])].reshape(len(rows), width - 2)
+                rows[at, j] = self.merged.take(best)
+                column = np.arange(width - 1)
+                rows = np.where(column > j[:, None], rows[:, 1:], rows[:, :-1])
+                ranks = np.where(column[:-1] >= j[:, None], ranks[:, 1:], ranks[:, :-1])
                 right = np.flatnonzero(j < width - 2)
                 ranks[right, j[right]] = self.table.rank[self.table.find(rows[right, j[right]], rows[right, j[right] + 1])]
                 left = np.flatnonzero(j > 0)

@@ -4,9 +4,11 @@ A block holds the ids of a run of tokens and is coded by itself: its models star
 2 and order 1 each predict the id that followed the same two ids, or the same id, last; order 0 predicts by the counts of
 the ids seen in the block, and ids not seen yet have a share that is spread by adaptive counts of their size. The shares
 are mixed by weights that each block learns from what came of its predictions, by their confidence; predictions that agree
-add up. Counts and weights are brought up to date at EPOCHS. The mixture drives a carryless range coder with 64-bit state,
-one step an id. All blocks of a slice are coded side by side, one position at a time, by array operations. A block that
-does not shrink is kept as 16-bit ids, so that none is longer than that by more than its first byte.
+add up. Counts and weights are brought up to date at EPOCHS. The mixture drives a range coder with carries and a window of
+48 bits, one step an id. The writer knows all ids, so it tells the intervals of whole blocks by sorts and running sums, and
+only narrows step by step; the reader takes all blocks of a slice side by side, one position at a time. Both work by array
+operations. A block that does not shrink is kept as 16-bit ids, so that none is longer than that by more than its first
+byte.
 
 The files are tables of blocks in the shared folder, ordered by document id: (block, tokens, crc32, payload), beside the
 documents' lengths. Null texts are documents of their end id alone; documents of any length run over as many blocks as
@@ -27,7 +29,7 @@ from .bpe import WordCodec
 from .common import given_back, ragged, saved, slices
 
 END_ID, BLOCK = 2, 2048
-LANES = 4096  # blocks coded side by side
+LANES = 8192  # blocks coded side by side
 LONGEST = 4095  # ids of a block, as a place and its confidence share 16 bits
 BITS = 10  # of the slot numbers
 #: Places at which the order-0 counts and the mixing weights are brought up to date.
@@ -37,220 +39,74 @@ FIRST = np.array([[0, 300, 900, 1500, 2000, 2400, 2700, 2900], [0, 1400, 2400, 3
 TRUST = 6  # ids that the first worth counts for
 MOST, LEAST, REST, RARE = 3840, 64, 64, 32  # bounds of shares: a prediction's, what predictions leave, and new ids'
 #: Confidence after a miss, and after a hit.
-MOVE = np.array([1, 1, 1, 1, 1, 1, 1, 2, 1, 2, 3, 4, 5, 6, 7, 7], np.uint16)
+MOVE = np.array([1, 1, 1, 1, 1, 1, 1, 2, 1, 2, 3, 4, 5, 6, 7, 7], np.uint32)
 #: New ids are spread over classes, each from one of these ids to the next, of so many bits.
 EDGES = np.array([0, 512, 1024, 2048, 4096, 8192, 16384, 32768], np.int32)
 WIDTHS = np.array([9, 9, 10, 11, 12, 13, 14, 15], np.int32)
 CLASS = np.repeat(np.arange(8), 1 << WIDTHS)
 NOTHING = 0xFFFF  # no id
-U = np.uint64
-TOP, LOW32, UNIT = U(32), U(0xFFFFFFFF), U(28)  # shares of 12 bits are coded in 2**28 parts
-RAW16, CODED, RAW32 = 0, 1, 2  # a payload's first byte
-
-
-class Models:
-    """The adaptive state of all lanes; encoder and decoder take the same steps. Arrays of two rows are the order-1 and
-    the order-2 model's.
-
-    A slot holds the place of the id that followed its context last, and a confidence. Order 0 has the ids counted so far
-    in ascending order; an id's order is the number of those that are smaller, and its count (12 bits each)."""
-
-    def __init__(self, lanes: int, longest: int):
-        lane = np.arange(lanes)
-        self.base = np.stack((lane, lane + lanes)) << BITS
-        self.slots = np.zeros(2 * lanes << BITS, np.uint16)
-        self.code = np.stack((lane, lane + lanes)) << 4
-        self.lane8 = lane << 3
-        self.stride = longest + 1
-        self.row = lane * self.stride
-        self.ids = np.zeros(lanes * self.stride, np.uint16)
-        self.ids[self.row] = NOTHING  # place 0 is none
-        self.context = np.zeros((2, lanes), np.uint32)
-        self.last, self.mixed = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+MIX1, MIX2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
+RAW16, RAW32, CODED = 0, 2, 3  # a payload's first byte
+WORD, WINDOW, PARTS = 65536.0, float(1 << 48), float(1 << 28)  # of the range coder; shares of 12 bits are coded in 2**28 parts
+LEAST_RANGE = float(1 << 32)
+TOGETHER = 64  # lanes whose intervals are told together
+
+
+class Weights:
+    """What predictions of each lane are worth, and the share of new ids; encoder and decoder take the same steps. Arrays
+    of two rows are the order-1 and the order-2 model's."""
+
+    def __init__(self, lanes: int):
+        self.code = np.arange(2 * lanes).reshape(2, lanes) << 4
         self.worth = np.repeat(np.concatenate((FIRST, FIRST), axis=1)[:, None], lanes, axis=1)
         self.tally = np.zeros((2, lanes, 16), np.int32)
         self.new, self.fresh = np.zeros((lanes, 8), np.int32), np.full(lanes, 4096, np.int32)
         self.spread = np.arange(0, 256, 32, dtype=np.int32) * 512 + np.full((lanes, 1), 32, np.int32)
-        ends = [0, *(e for e in EPOCHS if e < longest), longest]
-        self.seen = np.zeros((max(b - a for a, b in zip(ends, ends[1:], strict=False)), 2, lanes), np.uint8)
-        self.counted = 0
-
-    def predict(self, live: int) -> None:
-        """The predictions of the first `live` lanes, and how 2**28 is shared among order 2, order 1, the ids counted and new ones."""
-        p = self.context[:, :live]
-        np.multiply(self.last[:live], np.uint32(0x9E3779B1), out=p[0])
-        np.multiply(p[0] ^ self.mixed[:live], np.uint32(0x85EBCA77), out=p[1])
-        np.right_shift(p[0], np.uint32(7), out=self.mixed[:live])
-        self.at = self.base[:, :live] + (p >> np.uint32(32 - BITS))
-        slot = self.slots.take(self.at, mode="wrap").astype(np.int64)
-        self.level = slot & 15
-        slot >>= 4
-        slot += self.row[:live]
-        self.guess = self.ids.take(slot, mode="wrap")
-        w1, w2 = self.worth.take(self.level + self.code[:, :live], mode="wrap")
-        w1 *= 4096 - REST - w2
-        w1 >>= 12
-        both = w1 + w2
-        left = 4096 - both
-        self.rare = left * self.fresh[:live]
-        self.rare >>= 12
-        np.maximum(self.rare, RARE, out=self.rare)
-        left -= self.rare
-        left <<= 16
-        left //= max(1, self.counted)
-        self.part = left  # an id counted c times has c of these parts
-        self.agree = self.guess[0] == self.guess[1]
-        np.copyto(w2, both, where=self.agree)  # equal predictions add up
-        w2 <<= 16
-        both <<= 16
-        self.end2, self.end1 = w2, both
-
-    def interval(self, own: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of the given ids. What order 0 gives to a predicted id besides is left out of its size."""
-        self.right = right = self.guess == own
-        start = (order >> 12) * self.part
-        start += self.end1
-        size = (order & 4095) * self.part
-        np.copyto(start, self.end2, where=right[0])
-        np.copyto(size, self.end1 - self.end2, where=right[0])
-        np.copyto(start, 0, where=right[1])
-        np.copyto(size, self.end2, where=right[1])
-        new = np.flatnonzero(size == 0)
-        if len(new):
-            ids = own.take(new, mode="wrap")
-            cls = CLASS.take(ids, mode="wrap")
-            at = self.lane8.take(new, mode="wrap") + cls
-            self.new.reshape(-1)[at] += 1
-            rare, spread = self.rare.take(new, mode="wrap") << 8, self.spread.take(at, mode="wrap")
-            more = rare * (spread & 511) >> WIDTHS.take(cls, mode="wrap")
-            size[new] = more
-            more *= ids - EDGES.take(cls, mode="wrap")
-            more += rare * (spread >> 9)
-            start[new] += more
-        return start, size
-
-    def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids whose intervals hold these targets, and their order."""
-        part, counted, live = self.part, self.counted, len(target)
-        hit1, hit2 = target < self.end1, target < self.end2
-        among = target - self.end1
-        if counted:
-            place = np.minimum((among / part).astype(np.int64), counted)
-            new = np.flatnonzero(place == counted)
-            place += self.first[:live]
-            found = self.ranked.take(place, mode="clip").view(np.int32)
-            own, order = found[1::2].astype(np.uint16), found[::2].copy()
-        else:
-            new = np.flatnonzero(~hit1)
-            own, order = np.zeros(live, np.uint16), np.zeros(live, np.int32)
-        if len(new):
-            rare = self.rare.take(new, mode="wrap") << 8
-            rest = among.take(new, mode="wrap") - counted * part.take(new, mode="wrap")
-            spread = self.spread[new]
-            cls = (rest // rare)[:, None] >= spread[:, 1:] >> 9
-            cls = cls.sum(axis=1)
-            spread = spread.reshape(-1).take(np.arange(0, 8 * len(new), 8) + cls, mode="wrap")
-            size = rare * (spread & 511) >> WIDTHS.take(cls, mode="wrap")
-            rest -= rare * (spread >> 9)
-            own[new] = EDGES.take(cls, mode="wrap") + np.clip(rest // size, 0, (1 << WIDTHS.take(cls, mode="wrap")) - 1)
-            order[new] = counted << 12
-        np.copyto(own, self.guess[0], where=hit1)
-        np.copyto(own, self.guess[1], where=hit2)
-        return own, order
-
-    def learn(self, t: int, own: np.ndarray) -> None:
-        live, right = len(own), self.right
-        after = self.level + (right.view(np.int8) << 3)
-        self.slots[self.at] = MOVE.take(after, mode="wrap") | np.uint16(t + 1 << 4)
-        after[0] *= ~(right[1] | self.agree)
-        self.seen[t - self.counted, :, :live] = after
-        self.ids[self.row[:live] + (t + 1)] = own
-        self.last[:live] = own
-
-    def update(self, t: int, live: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Counts all ids so far and weighs predictions by what came of them. Returns the ids in ascending order in each
-        lane, with their places (12 bits); and which are the first of their kind, and how many these are."""
-        codes = self.seen[: t - self.counted, :, :live] + self.code[:, :live].astype(np.int32)
+
+    def count(self, codes: np.ndarray) -> None:
+        """Counts outcomes: places in the tally, 8 more than the confidence's for a hit."""
         self.tally += np.bincount(codes.reshape(-1), minlength=self.tally.size).astype(np.int32).reshape(self.tally.shape)
+
+    def update(self, t: int) -> None:
+        """Weighs predictions by what came of them in the first t places."""
         missed, hit = self.tally[:, :, :8], self.tally[:, :, 8:]
         share = np.clip((hit * 4096 + FIRST[:, None] * TRUST) // (missed + hit + TRUST), LEAST, MOST)
         share[:, :, 0] = 0
-        self.worth[:, :, :8] = share
-        total = self.new[:live].sum(axis=1)
-        others = np.maximum(t - hit[:, :live].sum(axis=(0, 2)), total)
-        self.fresh[:live] = np.minimum((total * 4096 + 8192) // (others + 4), 3072)
-        share = 4 + (self.new[:live] * 8 + 8) * 224 // (total * 8 + 64)[:, None]
-        self.spread[:live] = (np.cumsum(share, axis=1) - share << 9) + share
-        ids = self.ids.reshape(-1, self.stride)[:live, 1 : t + 1]
-        keys = np.left_shift(ids, 12, dtype=np.int32, casting="unsafe")
-        keys |= np.arange(t, dtype=np.int32)
-        keys.sort(axis=1)
-        edge = np.ones((live, t), bool)
-        np.greater((keys[:, 1:] ^ keys[:, :-1]), 4095, out=edge[:, 1:])
-        starts = np.flatnonzero(edge)
-        self.counted, self.first = t, self.row[:live] // self.stride * t
-        return keys, starts, np.diff(starts, append=live * t)
-
-
-class Writer:
-    def __init__(self, lanes: int):
-        self.low, self.range = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-        self.lanes: list[np.ndarray] = []
-        self.words: list[np.ndarray] = []
-
-    def code(self, start: np.ndarray, size: np.ndarray) -> None:
-        """Narrows the first lanes' intervals to `size` parts of 2**28 from `start` on."""
-        head = slice(0, len(start))
-        low, width, small = _narrowed(self.low[head], self.range[head], start, size)
-        if len(small):
-            self.lanes.append(small)
-            self.words.append((low[small] >> TOP).astype(np.uint32))
-            low[small] <<= TOP
-        self.low[head], self.range[head] = low, width
-
-    def finish(self) -> tuple[np.ndarray, np.ndarray]:
-        """All words in lane order, and how many each lane has."""
-        n = len(self.low)
-        for part in (self.low >> TOP, self.low & LOW32):
-            self.lanes.append(np.arange(n))
-            self.words.append(part.astype(np.uint32))
-        lanes, words = np.concatenate(self.lanes).astype(np.int16), np.concatenate(self.words)
-        return words[np.argsort(lanes, kind="stable")], np.bincount(lanes, minlength=n)
-
-
-class Reader:
-    def __init__(self, words: np.ndarray, counts: np.ndarray):
-        self.words = np.concatenate((words, np.zeros(2, np.uint32))).astype(np.uint64)
-        self.at = np.cumsum(counts) - counts
-        n = len(counts)
-        self.low, self.range = np.zeros(n, np.uint64), np.full(n, (1 << 64) - 1, np.uint64)
-        self.value = self.words[self.at] << TOP | self.words[self.at + 1]
-        self.at = self.at + 2
-
-    def targets(self, live: int) -> np.ndarray:
-        """Where the first lanes' values lie, in parts of 2**28."""
-        return np.minimum((self.value[:live] - self.low[:live]) // (self.range[:live] >> UNIT), U((1 << 28) - 1)).astype(np.int32)
-
-    def take(self, start: np.ndarray, size: np.ndarray) -> None:
-        head = slice(0, len(start))
-        low, width, small = _narrowed(self.low[head], self.range[head], start, size)
-        if len(small):
-            self.value[small] = self.value[small] << TOP | self.words[np.minimum(self.at[small], len(self.words) - 1)]
-            self.at[small] += 1
-            low[small] <<= TOP
-        self.low[head], self.range[head] = low, width
-
-
-def _narrowed(low, width, start, size):
-    """New bounds, and the lanes whose upper 32 bits are settled; those have got their new width already, and their old low."""
-    step = width >> UNIT
-    low, width = low + step * start.astype(np.uint64), step * size.astype(np.uint64)
-    small = np.flatnonzero(width <= LOW32)
-    if len(small):
-        l, w = low[small], width[small]
-        crosses = (l >> TOP) != ((l + w - U(1)) >> TOP)
-        width[small] = np.where(crosses, (U(1) << TOP) - (l & LOW32), w) << TOP
-    return low, width, small
+        self.worth[:, :, :8] = self.worth[:, :, 8:] = share
+        total = self.new.sum(axis=1)
+        others = np.maximum(t - hit.sum(axis=(0, 2)), total)
+        self.fresh = np.minimum((total * 4096 + 8192) // (others + 4), 3072).astype(np.int32)
+        share = 4 + (self.new * 8 + 8) * 224 // (total * 8 + 64)[:, None]
+        self.spread[:] = (np.cumsum(share, axis=1) - share << 9) + share
+
+    def classes(self) -> np.ndarray:
+        """For each lane, the class of each of the 256 parts that new ids' share has."""
+        out = np.zeros((len(self.new), 256), np.uint8)
+        np.put_along_axis(out, self.spread[:, 1:] >> 9, 1, axis=1)
+        return np.cumsum(out, axis=1, dtype=np.uint8).reshape(-1)
+
+
+def _shares(w1, w2, agree, fresh, counted: int):
+    """How 2**28 is shared: where order 2 ends and where order 1 does, what an id counted once has, and the part (12 bits) of
+    new ids. Of the worths given, the first is used up."""
+    w1 *= 4096 - REST - w2
+    w1 >>= 12
+    w1 += w2
+    left = 4096 - w1
+    rare = left * fresh
+    rare >>= 12
+    np.maximum(rare, RARE, out=rare)
+    left -= rare
+    left <<= 16
+    left //= max(1, counted)
+    end2 = np.where(agree, w1, w2)  # equal predictions add up
+    end2 <<= 16
+    w1 <<= 16
+    return end2, w1, left, rare
+
+
+def _ends(longest: int) -> list[int]:
+    return [0, *(e for e in EPOCHS if e < longest), longest]
 
 
 def _plan(lengths: np.ndarray):
@@ -268,22 +124,6 @@ def _groups(lengths: np.ndarray) -> list[slice]:
     return [slice(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def _previous(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """For each place and lane, the place (from 1) where its id stood last, 0 for none."""
-    longest = int(sizes.max())
-    out = np.zeros((longest, len(sizes)), np.int16)
-    place = np.arange(longest, dtype=np.int32)
-    for k in range(0, len(sizes), 128):
-        at = starts[k : k + 128, None] + place
-        key = np.where(place < sizes[k : k + 128, None], ids.take(at, mode="clip").astype(np.int32), 1 << 17) << 12 | place
-        key.sort(axis=1)
-        lane, same = np.nonzero(key[:, 1:] >> 12 == key[:, :-1] >> 12)
-        own = np.zeros((len(at), longest), np.int16)
-        own[lane, key[lane, same + 1] & 4095] = (key[lane, same] & 4095) + 1
-        out[:, k : k + 128] = own.T
-    return out
-
-
 def encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     """The payload of each block; blocks follow one another in `ids`. A block whose ids do not shrink is kept as it is, and
     one with ids of 65535 or more, which the models do not know, in 32 bits each."""
@@ -295,7 +135,7 @@ def encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
         own = ids[begin : begin + int(sizes.sum())]
         begin += len(own)
         starts = np.cumsum(sizes) - sizes
-        for coded, at, n in zip(_encoded(np.minimum(own, NOTHING - 1), sizes), starts.tolist(), sizes.tolist(), strict=True):
+        for coded, at, n in zip(_encoded(np.minimum(own, NOTHING - 1).astype(np.uint16), sizes), starts.tolist(), sizes.tolist(), strict=True):
             block = own[at : at + n]
             if n and int(block.max()) >= NOTHING:
                 out.append(bytes([RAW32]) + block.astype("<u4").tobytes())
@@ -306,31 +146,165 @@ def encode_blocks(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
     return out
 
 
+def _foretold(ids: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """For each lane and place, what its slot foretells: the id that followed the slot's context last (above 4 bits), whether
+    that is right (8), and the confidence (7).
+
+    In the order of slots and then of places a slot's state is told by where it missed last: from there on each hit adds
+    one up to 7, beginning with 1, or with 2 if the miss was one of confidence 7."""
+    lanes, n = ids.shape
+    key = slots << 12
+    key |= np.arange(n, dtype=np.int32)
+    key.sort(axis=1)
+    at = ((key & 4095) + np.arange(0, lanes * n, n, dtype=np.int32)[:, None]).reshape(-1)
+    key = key.reshape(-1)
+    own = ids.reshape(-1).take(at, mode="clip")
+    same = np.zeros(len(key), bool)
+    np.less(key[1:] ^ key[:-1], 4096, out=same[1:])
+    same[::n] = False
+    hit = same.copy()
+    hit[1:] &= own[1:] == own[:-1]
+    number = np.arange(len(key), dtype=np.int32)
+    missed = np.maximum.accumulate(np.where(hit, 0, number))
+    run = np.zeros(len(key), np.int32)  # hits since the last miss
+    np.subtract(number[:-1], missed[:-1], out=run[1:])
+    failed = same & ~hit
+    fell = (failed & (run >= 6)).view(np.uint8)  # misses of confidence 7
+    unsure = np.flatnonzero(failed & (run == 5))  # of 7 only if the miss before them was
+    if len(unsure):
+        before = missed[unsure - 1]
+        while (now := fell[before]).tobytes() != fell[unsure].tobytes():
+            fell[unsure] = now
+    run += 1
+    run[1:] += fell.take(missed[:-1], mode="clip")
+    np.minimum(run, 7, out=run)
+    run |= hit.view(np.uint8) << np.uint8(3)
+    run[1:] |= own[:-1].astype(np.int32) << 4
+    np.copyto(run, NOTHING << 4, where=~same)
+    out = np.empty(len(key), np.int32)
+    out[at] = run
+    return out.reshape(lanes, n)
+
+
+def _intervals(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+    """Start and size of the interval of each id (lanes, places), in parts of 2**28, into `starts` and `sizes` (places,
+    lanes). What follows a lane's end alters nothing before it. What order 0 gives to a predicted id besides is left out
+    of its size."""
+    lanes, n = ids.shape
+    last = np.zeros((lanes, n), np.uint32)
+    last[:, 1:] = ids[:, :-1]
+    last *= MIX1
+    other = last.copy()
+    other[:, 1:] ^= last[:, :-1] >> np.uint32(7)
+    other *= MIX2
+    told = np.stack([_foretold(ids, (p >> np.uint32(32 - BITS)).view(np.int32)) for p in (last, other)])
+    # Order 0: in the order of ids, the ids of a kind stand together, and of those counted so far they are a run as well.
+    key = ids.astype(np.int32) << 12
+    key |= np.arange(n, dtype=np.int32)
+    key.sort(axis=1)
+    place = key & 4095
+    key = key.reshape(-1)
+    edge = np.ones(len(key), bool)
+    np.greater(key[1:] ^ key[:-1], 4095, out=edge[1:])
+    edge[::n] = True
+    begins = np.flatnonzero(edge)
+    counts = np.diff(begins, append=len(key))
+    row = np.arange(lanes, dtype=np.int32)[:, None]
+    kinds = np.empty(len(key), np.int32)
+    kinds[(place + row * n).reshape(-1)] = np.repeat(((begins % n << 12) + counts).astype(np.int32), counts)
+    kinds = kinds.reshape(lanes, n)
+    weights, ends = Weights(lanes), _ends(n)
+    before = np.zeros((lanes, n + 1), np.int32)
+    for a, b in zip(ends, ends[1:], strict=False):
+        first = order = np.zeros((lanes, b - a), np.int32)
+        if a:
+            weights.update(a)
+            np.cumsum(place < a, axis=1, out=before[:, 1:])
+            kind = kinds[:, a:b]
+            at = (kind >> 12) + row * (n + 1)
+            first = before.take(at, mode="clip")
+            at += kind & 4095
+            order = before.take(at, mode="clip") - first
+        codes = told[:, :, a:b] & 15
+        guess = told[:, :, a:b] >> 4
+        agree = guess[0] == guess[1]
+        right1, right2 = codes > 7
+        w1, w2 = weights.worth.take(codes + weights.code[:, :, None], mode="clip")  # a hit's worth is the miss's
+        end2, end1, part, rare = _shares(w1, w2, agree, weights.fresh[:, None], a)
+        start, size = first * part, order * part
+        start += end1
+        np.copyto(start, end2, where=right1)
+        np.copyto(size, end1 - end2, where=right1)
+        np.copyto(start, 0, where=right2)
+        np.copyto(size, end2, where=right2)
+        new = np.flatnonzero(size == 0)
+        if len(new):
+            own = ids[:, a:b].reshape(-1).take(new)
+            cls = CLASS.take(own)
+            at = (new // (b - a) << 3) + cls
+            weights.new += np.bincount(at, minlength=8 * lanes).astype(np.int32).reshape(lanes, 8)
+            rare, spread = rare.reshape(-1).take(new) << 8, weights.spread.take(at)
+            more = rare * (spread & 511) >> WIDTHS.take(cls)
+            size.reshape(-1)[new] = more
+            more *= own - EDGES.take(cls)
+            more += rare * (spread >> 9)
+            more += end1.reshape(-1).take(new) + a * part.reshape(-1).take(new)
+            start.reshape(-1)[new] = more
+        codes[0] *= ~(right2 | agree)
+        weights.count(codes + weights.code[:, :, None])
+        starts[a:b], sizes[a:b] = start.T, size.T
+
+
 def _encoded(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
-    order, starts, lives = _plan(lengths)
-    models, out = Models(len(lengths), len(lives)), Writer(len(lengths))
-    ids = ids.astype(np.uint16)
-    former = _previous(ids, starts, lengths[order]) if lives else None
-    orders = np.zeros(len(lengths) * models.stride, np.int32)  # of the id at each place
+    """The words of each block. Floats hold the coder's window of 48 bits exactly; a word of 16 bits goes while the range is
+    below 2**32. What is carried out of the window is added to the words before it at the end."""
+    order, begins, lives = _plan(lengths)
+    lanes, longest = len(lengths), len(lives)
+    starts, sizes = np.empty((longest, lanes), np.int32), np.empty((longest, lanes), np.int32)
+    place = np.arange(longest)
+    for k in range(0, lanes if longest else 0, TOGETHER):
+        n = int(lengths[order[k]])
+        group = slice(k, k + TOGETHER)
+        _intervals(ids.take(begins[group, None] + place[:n], mode="clip"), starts[:n, group], sizes[:n, group])
+    low, width = np.zeros(lanes), np.full(lanes, WINDOW)
+    most = longest + 12  # words that are kept: a block with as many words as ids does not shrink
+    words, at = np.zeros(lanes * most, np.int32), np.arange(lanes) * most
+    full = at + longest + 4
     for t, live in enumerate(lives):
-        if t in EPOCHS:
-            keys, begins, counts = models.update(t, live)
-            keys &= 4095
-            keys += models.row[:live, None].astype(np.int32) + 1
-            orders[keys] = np.repeat(((begins % t << 12) + counts).astype(np.int32), counts).reshape(live, t)
-        own = ids.take(starts[:live] + t, mode="wrap")
-        places = models.row[:live] + former[t, :live]
-        known = orders.take(places, mode="wrap")
-        known[known == 0] = models.counted << 12
-        models.predict(live)
-        out.code(*models.interval(own, known))
-        models.learn(t, own)
-        orders[models.row[:live] + (t + 1)] = known
-    words, counts = out.finish()
-    payload, begin, blocks = words.astype("<u4").tobytes(), 0, [b""] * len(lengths)
-    for which, n in zip(order.tolist(), counts.tolist(), strict=True):
-        blocks[which] = payload[begin : begin + 4 * n]
-        begin += 4 * n
+        l, w = low[:live], width[:live]
+        w *= 1 / PARTS
+        np.floor(w, out=w)
+        l += w * starts[t, :live]
+        w *= sizes[t, :live]
+        small = np.flatnonzero(w < LEAST_RANGE)
+        while len(small):
+            own = l.take(small)
+            out = np.floor(own * (1 / LEAST_RANGE))
+            here = at.take(small)
+            words[here] = out
+            here += 1
+            at[small] = here
+            out *= LEAST_RANGE
+            own -= out
+            own *= WORD
+            l[small] = own
+            own = w.take(small) * WORD
+            w[small] = own
+            small = small[own < LEAST_RANGE]
+        if t & 1:  # a step makes two words at the most
+            np.minimum(at, full, out=at)
+    low += WORD - 1  # the range is 2**32 at least: two words tell a number in it, whatever follows
+    for out in (np.floor(low / LEAST_RANGE), np.floor(low / WORD) % WORD):
+        words[at] = out
+        at += 1
+    counts = at - np.arange(lanes) * most
+    while len(over := np.flatnonzero(words > 65535)):
+        words[over] -= 65536
+        words[over - 1] += 1
+    rows = words.astype("<u2").reshape(lanes, most)
+    blocks = [b""] * lanes
+    for lane, (which, n) in enumerate(zip(order.tolist(), counts.tolist(), strict=True)):
+        blocks[which] = rows[lane, :n].tobytes()
     return blocks
 
 
@@ -345,25 +319,136 @@ def decode_blocks(payloads: list[bytes], lengths: np.ndarray) -> np.ndarray:
             ids[starts[i] : starts[i] + len(own)] = own
     coded = np.flatnonzero(kinds == CODED)
     for group in _groups(coded):
-        _decode([payloads[i] for i in coded[group]], lengths[coded[group]], starts[coded[group]], ids)
+        which = coded[group]
+        with np.errstate(over="ignore", invalid="ignore"):  # of damaged blocks, which their checksums tell
+            found, order = _decoded([payloads[i] for i in which], lengths[which])
+        for k, i in enumerate(which[order].tolist()):
+            ids[starts[i] : starts[i] + lengths[i]] = found[k, : lengths[i]]
     return ids
 
 
-def _decode(payloads: list[bytes], lengths: np.ndarray, begins: np.ndarray, ids: np.ndarray) -> None:
+def _ranked(ids: np.ndarray) -> np.ndarray:
+    """The ids (places, lanes) in ascending order by lane; each (above 32 bits) with the number of those that are smaller
+    (12 bits) and its count (12 bits)."""
+    t, lanes = ids.shape
+    out = np.empty((lanes, t), np.int64)
+    for k in range(0, lanes, TOGETHER):
+        keys = ids[:, k : k + TOGETHER].T.astype(np.int32)
+        keys.sort(axis=1)
+        edge = np.ones(keys.shape, bool)
+        np.not_equal(keys[:, 1:], keys[:, :-1], out=edge[:, 1:])
+        firsts = np.flatnonzero(edge)
+        values = keys.reshape(-1).take(firsts).astype(np.int64) << 32
+        values += (firsts % t << 12) + np.diff(firsts, append=keys.size)
+        kind = np.cumsum(edge, dtype=np.int32)
+        kind -= 1
+        out[k : k + TOGETHER] = values.take(kind).reshape(len(keys), t)
+    return out.reshape(-1)
+
+
+def _decoded(payloads: list[bytes], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the blocks (lanes, places), and the block of each lane. A slot holds an id and its confidence (4 bits)."""
     order, _, lives = _plan(lengths)
-    starts = begins[order]
-    words = np.frombuffer(b"".join([payloads[i][1:] for i in order]), "<u4")
-    models, source = Models(len(lengths), len(lives)), Reader(words, np.array([len(payloads[i]) // 4 for i in order], np.int64))
+    lanes, ends = len(lengths), _ends(len(lives))
+    words = np.frombuffer(b"".join([payloads[i][1:] for i in order] + [bytes(8)]), "<u2")
+    sizes = np.array([len(payloads[i]) // 2 for i in order], np.int64)
+    at = np.cumsum(sizes) - sizes
+    value = (words[at] * WORD + words[at + 1]) * WORD + words[at + 2]
+    at += 3
+    width = np.full(lanes, WINDOW)
+    weights = Weights(lanes)
+    lane = np.arange(lanes)
+    base = np.stack((lane, lane + lanes)) << BITS
+    slots = np.full(2 * lanes << BITS, NOTHING << 4, np.uint32)
+    context, last, mixed = np.zeros((2, lanes), np.uint32), np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+    ids = np.zeros((len(lives), lanes), np.uint16)
+    seen = np.zeros((max(b - a for a, b in zip(ends, ends[1:], strict=False)), 2, lanes), np.uint8)
+    counted, classes = 0, weights.classes()
     for t, live in enumerate(lives):
         if t in EPOCHS:
-            keys, firsts, counts = models.update(t, live)
-            values = (keys.reshape(-1)[firsts] >> 12).astype(np.int64) << 32 | (firsts % t << 12) + counts
-            models.ranked = np.repeat(values, counts)
-        models.predict(live)
-        own, order = models.find(source.targets(live))
-        source.take(*models.interval(own, order))
-        models.learn(t, own)
-        ids[starts[:live] + t] = own
+            codes = seen[: t - counted]
+            for k in range(0, len(codes), 64):
+                weights.count(codes[k : k + 64] + weights.code)
+            weights.update(t)
+            ranked, row, counted = _ranked(ids[:t, :live]), lane * t, t
+            classes = weights.classes()
+        p = context[:, :live]
+        np.multiply(last[:live], MIX1, out=p[0])
+        np.bitwise_xor(p[0], mixed[:live], out=p[1])
+        p[1] *= MIX2
+        np.right_shift(p[0], np.uint32(7), out=mixed[:live])
+        where = base[:, :live] + (p >> np.uint32(32 - BITS))
+        slot = slots.take(where, mode="wrap")
+        level = slot & np.uint32(7)
+        slot >>= np.uint32(4)
+        guess1, guess2 = slot
+        w1, w2 = weights.worth.take(weights.code[:, :live] + level, mode="wrap")
+        agree = guess1 == guess2
+        end2, end1, part, rare = _shares(w1, w2, agree, weights.fresh[:live], counted)
+        v, w = value[:live], width[:live]
+        w *= 1 / PARTS
+        np.floor(w, out=w)
+        target = np.minimum(v / w, PARTS - 1).astype(np.int32)
+        hit1, hit2 = target < end1, target < end2
+        target -= end1
+        if counted:
+            place = (target / part).astype(np.int64)
+            np.minimum(place, counted, out=place)
+            new = np.flatnonzero(place == counted)
+            place += row[:live]
+            found = ranked.take(place, mode="clip").view(np.uint32)
+            own, kind = found[1::2].copy(), found[::2].view(np.int32)
+            start, size = (kind >> 12) * part, (kind & 4095) * part
+            start += end1
+        else:
+            new = np.flatnonzero(~hit1)
+            own, start, size = np.zeros(live, np.uint32), np.zeros(live, np.int32), np.ones(live, np.int32)
+        if len(new):
+            much = rare.take(new, mode="wrap") << 8
+            skipped = counted * part.take(new, mode="wrap")
+            rest = target.take(new, mode="wrap") - skipped
+            cls = classes.take((new << 8) + np.minimum(rest // much, 255), mode="wrap")
+            cell = (new << 3) + cls
+            weights.new.reshape(-1)[cell] += 1
+            spread = weights.spread.take(cell, mode="wrap")
+            bits = WIDTHS.take(cls, mode="wrap")
+            one = much * (spread & 511) >> bits
+            much *= spread >> 9
+            rest -= much
+            rest //= one
+            np.minimum(rest, (1 << bits) - 1, out=rest)
+            own[new] = EDGES.take(cls, mode="wrap") + rest
+            rest *= one
+            rest += much
+            rest += skipped
+            rest += end1.take(new, mode="wrap")
+            start[new], size[new] = rest, one
+        np.copyto(own, guess1, where=hit1)
+        np.copyto(own, guess2, where=hit2)
+        np.copyto(start, end2, where=hit1)
+        np.copyto(start, 0, where=hit2)
+        end1 -= end2
+        np.copyto(size, end1, where=hit1)
+        np.copyto(size, end2, where=hit2)
+        v -= w * start
+        w *= size
+        small = np.flatnonzero(w < LEAST_RANGE)
+        while len(small):
+            here = at.take(small, mode="wrap")
+            v[small] = v.take(small, mode="wrap") * WORD + words.take(here, mode="clip")
+            here += 1
+            at[small] = here
+            wide = w.take(small, mode="wrap") * WORD
+            w[small] = wide
+            small = small[wide < LEAST_RANGE]
+        right = slot == own
+        level += right.view(np.uint8) << np.uint8(3)
+        slots[where] = MOVE.take(level, mode="wrap") | own << np.uint32(4)
+        level[0] *= ~(right[1] | agree)
+        seen[t - counted, :, :live] = level
+        ids[t, :live] = own
+        last[:live] = own
+    return ids.T, order
 
 
 def write_tokens(docs: DataFrame, path: str, end_id: int = END_ID, block: int = BLOCK) -> DataFrame:

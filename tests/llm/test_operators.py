@@ -560,6 +560,34 @@ def test_range_coder_round_trip():
     assert len(token_files.encode_blocks(np.full(3000, 7), np.array([3000]))[0]) < 300
 
 
+def test_a_block_is_foretold_as_step_by_step():
+    r = np.random.default_rng(6)
+    runs = np.repeat(r.integers(0, 9, 3000), r.choice([1, 2, 6, 6, 6, 7, 8], 3000))[: 7 * 900]  # misses after 5 hits tell of those before
+    for ids in (runs.reshape(7, 900), r.integers(0, 3, (5, 1300)), np.full((2, 40), 65534)):
+        ids = ids.astype(np.uint16)
+        slots = r.integers(0, 4, ids.shape).astype(np.int32)
+        expected = []
+        for own, slot in zip(ids.tolist(), slots.tolist(), strict=True):
+            state = {}
+            for i, s in zip(own, slot, strict=True):
+                guess, level = state.get(s, (token_files.NOTHING, 0))
+                expected.append(guess << 4 | (guess == i) << 3 | level)
+                state[s] = i, int(token_files.MOVE[level + 8 * (guess == i)])
+        assert token_files._foretold(ids, slots).reshape(-1).tolist() == expected
+
+
+def test_a_coded_block_ends_with_its_ids_and_loses_nothing_to_carries():
+    r = np.random.default_rng(7)
+    size = lambda ids: len(token_files.encode_blocks(ids, np.array([len(ids)]))[0])
+    assert size(np.full(4000, 7)) <= 31 and size(np.array([5, 5, 5, 5])) <= 7
+    ids = np.minimum(r.zipf(1.3, 1 << 17), 49407)
+    lengths = np.full(64, 2048)
+    blocks = token_files.encode_blocks(ids, lengths)
+    assert token_files.decode_blocks(blocks, lengths).tolist() == ids.tolist()
+    assert 8 * sum(map(len, blocks)) / len(ids) < 7.28
+    assert token_files.decode_blocks([b[:-40] + b[-2:] for b in blocks], lengths).tolist() != ids.tolist()  # a damaged block is no crash
+
+
 def test_crc_of_two_parts():
     for a, b in ((b"hello", b"world12345"), (b"", b"x"), (b"abc", b""), (b"q" * 1000, b"z" * 77777)):
         assert token_files.crc_combine(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
