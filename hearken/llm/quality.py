@@ -88,11 +88,20 @@ class Classifier:
         self.at, self.level = np.array([0.5]), np.array([0.5])
 
     def lift(self, x: np.ndarray) -> np.ndarray:
-        z = np.cos(np.clip((x - self.mean) / self.scale, -8, 8) @ self.weights + self.phase) * np.sqrt(2 / FEATURES)
-        return np.column_stack((z, np.ones(len(z))))
+        """A row's features do not depend on the rows beside it: a matrix product may add up a row at the edge of its blocks
+        in another order, so statistics are added one by one."""
+        x = np.clip((x - self.mean) / self.scale, -8, 8)
+        z = np.ones((len(x), FEATURES + 1))
+        for k in range(0, len(x), 64):
+            own = x[k : k + 64].T[:, :, None]
+            total = np.repeat(self.phase[None], own.shape[1], axis=0)
+            for column, weights in zip(own, self.weights, strict=True):
+                total += column * weights
+            z[k : k + 64, :-1] = np.cos(total) * np.sqrt(2 / FEATURES)
+        return z
 
     def raw(self, x: np.ndarray) -> np.ndarray:
-        return np.clip(self.lift(x) @ self.beta, 0, 1)
+        return np.clip((self.lift(x) * self.beta).sum(axis=1), 0, 1)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return np.interp(self.raw(x), self.at, self.level)

@@ -660,6 +660,18 @@ def test_null_ids_do_no_harm(spark):
     assert quality.classify(docs, spark.createDataFrame([(1, 1), (None, 0)], "doc_id long, quality int"), F.lit(True)).count() == 3
 
 
+def test_scores_do_not_depend_on_the_rows_beside():
+    r = np.random.default_rng(8)
+    model = quality.Classifier(np.zeros(quality.STATISTICS), np.ones(quality.STATISTICS))
+    model.beta = r.normal(size=quality.FEATURES + 1) / 16
+    x = r.normal(size=(150, quality.STATISTICS))
+    whole = model.raw(x)
+    assert 0.1 < np.mean((whole > 0) & (whole < 1))
+    for n in (1, 2, 3, 7, 64, 65, 149):
+        for k in range(0, len(x) - n + 1, max(1, n // 3)):
+            assert model.raw(x[k : k + n]).tolist() == whole[k : k + n].tolist()
+
+
 def test_clashing_columns_and_repeated_rows_in_op5_and_op8(docs):
     twice = docs.unionByName(docs).withColumns({"lang_pred": F.lit(1), "score": F.lit("x"), "spans": F.lit(2), "x": F.lit(3), "y": F.lit(4), "quality": F.lit(5)})
     model = language.fit(twice, F.lit(True))
